@@ -176,12 +176,21 @@ correlation as (
 # --- frames the queries share ----------------------------------------------------------------
 
 
-def user_combined(spark: SparkSession, sf: str) -> DataFrame:
-    return combine(feeds.user_bars(spark, sf), feeds.user_aggregates(spark, sf), feeds.user_activity(spark, sf))
+def events(spark: SparkSession, sf: str) -> DataFrame:
+    return feeds.table(spark, sf, "events")
+
+
+def segment_bars(spark: SparkSession, sf: str) -> DataFrame:
+    return feeds.segment_bars(feeds.table(spark, sf, "orders"), feeds.table(spark, sf, "customer"))
+
+
+def user_combined(spark: SparkSession, sf: str, sort: bool = False) -> DataFrame:
+    rows = events(spark, sf)
+    return combine(feeds.user_bars(rows), feeds.user_aggregates(rows), feeds.user_activity(rows), sort)
 
 
 def segment_mart(spark: SparkSession, sf: str) -> DataFrame:
-    return mart_stock_performance(company_daily(combine(feeds.segment_bars(spark, sf))))
+    return mart_stock_performance(company_daily(combine(segment_bars(spark, sf))))
 
 
 def correlation_mart(spark: SparkSession, sf: str) -> DataFrame:
@@ -199,18 +208,18 @@ def stock_performance(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with bars as ({SEGMENT_BARS}), returns as ({with_return('bars')}) select ticker, date, {OHLCV}, daily_return_pct from returns")
 def daily_return(spark: SparkSession, sf: str) -> DataFrame:
-    return with_daily_return(feeds.segment_bars(spark, sf))
+    return with_daily_return(segment_bars(spark, sf))
 
 
 @query(f"with bars as ({SEGMENT_BARS}) select * from bars where ticker = 'BUILDING' and date = date '1997-03-14'")
 def bars_on_day(spark: SparkSession, sf: str) -> DataFrame:
-    return bars_on(feeds.segment_bars(spark, sf), "BUILDING", "1997-03-14")
+    return bars_on(segment_bars(spark, sf), "BUILDING", "1997-03-14")
 
 
 @query(f"""with bars as ({SEGMENT_BARS}) select * from bars
 qualify row_number() over (partition by ticker order by date desc) <= 100""")
 def last_100_per_ticker(spark: SparkSession, sf: str) -> DataFrame:
-    return last_n_per_ticker(feeds.segment_bars(spark, sf), 100)
+    return last_n_per_ticker(segment_bars(spark, sf), 100)
 
 
 @query(f"""{USER_COMBINED} select ticker, date, close_price, daily_return_pct, vwap, total_commits_today, total_open_prs
@@ -221,7 +230,7 @@ def preview_top10(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with bars as ({SEGMENT_BARS}) select count(*) as row_count from bars")
 def bars_row_count(spark: SparkSession, sf: str) -> DataFrame:
-    return row_count(feeds.segment_bars(spark, sf))
+    return row_count(segment_bars(spark, sf))
 
 
 # --- deduplication ---------------------------------------------------------------------------
@@ -234,12 +243,12 @@ latest as (select * from snapshots qualify row_number() over (partition by ticke
 
 @query(f"{SNAPSHOTS} select ticker, date, {OHLCV}, snapshot from latest")
 def latest_bar_per_key(spark: SparkSession, sf: str) -> DataFrame:
-    return latest_per_key(feeds.bar_snapshots(spark, sf), order=("snapshot",))
+    return latest_per_key(feeds.bar_snapshots(events(spark, sf)), order=("snapshot",))
 
 
 @query(f"{SNAPSHOTS}, returns as ({with_return('latest')}) select ticker, date, {OHLCV}, daily_return_pct from returns")
 def return_after_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    latest = latest_per_key(feeds.bar_snapshots(spark, sf), order=("snapshot",)).drop("snapshot")
+    latest = latest_per_key(feeds.bar_snapshots(events(spark, sf)), order=("snapshot",)).drop("snapshot")
     return with_daily_return(latest)
 
 
@@ -247,7 +256,7 @@ def return_after_dedup(spark: SparkSession, sf: str) -> DataFrame:
 qualify row_number() over (partition by user_id, cast(ts as date) order by event_id desc) = 1""")
 def latest_event_per_key(spark: SparkSession, sf: str) -> DataFrame:
     """Raw events as versions of one record per user and day: copies are reduced before the shuffle."""
-    versions = feeds.events(spark, sf).select(*feeds.user_key(), "event_type", "value", "event_id")
+    versions = events(spark, sf).select(*feeds.user_key(), "event_type", "value", "event_id")
     return latest_per_key(versions, order=("event_id",))
 
 
@@ -261,16 +270,15 @@ def combine_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{USER_COMBINED} select * from raw_combined order by ticker, date")
 def combine_sources_sorted(spark: SparkSession, sf: str) -> DataFrame:
-    return combine(
-        feeds.user_bars(spark, sf), feeds.user_aggregates(spark, sf), feeds.user_activity(spark, sf), sort=True
-    )
+    return user_combined(spark, sf, sort=True)
 
 
 @query(f"""with bars as ({USER_BARS}), trades as ({USER_AGGREGATES})
 select ticker, date from bars where not exists (select 1 from trades t where t.ticker = bars.ticker and t.date = bars.date)""")
 def dropped_feed_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Keys of one feed without a partner in the other (here the bars without trades)."""
-    return dropped_keys(bars=feeds.user_aggregates(spark, sf), feed=feeds.user_bars(spark, sf))
+    rows = events(spark, sf)
+    return dropped_keys(bars=feeds.user_aggregates(rows), feed=feeds.user_bars(rows))
 
 
 # --- models ----------------------------------------------------------------------------------
@@ -319,35 +327,35 @@ def github_correlation_mart(spark: SparkSession, sf: str) -> DataFrame:
 @query(SEGMENT_BARS)
 def bars_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Bars written as date-keyed monthly documents and parsed back."""
-    documents = feeds.bars_as_monthly_documents(feeds.segment_bars(spark, sf))
+    documents = feeds.bars_as_monthly_documents(segment_bars(spark, sf))
     parsed = parse_daily_bars(documents_from_text(documents, "value", schemas.BAR_DOCUMENT))
     return accepted(parsed).drop(*schemas.VERSION)
 
 
 @query(USER_AGGREGATES)
 def aggregates_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    documents = feeds.aggregates_as_documents(feeds.user_aggregates(spark, sf))
+    documents = feeds.aggregates_as_documents(feeds.user_aggregates(events(spark, sf)))
     parsed = parse_daily_aggregates(documents_from_text(documents, "value", schemas.AGGREGATE_DOCUMENT))
     return accepted(parsed).drop(*schemas.VERSION)
 
 
 @query(USER_ACTIVITY)
 def activity_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    documents = feeds.activity_as_documents(feeds.user_activity(spark, sf))
+    documents = feeds.activity_as_documents(feeds.user_activity(events(spark, sf)))
     parsed = parse_activity(documents_from_text(documents, "value", schemas.ACTIVITY_DOCUMENT))
     return accepted(parsed).drop(*schemas.VERSION)
 
 
 @query("select event_id, json_extract_string(props, '$.k') as k from events")
 def props_json_field(spark: SparkSession, sf: str) -> DataFrame:
-    return feeds.events(spark, sf).select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    return events(spark, sf).select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
 @query(f"""with bars as ({USER_BARS}) select ticker, date, open_price, high_price, low_price,
     case when volume = 1 then 0 else close_price end as close_price, volume from bars""")
 def missing_defaults(spark: SparkSession, sf: str) -> DataFrame:
     """Documents without a close (days with one event): the key is missing and reads as 0."""
-    bars = feeds.user_bars(spark, sf)
+    bars = feeds.user_bars(events(spark, sf))
     documents = feeds.bars_as_documents(bars, close_price=F.when(F.col("volume") > 1, F.col("close_price").cast("string")))
     parsed = parse_daily_bars(documents_from_text(documents, "value", schemas.BAR_DOCUMENT))
     return accepted(parsed).drop(*schemas.VERSION)
@@ -355,7 +363,7 @@ def missing_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 def damaged_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Parsed single-bar documents, damaged by volume: 2 number, 3 date, 4 and up ticker."""
-    bars, volume = feeds.user_bars(spark, sf), F.col("volume")
+    bars, volume = feeds.user_bars(events(spark, sf)), F.col("volume")
     documents = feeds.bars_as_documents(
         bars,
         ticker=F.when(volume >= 4, "").otherwise(F.col("ticker")),
@@ -390,8 +398,9 @@ select 'stocks' as source, ticker, date, close_price from bars
 where not exists (select 1 from landed l where l.ticker = bars.ticker and l.date = bars.date)""")
 def only_new_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Bars whose key is not landed yet, with the days that had purchases as the landed ones."""
-    batch = feeds.user_bars(spark, sf).select(F.lit("stocks").alias("source"), "ticker", "date", "close_price")
-    purchases = feeds.events(spark, sf).where(F.col("event_type") == "purchase")
+    rows = events(spark, sf)
+    batch = feeds.user_bars(rows).select(F.lit("stocks").alias("source"), "ticker", "date", "close_price")
+    purchases = rows.where(F.col("event_type") == "purchase")
     return only_new(batch, purchases.select(F.lit("stocks").alias("source"), *feeds.user_key()))
 
 
@@ -401,12 +410,12 @@ STATUS = """case event_type when 'error' then 'error' when 'view' then 'rate_lim
 
 @query(f"select event_id, {STATUS} as payload_status from events")
 def payload_status(spark: SparkSession, sf: str) -> DataFrame:
-    return classify_payload(feeds.event_responses(spark, sf), "stocks").select("event_id", "payload_status")
+    return classify_payload(feeds.event_responses(events(spark, sf)), "stocks").select("event_id", "payload_status")
 
 
 @query("select event_id, concat('U', cast(user_id as varchar)) as ticker from events where event_type in ('click', 'purchase')")
 def landable_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return landable(feeds.event_responses(spark, sf), "stocks").select("event_id", F.col("_ticker").alias("ticker"))
+    return landable(feeds.event_responses(events(spark, sf)), "stocks").select("event_id", F.col("_ticker").alias("ticker"))
 
 
 @query("""select 'stocks' as source, count(*) filter (where event_type = 'purchase') as success_count,
@@ -414,7 +423,7 @@ def landable_documents(spark: SparkSession, sf: str) -> DataFrame:
     count(*) filter (where event_type in ('error', 'view', 'signup')) as error_count from events""")
 def ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Good purchase responses were stored, good click responses already there, the others failed."""
-    classified = classify_payload(feeds.event_responses(spark, sf), "stocks")
+    classified = classify_payload(feeds.event_responses(events(spark, sf)), "stocks")
     good = F.col("payload_status") == "ok"
     status = F.when(good & (F.col("event_type") == "click"), "skipped").when(good, "success").otherwise("error")
     return ingest_summary(classified.select(F.lit("stocks").alias("source"), status.alias("status")))
@@ -424,7 +433,7 @@ def ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
     concat(strftime(date, '%Y-%m-%d'), 'T00:00:00Z') as since from bars""")
 def document_keys(spark: SparkSession, sf: str) -> DataFrame:
     ticker, date = F.col("ticker"), F.col("date")
-    return feeds.user_bars(spark, sf).select(
+    return feeds.user_bars(events(spark, sf)).select(
         "ticker", "date", doc_key(ticker, date).alias("doc_key"), day_start(date).alias("since")
     )
 
@@ -441,8 +450,9 @@ union all select 'polygon', ticker, date from ({USER_AGGREGATES}) as b
 union all select 'github', ticker, date from ({USER_ACTIVITY}) as c""")
 def feed_keys_union(spark: SparkSession, sf: str) -> DataFrame:
     """Bag union of the keys of all feeds, as files of several roots are appended."""
-    frames = {"stocks": feeds.user_bars, "polygon": feeds.user_aggregates, "github": feeds.user_activity}
-    return union_all([feed(spark, sf).select(F.lit(name).alias("feed"), "ticker", "date") for name, feed in frames.items()])
+    rows = events(spark, sf)
+    frames = {"stocks": feeds.user_bars(rows), "polygon": feeds.user_aggregates(rows), "github": feeds.user_activity(rows)}
+    return union_all([frame.select(F.lit(name).alias("feed"), "ticker", "date") for name, frame in frames.items()])
 
 
 # --- developer activity ----------------------------------------------------------------------
@@ -461,11 +471,12 @@ facts as (select ticker, repo, date, stars, forks, commits_today, open_prs
 
 def event_repo_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Views as stars, clicks as commits and signups as pull requests of the tracked repositories."""
-    stars = count_capped(feeds.repo_events(spark, sf, "view"), cap=None, name="stars")
+    rows = events(spark, sf)
+    stars = count_capped(feeds.repo_events(rows, "view"), cap=None, name="stars")
     return repo_facts(
         stars.withColumn("forks", F.col("stars") * 2),
-        count_capped(feeds.repo_events(spark, sf, "click"), cap=CAP, name="commits_today"),
-        count_capped(feeds.repo_events(spark, sf, "signup"), cap=CAP, name="open_prs"),
+        count_capped(feeds.repo_events(rows, "click"), cap=CAP, name="commits_today"),
+        count_capped(feeds.repo_events(rows, "signup"), cap=CAP, name="open_prs"),
     )
 
 
@@ -490,14 +501,14 @@ def repo_details(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"select {REPO_KEY}, count(*) as commits from events where event_type = 'click' and ts >= timestamp '2024-01-16 00:00:00' group by 1, 2, 3")
 def commits_since(spark: SparkSession, sf: str) -> DataFrame:
-    commits = commits_on(feeds.repo_events(spark, sf, "click"), "2024-01-16")
+    commits = commits_on(feeds.repo_events(events(spark, sf), "click"), "2024-01-16")
     return count_capped(commits, cap=None, name="commits")
 
 
 @query("""select concat('R', cast(o_custkey % 15 as varchar)) as repo, least(count(*), 100) as open_prs
 from orders where o_orderstatus = 'O' group by 1""")
 def open_pull_requests(spark: SparkSession, sf: str) -> DataFrame:
-    return count_capped(open_prs(feeds.pull_requests(spark, sf)), keys=("repo",), name="open_prs")
+    return count_capped(open_prs(feeds.pull_requests(feeds.table(spark, sf, "orders"))), keys=("repo",), name="open_prs")
 
 
 # --- quality ---------------------------------------------------------------------------------
@@ -521,7 +532,7 @@ def not_null_failing_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"select {USER_KEY}, count(*) as copies from events group by 1, 2 having count(*) > 1")
 def unique_check(spark: SparkSession, sf: str) -> DataFrame:
-    return check_unique(feeds.events(spark, sf).select(*feeds.user_key()))
+    return check_unique(events(spark, sf).select(*feeds.user_key()))
 
 
 @query(f"""{USER_MARTS},

@@ -36,6 +36,8 @@ def get_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Call-site capture costs several driver round trips per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **(extra or {}),
     }
     for key, value in settings.items():

@@ -55,13 +55,17 @@ def scan_documents(
     )
 
 
-def documents_from_text(df: DataFrame, text: str, schema: StructType, file_path: str | None = None) -> DataFrame:
-    """One row per JSON text in column ``text``, shaped like :func:`scan_documents`."""
+def documents_from_text(df: DataFrame, text: str, schema: StructType, *keep: str) -> DataFrame:
+    """One row per JSON text in column ``text``, shaped like :func:`scan_documents`.
+
+    Columns ``keep`` stay beside the document. The parse is the input of a generator: as a
+    plain projection the optimizer would copy it into every later expression that mentions a
+    field, and parse the text once for each.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    origin = F.lit(None).cast("string") if file_path is None else F.col(file_path)
-    return df.select(F.from_json(F.col(text), schema, options).alias("_doc"), origin.alias("_file_path")).select(
-        "_doc.*", "_file_path"
-    )
+    document = F.inline(F.array(F.from_json(F.col(text), schema, options)))
+    documents = df.select(*keep, document)
+    return documents if "_file_path" in keep else documents.withColumn("_file_path", F.lit(None).cast("string"))
 
 
 # --- validity ----------------------------------------------------------------------------

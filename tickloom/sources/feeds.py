@@ -1,5 +1,8 @@
 """The given star-schema tables seen as the three daily feeds.
 
+Functions take the tables they use, so a query that needs three feeds of ``events`` lists its
+files once.
+
 ``orders`` become bars per market segment; ``events`` become bars, trade aggregates and
 developer activity per user, or repository facts of the tracked companies. Each feed reads
 only the columns it uses and groups straight to its key, so the shuffle carries one row per
@@ -14,10 +17,19 @@ from pyspark.sql import functions as F
 from tickloom import schemas
 from tickloom.functions import round4, run_date_text
 from tickloom.sources.companies import COMPANY_ROWS
+from tickloom.sources.documents import documents_from_text
+
+
+# Declared, so that no job has to read footers before a query is planned.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ohlc(price: str, order: str) -> list[Column]:
@@ -30,10 +42,8 @@ def _ohlc(price: str, order: str) -> list[Column]:
     ]
 
 
-def segment_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segment_bars(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Daily bars of order totals per market segment: few tickers, years of history."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
     key = [F.col("c_mktsegment").alias("ticker"), F.col("o_orderdate").cast("date").alias("date")]
     return joined.groupBy(*key).agg(*_ohlc("o_totalprice", "o_orderkey"))
@@ -43,21 +53,17 @@ def user_key() -> list[Column]:
     return [F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker"), F.col("ts").cast("date").alias("date")]
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events")
-
-
-def user_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_bars(events: DataFrame) -> DataFrame:
     """Daily bars of event values per user: many tickers, one month."""
-    return events(spark, sf_dir).groupBy(*user_key()).agg(*_ohlc("value", "event_id"))
+    return events.groupBy(*user_key()).agg(*_ohlc("value", "event_id"))
 
 
-def user_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_aggregates(events: DataFrame) -> DataFrame:
     """Daily trade aggregates from purchases; many bars have none."""
     cents = F.sum(F.round(F.col("value") * 100).cast("bigint"))
     count = F.count(F.lit(1))
     return (
-        events(spark, sf_dir)
+        events
         .where(F.col("event_type") == "purchase")
         .groupBy(*user_key())
         .agg(
@@ -72,14 +78,14 @@ def user_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_activity(events: DataFrame) -> DataFrame:
     """Daily activity: clicks as commits, signups as pull requests, views as stars."""
     kind = F.col("event_type")
     counted = ("click", "signup", "view")
     clicks, signups, views = (F.count_if(kind == k) for k in counted)
     kinds_seen = sum((F.max((kind == k).cast("bigint")) for k in counted), F.lit(0))
     return (
-        events(spark, sf_dir)
+        events
         .where(kind.isin(*counted))
         .groupBy(*user_key())
         .agg(
@@ -92,10 +98,10 @@ def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bar_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bar_snapshots(events: DataFrame) -> DataFrame:
     """Three overlapping downloads of every user bar, later ones with a revised close."""
     return (
-        user_bars(spark, sf_dir)
+        user_bars(events)
         .withColumn("snapshot", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
         .withColumn("close_price", F.col("close_price") + F.col("snapshot"))
     )
@@ -104,7 +110,7 @@ def bar_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- repository facts of the tracked companies --------------------------------------------
 
 
-def repo_events(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
+def repo_events(events: DataFrame, event_type: str) -> DataFrame:
     """Events of one type as ``(ticker, repo, date, ts)`` of the tracked companies.
 
     A user id picks a company (id modulo 5) and one of its repositories (modulo 15).
@@ -114,7 +120,7 @@ def repo_events(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     tickers = F.array(*[F.lit(ticker) for ticker, _, _ in COMPANY_ROWS])
     repos = F.array(*[F.lit(repos[i]) for i in range(3) for _, _, repos in COMPANY_ROWS])
     return (
-        events(spark, sf_dir)
+        events
         .where(F.col("event_type") == event_type)
         .select(
             F.element_at(tickers, slot % n + 1).alias("ticker"),
@@ -125,9 +131,8 @@ def repo_events(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     )
 
 
-def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pull_requests(orders: DataFrame) -> DataFrame:
     """Orders as pull requests: ``(repo, state)`` by customer and order status."""
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus")
     return orders.select(
         F.concat(F.lit("R"), (F.col("o_custkey") % 15).cast("string")).alias("repo"),
         F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed").alias("state"),
@@ -180,7 +185,7 @@ def activity_as_documents(activity: DataFrame) -> DataFrame:
     return activity.select(F.to_json(document).alias("value"))
 
 
-def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_responses(events: DataFrame) -> DataFrame:
     """Every event as a bar response: refused, throttled, without a series, or good."""
     kind = F.col("event_type")
     bar = F.struct(F.col("value").cast("string").alias("4. close"))
@@ -193,8 +198,7 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(kind == "view", "call limit reached").alias("Note"),
         )
     )
-    raw = events(spark, sf_dir).select("event_id", "event_type", text.alias("value"))
-    return raw.select("event_id", "event_type", F.from_json("value", schemas.BAR_DOCUMENT).alias("d")).select(
-        "event_id", "event_type", "d.*"
+    return documents_from_text(
+        events.select("event_id", "event_type", text.alias("value")), "value", schemas.BAR_DOCUMENT, "event_id", "event_type"
     )
 
