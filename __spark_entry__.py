@@ -367,7 +367,7 @@ def damaged_bars(spark: SparkSession, sf: str) -> DataFrame:
     documents = feeds.bars_as_documents(
         bars,
         ticker=F.when(volume >= 4, "").otherwise(F.col("ticker")),
-        day=F.when(volume == 3, F.date_format("date", "yyyy-'13'-dd")).otherwise(F.date_format("date", "yyyy-MM-dd")),
+        day=F.when(volume == 3, F.concat(F.year("date"), F.lit("-13-01"))).otherwise(F.col("date").cast("string")),
         high_price=F.when(volume == 2, "n/a").otherwise(F.col("high_price").cast("string")),
     )
     return parse_daily_bars(documents_from_text(documents, "value", schemas.BAR_DOCUMENT))

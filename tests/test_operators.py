@@ -1,0 +1,371 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom import schemas
+from tickloom.operators.activity import activity_rollup, commits_on, count_capped, open_prs, repo_facts, repo_rows
+from tickloom.operators.combine import combine, dropped_keys, with_processed_at
+from tickloom.operators.dedup import last_n_per_ticker, latest_per_key
+from tickloom.operators.quality import (
+    QualityError,
+    assert_quality,
+    check_marts,
+    check_not_null,
+    check_unique,
+    describe_columns,
+    failing_rows,
+    schema_of,
+    validate_raw,
+    with_comments,
+)
+from tickloom.operators.reads import (
+    activity_by_company,
+    activity_return_corr,
+    bars_on,
+    preview,
+    price_trend,
+    returns_between,
+    row_count,
+    volatility_by_company,
+    width,
+)
+from tickloom.operators.windows import with_daily_return, with_rolling
+from tickloom.plans.models import company_daily, mart_github_correlation, mart_stock_performance
+from tickloom.plans.pipeline import run_models
+from tickloom.sources.companies import COMPANY_ROWS, companies
+from tickloom.sources.frames import MissingSourceError, empty_like, require_rows, union_all
+
+D = dt.date
+
+
+def bars(spark, rows):
+    """rows of (ticker, date, close)"""
+    return spark.createDataFrame([(t, d, c, c, c, c, 10) for t, d, c in rows], schemas.BARS)
+
+
+def as_set(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def march(n):
+    return D(2026, 3, n)
+
+
+# --- deduplication -------------------------------------------------------------------------
+
+
+def versions(spark):
+    return spark.createDataFrame(
+        [
+            ("A", march(16), 400.0, "2026-03-17", "a.json"),
+            ("A", march(16), 401.0, "2026-03-18", "b.json"),
+            ("A", march(17), 404.0, "2026-03-18", "a.json"),
+            ("A", march(17), 405.0, "2026-03-18", "b.json"),
+            ("B", march(16), 7.0, None, None),
+        ],
+        "ticker string, date date, close_price double, _ingested_at string, _file_path string",
+    )
+
+
+def test_latest_per_key_takes_newest_then_file_path(spark):
+    got = latest_per_key(versions(spark)).select("ticker", "date", "close_price")
+    assert as_set(got) == [("A", march(16), 401.0), ("A", march(17), 405.0), ("B", march(16), 7.0)]
+
+
+def test_latest_per_key_keeps_column_order_and_is_idempotent(spark):
+    once = latest_per_key(versions(spark))
+    assert once.columns == versions(spark).columns
+    assert as_set(latest_per_key(once)) == as_set(once)
+
+
+def test_latest_per_key_does_not_depend_on_input_order(spark):
+    rows = [("A", march(1 + i % 3), float(i), "2026-03-18", "same") for i in range(60)]
+    schema = "ticker string, date date, close_price double, _ingested_at string, _file_path string"
+    want = as_set(latest_per_key(spark.createDataFrame(rows, schema)))
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        assert as_set(latest_per_key(spark.createDataFrame(rows, schema).repartition(5))) == want
+
+
+def test_known_version_beats_unknown(spark):
+    rows = [("A", march(1), 1.0, None, "z"), ("A", march(1), 2.0, "2026-01-01", "a")]
+    schema = "ticker string, date date, close_price double, _ingested_at string, _file_path string"
+    assert latest_per_key(spark.createDataFrame(rows, schema)).first().close_price == 2.0
+
+
+def test_last_n_per_ticker(spark):
+    df = bars(spark, [("A", march(i), float(i)) for i in range(1, 8)] + [("B", march(1), 1.0)])
+    got = last_n_per_ticker(df, 3).select("ticker", "date")
+    assert as_set(got) == [("A", march(5)), ("A", march(6)), ("A", march(7)), ("B", march(1))]
+
+
+# --- windows -------------------------------------------------------------------------------
+
+
+def test_first_row_has_no_return_and_zero_previous_close_gives_null(spark):
+    df = bars(spark, [("A", march(1), 0.0), ("A", march(2), 5.0), ("A", march(3), 10.0)])
+    got = with_daily_return(df).orderBy("date").select("daily_return_pct").collect()
+    assert [r[0] for r in got] == [None, None, 100.0]
+
+
+def test_overlapping_files_give_no_false_zero_returns(spark):
+    both = [("A", march(16), 400.0, 1), ("A", march(17), 404.0, 1)] + [
+        ("A", march(16), 400.0, 2), ("A", march(17), 404.0, 2), ("A", march(18), 408.0, 2)]
+    df = spark.createDataFrame(both, "ticker string, date date, close_price double, snap int")
+    got = with_daily_return(latest_per_key(df, order=("snap",))).orderBy("date")
+    assert [r.daily_return_pct for r in got.collect()] == [None, 1.0, 0.9901]
+
+
+def test_dedup_first_equals_dedup_last_for_a_single_snapshot(spark):
+    df = bars(spark, [("A", march(i), float(i * i)) for i in range(1, 20)])
+    first = with_daily_return(latest_per_key(df))
+    last = latest_per_key(with_daily_return(df))
+    assert as_set(first.select("date", "daily_return_pct")) == as_set(last.select("date", "daily_return_pct"))
+
+
+def test_rolling_frames_count_rows_and_skip_nulls(spark):
+    days = [march(d) for d in range(1, 31) if d not in (7, 8, 14, 15)]
+    df = with_daily_return(bars(spark, [("A", d, 100.0 + i) for i, d in enumerate(days)]))
+    rows = with_rolling(df).orderBy("date").collect()
+    closes = [100.0 + i for i in range(len(days))]
+    for i, row in enumerate(rows):
+        last7, last20 = closes[max(0, i - 6) : i + 1], closes[max(0, i - 19) : i + 1]
+        assert row.moving_avg_7d == pytest.approx(sum(last7) / len(last7), abs=1e-4)
+        assert row.moving_avg_20d == pytest.approx(sum(last20) / len(last20), abs=1e-4)
+        returns = [r.daily_return_pct for r in rows[max(0, i - 6) : i + 1] if r.daily_return_pct is not None]
+        if len(returns) < 2:
+            assert row.volatility_7d is None
+        else:
+            mean = sum(returns) / len(returns)
+            want = (sum((x - mean) ** 2 for x in returns) / (len(returns) - 1)) ** 0.5
+            assert row.volatility_7d == pytest.approx(want, abs=1e-4)
+
+
+# --- joins ---------------------------------------------------------------------------------
+
+
+def aggregates(spark, rows):
+    return spark.createDataFrame([(t, d, v, v, v, v, v, v, 3) for t, d, v in rows], schemas.AGGREGATES)
+
+
+def activity(spark, rows):
+    return spark.createDataFrame([(t, d, c, p, 1, 1, 3) for t, d, c, p in rows], schemas.ACTIVITY)
+
+
+def test_combine_keeps_all_bars_and_drops_other_days(spark):
+    b = bars(spark, [("A", march(13), 10.0), ("A", march(16), 11.0)])
+    a = aggregates(spark, [("A", march(16), 10.5), ("B", march(16), 1.0)])
+    g = activity(spark, [("A", march(14), 5, 1), ("A", march(16), 6, 2)])
+    got = combine(b, a, g).orderBy("date").collect()
+    assert [(r.date, r.daily_return_pct, r.vwap, r.total_commits_today) for r in got] == [
+        (march(13), None, None, None), (march(16), 10.0, 10.5, 6)]
+    assert as_set(dropped_keys(b, g)) == [("A", march(14))]
+
+
+@pytest.mark.parametrize("sort", [False, True])
+def test_combine_without_optional_sources_has_typed_nulls(spark, sort):
+    got = combine(bars(spark, [("B", march(2), 1.0), ("A", march(1), 1.0)]), sort=sort)
+    want = [(f.name, f.dataType) for f in schemas.COMBINED if f.name != "processed_at"]
+    assert [(f.name, f.dataType) for f in got.schema] == want
+    rows = got.collect()
+    assert {(r.vwap, r.total_commits_today) for r in rows} == {(None, None)}
+    if sort:
+        assert [r.ticker for r in rows] == ["A", "B"]
+
+
+def test_missing_source_costs_no_join(spark):
+    plan = combine(bars(spark, [("A", march(1), 1.0)]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_processed_at_is_one_literal(spark):
+    when = dt.datetime(2026, 3, 17, 18, 0, tzinfo=dt.timezone.utc)
+    df = with_processed_at(bars(spark, [("A", march(1), 1.0), ("B", march(1), 1.0)]), when)
+    assert df.select(F.date_format("processed_at", "yyyy-MM-dd HH:mm")).distinct().collect()[0][0] == "2026-03-17 18:00"
+    assert with_processed_at(df.drop("processed_at")).select("processed_at").distinct().count() == 1
+
+
+# --- models --------------------------------------------------------------------------------
+
+
+def combined(spark):
+    b = bars(spark, [(t, march(d), 10.0 + d) for t in "AB" for d in range(1, 29)])
+    a = aggregates(spark, [("A", march(d), 5.0) for d in range(1, 29, 2)])
+    g = activity(spark, [("A", march(d), d, 1) for d in range(1, 29, 3)] + [("B", march(2), 30, 2)])
+    return combine(b, a, g)
+
+
+def test_single_scan_equals_join_form(spark):
+    raw = combined(spark)
+    odd = F.col("transactions") > 0
+    raw = raw.withColumn("vwap", F.when(odd & (F.dayofmonth("date") != 5), F.col("vwap")))  # slice filter false, values there
+    one, joined = company_daily(raw), company_daily(raw, unique_key=False)
+    assert one.columns == joined.columns
+    assert one.exceptAll(joined).isEmpty() and joined.exceptAll(one).isEmpty()
+
+
+def test_correlation_mart_keeps_days_without_activity(spark):
+    mart = mart_github_correlation(company_daily(combined(spark)))
+    assert mart.count() == 56
+    row = mart.where("ticker = 'B' and date = '2026-03-01'").first()
+    assert (row.developer_activity_score, row.is_high_activity_day, row.total_commits_today) == (0, False, None)
+    row = mart.where("ticker = 'A' and date = '2026-03-13'").first()
+    assert (row.developer_activity_score, row.is_high_activity_day) == (14, True)
+
+
+def test_run_models_column_lists(spark):
+    models = run_models(with_processed_at(combined(spark)))
+    assert models["int_company_daily"].columns == (
+        "ticker date open_price high_price low_price close_price volume daily_return_pct polygon_open polygon_close "
+        "polygon_volume vwap transactions total_commits_today total_open_prs total_stars total_forks repos_tracked processed_at"
+    ).split()
+    assert models["stg_polygon_trades"].columns == (
+        "ticker date polygon_open polygon_high polygon_low polygon_close polygon_volume vwap transactions").split()
+    assert models["stg_github_activity"].columns == (
+        "ticker date total_commits_today total_open_prs total_stars total_forks repos_tracked").split()
+    assert models["mart_stock_performance"].columns == (
+        "ticker date open_price high_price low_price close_price volume daily_return_pct vwap transactions moving_avg_7d "
+        "moving_avg_20d volatility_7d processed_at").split()
+    assert models["mart_github_correlation"].columns == (
+        "ticker date close_price daily_return_pct volume vwap total_commits_today total_open_prs total_stars total_forks "
+        "developer_activity_score is_high_activity_day processed_at").split()
+    assert models["mart_github_correlation"].schema["developer_activity_score"].dataType.simpleString() == "bigint"
+
+
+# --- activity ------------------------------------------------------------------------------
+
+FACT = "ticker string, repo string, date date"
+
+
+def test_capped_counts(spark):
+    df = spark.createDataFrame([("A", "r", march(1))] * 250 + [("A", "s", march(1))] * 2, FACT)
+    assert as_set(count_capped(df)) == [("A", "r", march(1), 100), ("A", "s", march(1), 2)]
+    assert as_set(count_capped(df, cap=None)) == [("A", "r", march(1), 250), ("A", "s", march(1), 2)]
+
+
+def test_commits_and_open_pull_requests(spark):
+    commits = spark.createDataFrame(
+        [(1, dt.datetime(2026, 3, 16, 23, 59, 59)), (2, dt.datetime(2026, 3, 17)), (3, dt.datetime(2026, 3, 18))],
+        "id int, ts timestamp_ntz")
+    assert [r.id for r in commits_on(commits, "2026-03-17").collect()] == [2, 3]
+    instants = commits.withColumn("ts", F.col("ts").cast("timestamp"))
+    assert [r.id for r in commits_on(instants, D(2026, 3, 17)).collect()] == [2, 3]
+    prs = spark.createDataFrame([(1, "open"), (2, "closed"), (3, None)], "id int, state string")
+    assert [r.id for r in open_prs(prs).collect()] == [1]
+
+
+def facts(spark):
+    stats = spark.createDataFrame(
+        [("MSFT", r, march(1), s, 2 * s) for r, s in (("vscode", 10), ("TypeScript", 5), ("terminal", 1))],
+        FACT + ", stars long, forks long")
+    commits = spark.createDataFrame([("MSFT", "vscode", march(1), 3), ("MSFT", "terminal", march(1), 1)], FACT + ", commits_today long")
+    prs = spark.createDataFrame(
+        [("MSFT", r, march(1), 2) for r in ("vscode", "TypeScript", "terminal")], FACT + ", open_prs long")
+    return repo_facts(stats, commits, prs)
+
+
+def test_repository_without_all_facts_counts_only_as_tracked(spark):
+    assert {r.repo for r in facts(spark).collect()} == {"vscode", "terminal"}
+    row = activity_rollup(facts(spark), companies(spark)).first()
+    assert (row.github_org, row.total_commits_today, row.total_open_prs, row.total_stars, row.total_forks, row.repos_tracked) == (
+        "microsoft", 4, 4, 11, 22, 3)
+    assert [d.repo for d in row.repo_details] == ["vscode", "terminal"]
+    assert repo_rows(activity_rollup(facts(spark), companies(spark))).count() == 2
+
+
+def test_rollup_for_a_run_date_has_every_company(spark):
+    got = {r.ticker: r for r in activity_rollup(facts(spark), companies(spark), march(1)).collect()}
+    assert set(got) == {t for t, _, _ in COMPANY_ROWS}
+    assert (got["AAPL"].total_stars, got["AAPL"].repos_tracked, got["AAPL"].repo_details) == (0, 3, [])
+    assert got["MSFT"].total_stars == 11 and len(got["MSFT"].repo_details) == 2
+
+
+def test_rollup_ignores_unknown_tickers_and_untracked_repos(spark):
+    other = spark.createDataFrame(
+        [("NONE", "vscode", march(1), 1, 1, 1, 1), ("MSFT", "fork-of-something", march(1), 1, 1, 1, 1)],
+        FACT + ", stars long, forks long, commits_today long, open_prs long")
+    assert activity_rollup(other, companies(spark)).isEmpty()
+
+
+def test_companies_have_exact_statistics(spark):
+    df = companies(spark)
+    assert df.count() == 5 and all(len(r.repos) == 3 for r in df.collect())
+    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10_000
+
+
+# --- quality -------------------------------------------------------------------------------
+
+
+def test_not_null_and_unique_checks(spark):
+    df = spark.createDataFrame([("A", march(1), None), (None, march(1), 1.0), (None, march(1), 2.0)], "ticker string, date date, close_price double")
+    got = check_not_null(df, ["ticker", "date", "close_price"])
+    assert [tuple(r) for r in got.collect()] == [("not_null", "ticker", 2), ("not_null", "date", 0), ("not_null", "close_price", 1)]
+    assert failing_rows(df, ["ticker", "close_price"]).count() == 3
+    assert as_set(check_unique(df)) == [(None, march(1), 2)]
+    with pytest.raises(QualityError, match="close_price"):
+        assert_quality(got)
+    assert_quality(got.where("failures = 0"))
+
+
+def test_mart_checks_pass_and_fail(spark):
+    marts = run_models(combined(spark))
+    assert_quality(check_marts(marts))
+    broken = {**marts, "mart_github_correlation": marts["mart_github_correlation"].unionByName(marts["mart_github_correlation"])}
+    with pytest.raises(QualityError, match="mart_github_correlation.unique"):
+        assert_quality(check_marts(broken))
+
+
+def test_validate_raw_counts_problems_and_versions(spark):
+    rows = [("A", march(1), None), ("A", march(1), None), ("B", march(1), None), ("", march(1), "no_ticker"), ("C", None, "bad_date"), ("D", None, "empty")]
+    df = spark.createDataFrame(rows, "ticker string, date date, row_problem string")
+    assert as_set(validate_raw(df)) == [("bad_date", 1), ("no_ticker", 1), ("several_versions", 1)]
+
+
+def test_column_comments_and_schema_listing(spark):
+    df = with_comments(mart_stock_performance(company_daily(combined(spark))))
+    comments = describe_columns(df)
+    assert {"ticker", "date", "close_price", "moving_avg_7d", "moving_avg_20d"} <= set(comments)
+    assert schema_of(df)[:2] == [("ticker", "string"), ("date", "date")]
+    assert width(df) == len(df.columns) == 13
+
+
+# --- reads ---------------------------------------------------------------------------------
+
+
+def test_reads(spark):
+    raw = combined(spark)
+    performance = mart_stock_performance(company_daily(raw))
+    correlation = mart_github_correlation(company_daily(raw))
+    assert row_count(raw).first().row_count == 56
+    top = preview(raw, 3).collect()
+    assert [(r.ticker, r.date) for r in top] == [("A", march(1)), ("A", march(2)), ("A", march(3))]
+    assert bars_on(raw, "B", "2026-03-05").first().close_price == 15.0
+    assert price_trend(performance, "A").count() == 28
+    assert {r.date for r in returns_between(performance, "2026-03-02", march(4)).collect()} == {march(2), march(3), march(4)}
+    assert returns_between(performance, "2026-03-02", march(4)).where("daily_return_pct is null").isEmpty()
+    assert volatility_by_company(performance).where("date < '2026-03-03'").isEmpty()
+    by = {r.ticker: r for r in activity_by_company(correlation).collect()}
+    assert (by["B"].total_score, by["B"].high_activity_days) == (32, 1)
+    corr = {r.ticker: r for r in activity_return_corr(correlation).collect()}
+    assert corr["A"].days == 9 and -1 <= corr["A"].score_return_corr < 0
+    assert corr["B"].score_return_corr is None
+
+
+# --- frames --------------------------------------------------------------------------------
+
+
+def test_empty_like_and_require_rows(spark):
+    nothing = empty_like(spark, schemas.AGGREGATES)
+    assert nothing.schema == schemas.AGGREGATES and nothing.isEmpty()
+    with pytest.raises(MissingSourceError, match="bars"):
+        require_rows(nothing, "bars")
+    df = bars(spark, [("A", march(1), 1.0)])
+    assert require_rows(df, "bars") is df
+
+
+def test_union_all_matches_columns_by_name(spark):
+    left = spark.createDataFrame([(1, "a")], "x int, y string")
+    right = spark.createDataFrame([("b", 2)], "y string, x int")
+    assert as_set(union_all([left, right, left])) == [(1, "a"), (1, "a"), (2, "b")]

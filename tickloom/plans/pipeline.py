@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.combine import combine, with_processed_at
@@ -52,13 +53,26 @@ def run_processing(
             require_rows(accepted(frame), source)
         elif not present_paths(spark, source_path(raw_dir, source)):
             continue
-        seen[source] = Observation(source)
-        bad = F.count_if(F.col("row_problem").isNotNull()).alias("not_accepted")
-        parsed[source] = frame.observe(seen[source], F.count(F.lit(1)).alias("rows"), bad)
-    seen["combined"] = Observation("combined")
+        seen[source] = (Observation(source), frame)
+        parsed[source] = frame.observe(seen[source][0], *_source_counts())
+    result = Observation("combined")
     combined = with_processed_at(build_combined(parsed), run_ts)
-    write_combined(combined.observe(seen["combined"], F.count(F.lit(1)).alias("rows")), combined_path(out_dir))
-    return {name: observation.get for name, observation in seen.items()}
+    write_combined(combined.observe(result, F.count(F.lit(1)).alias("rows")), combined_path(out_dir))
+    return {**{source: _observed(*pair) for source, pair in seen.items()}, "combined": result.get}
+
+
+def _source_counts() -> list[Column]:
+    not_accepted = F.count_if(F.col("row_problem").isNotNull())
+    return [F.count(F.lit(1)).alias("rows"), not_accepted.alias("not_accepted")]
+
+
+def _observed(observation: Observation, frame: DataFrame) -> dict:
+    """Observed counts. A join side that turns out empty leaves the final plan and takes its
+    metrics along; such a source has no accepted row, and is counted on its own."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return frame.agg(*_source_counts()).first().asDict()
 
 
 def combined_path(out_dir: str) -> str:
