@@ -20,7 +20,15 @@ from tickloom.sources.documents import (
     rejected,
     scan_documents,
 )
-from tickloom.sources.landing import ingest_summary, land_raw, only_new, read_landed, with_ingest_meta
+from tickloom.sources.landing import (
+    ingest_summary,
+    land_raw,
+    only_new,
+    read_landed,
+    scan_landed,
+    stamped_text,
+    with_ingest_meta,
+)
 
 D = dt.date
 
@@ -190,13 +198,12 @@ def test_several_roots_and_globs(spark, tmp_path):
 
 def landing_batch(spark, rows):
     """rows of (ticker, day, close)"""
-    documents = [bar_document(t, {d: bar(c)}, ingested=d) for t, d, c in rows]
-    return text_documents(spark, schemas.BAR_DOCUMENT, *documents).drop("_file_path", "_corrupt_record").withColumn(
-        "landing_date", F.col("_ingested_at").cast("date"))
+    texts = [(json.dumps(bar_document(t, {d: bar(c)}, ingested=d, undeclared=7)), D.fromisoformat(d)) for t, d, c in rows]
+    return spark.createDataFrame(texts, "document string, landing_date date")
 
 
-def landed_closes(spark, root):
-    parsed = accepted(parse_daily_bars(read_landed(spark, root, "stocks", schemas.BAR_DOCUMENT)))
+def landed_closes(spark, root, **options):
+    parsed = accepted(parse_daily_bars(read_landed(spark, root, "stocks", schemas.BAR_DOCUMENT, **options)))
     return sorted((r.ticker, str(r.date), r.close_price) for r in parsed.collect())
 
 
@@ -205,13 +212,16 @@ def test_landing_twice_is_landing_once_and_later_batches_win(spark, tmp_path, la
     root = str(tmp_path / "raw")
     first = landing_batch(spark, [("A", "2026-03-16", "1"), ("B", "2026-03-16", "2"), ("A", "2026-03-17", "3")])
     for _ in range(2):
-        land_raw(first, root, "stocks", "20260317T180000", layout=layout)
-    assert (tmp_path / "raw" / "source=stocks" / folder / "batch=20260317T180000").is_dir()
+        land_raw(first, root, "stocks", "20260317T180000", layout)
+    place = tmp_path / "raw" / "source=stocks" / folder / "batch=20260317T180000"
+    assert place.is_dir() and "undeclared" in "".join(f.read_text() for f in place.glob("part-*"))
     want = [("A", "2026-03-16", 1.0), ("A", "2026-03-17", 3.0), ("B", "2026-03-16", 2.0)]
     assert landed_closes(spark, root) == want
-    land_raw(landing_batch(spark, [("A", "2026-03-16", "9")]), root, "stocks", "20260318T180000", layout=layout)
+    land_raw(landing_batch(spark, [("A", "2026-03-16", "9")]), root, "stocks", "20260318T180000", layout)
     assert landed_closes(spark, root) == [("A", "2026-03-16", 9.0), *want[1:]]
-    assert scan_documents(spark, root, schemas.BAR_DOCUMENT, multi_line=False).count() == 4
+    assert landed_closes(spark, root, day="2026-03-16", layout=layout) == [("A", "2026-03-16", 9.0), want[2]]
+    assert landed_closes(spark, root, day="2026-03-20", layout=layout) == []
+    assert scan_landed(spark, root, "stocks").count() == 4
 
 
 def test_unknown_layout(spark, tmp_path):
@@ -219,6 +229,21 @@ def test_unknown_layout(spark, tmp_path):
         land_raw(landing_batch(spark, [("A", "2026-03-16", "1")]), str(tmp_path), "stocks", "b", layout="weekly")
 
 
+@pytest.mark.parametrize(
+    "payload, want",
+    [
+        ('{\n  "a": 1,\n  "b": {"c": "x\\ny"}\n}', {"_ticker": 'A"B', "a": 1, "b": {"c": "x\ny"}}),
+        ("{}", {"_ticker": 'A"B'}),
+        ("[1]", None), ("{broken", None), ("", None), (None, None), ('"text"', None),
+    ],
+)
+def test_stamped_text(spark, payload, want):
+    column = stamped_text(F.lit(payload).cast("string"), _ticker=F.lit('A"B'))
+    text = spark.range(1).select(column.alias("x")).first().x
+    assert (None if text is None else json.loads(text)) == want
+    assert text is None or "\n" not in text
+
+
 def test_only_new(spark):
     schema = "source string, ticker string, date string"
     batch = spark.createDataFrame([("stocks", t, "2026-03-16") for t in "AABC"], schema)

@@ -84,3 +84,9 @@ def activity_rollup(facts: DataFrame, companies: DataFrame, run_date: dt.date |
 def repo_rows(rollup: DataFrame) -> DataFrame:
     """The nested per-repository details as rows."""
     return rollup.select("ticker", "date", F.explode("repo_details").alias("d")).select("ticker", "date", "d.*")
+
+
+def as_responses(rollup: DataFrame) -> DataFrame:
+    """Roll-up rows as ``(ticker, payload)`` activity documents, ready to be landed."""
+    document = F.struct(*[F.col(c).cast("string").alias(c) if c == "date" else F.col(c) for c in rollup.columns])
+    return rollup.select("ticker", F.to_json(document).alias("payload"))

@@ -24,11 +24,11 @@ def latest_per_key(df: DataFrame, keys=KEYS, order=VERSION) -> DataFrame:
 
 
 def last_n_per_ticker(df: DataFrame, n: int = 100) -> DataFrame:
-    """The last ``n`` days of each ticker, ascending.
+    """The last ``n`` days of each ticker, ascending within it.
 
     The rank filter is applied per map task first (WindowGroupLimit), so at most ``n`` rows
     of a ticker leave each task.
     """
     newest_first = Window.partitionBy("ticker").orderBy(F.desc("date"))
     ranked = df.withColumn("_rank", F.row_number().over(newest_first))
-    return ranked.where(F.col("_rank") <= n).drop("_rank")
+    return ranked.where(F.col("_rank") <= n).drop("_rank").sortWithinPartitions("ticker", "date")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from tickloom.operators.combine import combine, with_processed_at
 from tickloom.operators.dedup import latest_per_key
 from tickloom.operators.quality import assert_quality, check_marts, with_comments
 from tickloom.operators.reads import preview
+from tickloom.plans.counts import observed
 from tickloom.plans.models import (
     company_daily,
     mart_github_correlation,
@@ -21,8 +21,18 @@ from tickloom.plans.models import (
     stg_stock_prices,
 )
 from tickloom.sinks import publish_table, register_views, write_combined
-from tickloom.sources.documents import SOURCES, accepted, read_parsed, rejected, source_path
+from tickloom.sources.documents import (
+    DOCUMENT_SCHEMAS,
+    PARSERS,
+    SOURCES,
+    accepted,
+    documents_from_text,
+    read_parsed,
+    rejected,
+    source_path,
+)
 from tickloom.sources.frames import present_paths, require_rows, union_all
+from tickloom.sources.landing import day_folder, scan_landed
 from tickloom.sources.tables import read_combined
 
 
@@ -32,12 +42,37 @@ def build_combined(parsed: dict[str, DataFrame]) -> DataFrame:
     return combine(latest["stocks"], latest.get("polygon"), latest.get("github"))
 
 
+LAYOUTS = ("files", "lines", "landed")
+
+
+def source_folder(raw_dir: str, source: str, layout: str) -> str:
+    return day_folder(raw_dir, source) if layout == "landed" else source_path(raw_dir, source)
+
+
+def parsed_source(
+    spark: SparkSession, raw_dir: str, source: str, layout: str = "files", strict_nulls: bool = False
+) -> DataFrame:
+    """All rows of one source with ``row_problem``.
+
+    ``layout`` is how ``raw_dir`` holds documents: one per file (``files``), JSON lines
+    (``lines``) or as :func:`~tickloom.plans.ingest.run_ingestion` left them (``landed``).
+    """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
+    if layout == "landed":
+        documents = documents_from_text(
+            scan_landed(spark, raw_dir, source), "value", DOCUMENT_SCHEMAS[source], "_file_path"
+        )
+        return PARSERS[source](documents, strict_nulls)
+    return read_parsed(spark, raw_dir, source, strict_nulls, multi_line=layout == "files")
+
+
 def run_processing(
     spark: SparkSession,
     raw_dir: str,
     out_dir: str,
     run_ts: dt.datetime | None = None,
-    multi_line: bool = True,
+    layout: str = "files",
     strict_nulls: bool = False,
 ) -> dict[str, dict]:
     """Read the three sources, combine them and write ``out_dir``/combined in one pass.
@@ -48,17 +83,17 @@ def run_processing(
     """
     parsed, seen = {}, {}
     for source in SOURCES:
-        frame = read_parsed(spark, raw_dir, source, strict_nulls, multi_line)
+        frame = parsed_source(spark, raw_dir, source, layout, strict_nulls)
         if source == "stocks":
             require_rows(accepted(frame), source)
-        elif not present_paths(spark, source_path(raw_dir, source)):
+        elif not present_paths(spark, source_folder(raw_dir, source, layout)):
             continue
         seen[source] = (Observation(source), frame)
         parsed[source] = frame.observe(seen[source][0], *_source_counts())
     result = Observation("combined")
     combined = with_processed_at(build_combined(parsed), run_ts)
     write_combined(combined.observe(result, F.count(F.lit(1)).alias("rows")), combined_path(out_dir))
-    return {**{source: _observed(*pair) for source, pair in seen.items()}, "combined": result.get}
+    return {**{source: observed(*pair, _source_counts()) for source, pair in seen.items()}, "combined": result.get}
 
 
 def _source_counts() -> list[Column]:
@@ -66,24 +101,15 @@ def _source_counts() -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), not_accepted.alias("not_accepted")]
 
 
-def _observed(observation: Observation, frame: DataFrame) -> dict:
-    """Observed counts. A join side that turns out empty leaves the final plan and takes its
-    metrics along; such a source has no accepted row, and is counted on its own."""
-    try:
-        return observation.get
-    except Py4JJavaError:
-        return frame.agg(*_source_counts()).first().asDict()
-
-
 def combined_path(out_dir: str) -> str:
     return f"{out_dir.rstrip('/')}/combined"
 
 
-def write_quarantine(spark: SparkSession, raw_dir: str, path: str, multi_line: bool = True) -> None:
+def write_quarantine(spark: SparkSession, raw_dir: str, path: str, layout: str = "files") -> None:
     """Write what the sources' parsers refused, by source and problem, for a closer look."""
     bad = []
     for source in SOURCES:
-        rows = rejected(read_parsed(spark, raw_dir, source, multi_line=multi_line))
+        rows = rejected(parsed_source(spark, raw_dir, source, layout))
         bad.append(rows.select(F.lit(source).alias("source"), "ticker", "date", "_ingested_at", "_file_path", "row_problem"))
     union_all(bad).write.mode("overwrite").partitionBy("source", "row_problem").parquet(path)
 

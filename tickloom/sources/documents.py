@@ -36,8 +36,7 @@ def scan_documents(
     """One row per JSON document below ``paths``, with ``_file_path``.
 
     ``multi_line=True`` is the vendor layout (one pretty-printed document per file).
-    ``multi_line=False`` reads JSON lines as :func:`~tickloom.sources.landing.land_raw`
-    writes them; such files are splittable, so use it at scale. Missing paths give an empty
+    ``multi_line=False`` reads JSON lines, which Spark can split. Missing paths give an empty
     frame of the same schema.
     """
     roots = present_paths(spark, paths)
@@ -207,6 +206,10 @@ _FEEDS = {
 }
 
 
+DOCUMENT_SCHEMAS = {source: schema for source, (schema, _) in _FEEDS.items()}
+PARSERS = {source: parse for source, (_, parse) in _FEEDS.items()}
+
+
 def source_path(raw_dir: str, source: str) -> str:
     return f"{raw_dir.rstrip('/')}/{source}"
 

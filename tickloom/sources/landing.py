@@ -1,21 +1,25 @@
-"""Landing raw documents: stamps, skip-if-landed, partitioned JSON, ingest summary."""
+"""Landing raw documents: stamps, skip-if-landed, partitioned JSON lines, ingest summary.
+
+A landed document is its JSON text on one line, so fields no schema declares stay in it.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickloom.functions import run_date_text
 from tickloom.operators.dedup import latest_per_key
-from tickloom.sources.documents import scan_documents
+from tickloom.sources.documents import documents_from_text
+from tickloom.sources.frames import empty_like, present_paths
 
 DOCUMENT_KEYS = ("source", "ticker", "date")
 LAYOUTS = ("compact", "ymd")
 
-# What names a landed document of each source.
+# What names a landed document of each source: its ticker field and its day field.
 LANDING_KEYS = {
     "stocks": ("_ticker", "_ingested_at"),
     "polygon": ("_ticker", "_trading_date"),
@@ -31,6 +35,17 @@ def with_ingest_meta(df: DataFrame, run_date: dt.date | str, ticker: str = "tick
     return stamped.withColumn("_trading_date", run_date_text(F.col(trading_date)))
 
 
+def stamped_text(payload: Column, **meta: Column) -> Column:
+    """JSON object text ``payload`` on one line with fields ``meta`` before its own.
+
+    NULL when ``payload`` is not a JSON object.
+    """
+    body = F.to_json(F.try_parse_json(payload))
+    front = F.to_json(F.struct(*[value.alias(name) for name, value in meta.items()]))
+    joined = F.concat(F.regexp_replace(front, r"\}$", ","), F.substring(body, 2, 2**31 - 1))
+    return F.when(body == "{}", front).when(body.startswith("{"), joined)
+
+
 def only_new(batch: DataFrame, landed: DataFrame, keys=DOCUMENT_KEYS) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``landed``.
 
@@ -41,57 +56,71 @@ def only_new(batch: DataFrame, landed: DataFrame, keys=DOCUMENT_KEYS) -> DataFra
     return batch.join(landed.select(keys).distinct(), keys, "left_anti")
 
 
-def _with_layout(df: DataFrame, layout: str, date: str, batch_id: str) -> tuple[DataFrame, list[str]]:
+def _day_parts(day: Column, layout: str) -> dict[str, Column]:
     if layout == "compact":
-        return df.withColumns({"dt": run_date_text(F.col(date)), "batch": F.lit(batch_id)}), ["source", "dt", "batch"]
+        return {"dt": run_date_text(day)}
     if layout == "ymd":
-        parts = {
-            "year": F.date_format(date, "yyyy"),
-            "month": F.date_format(date, "MM"),
-            "day": F.date_format(date, "dd"),
-            "batch": F.lit(batch_id),
-        }
-        return df.withColumns(parts), ["source", *parts]
+        return {"year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM"), "day": F.date_format(day, "dd")}
     raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
 
 
-def land_raw(
-    documents: DataFrame, root: str, source: str, batch_id: str, date: str = "landing_date", layout: str = "compact"
-) -> None:
-    """Write ``documents`` as JSON lines below ``root``, partitioned by source, day and batch.
+def day_folder(root: str, source: str, day: dt.date | str | None = None, layout: str = "compact") -> str:
+    """Folder of one source, or of one of its days."""
+    folder = f"{root.rstrip('/')}/source={source}"
+    if day is None:
+        return folder
+    if layout == "compact":
+        return f"{folder}/dt={day}"
+    year, month, dom = str(day).split("-")
+    return f"{folder}/year={year}/month={month}/day={dom}"
+
+
+def land_raw(documents: DataFrame, root: str, source: str, batch_id: str, layout: str = "compact") -> None:
+    """Write ``(document, landing_date)`` as JSON lines below ``root`` by source, day and batch.
 
     Each batch owns its partitions, and dynamic overwrite replaces just those, so running a
     batch again after a failure leaves the same files. A document landed by two batches is
-    resolved when read (:func:`read_landed`), the later batch winning. ``date`` is a date
-    column that only decides the partition and is not kept in the document.
+    resolved when read (:func:`read_landed`), the later batch winning.
 
     One file per (source, ticker, day) would leave thousands of tiny files a day; the
     rebalance step instead packs a day into files of the advisory size and splits a large one.
     """
-    placed, partitions = _with_layout(documents.withColumn("source", F.lit(source)), layout, date, batch_id)
+    parts = {"source": F.lit(source), **_day_parts(F.col("landing_date"), layout), "batch": F.lit(batch_id)}
     (
-        placed.drop(date)
-        .hint("rebalance", *partitions)
+        documents.select("document", *[value.alias(name) for name, value in parts.items()])
+        .hint("rebalance", *parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .json(root)
+        .partitionBy(*parts)
+        .text(root)
     )
 
 
-def read_landed(spark: SparkSession, root: str, source: str, schema: StructType) -> DataFrame:
-    """Landed documents of one source, the latest batch of each key.
+def scan_landed(
+    spark: SparkSession, root: str, source: str, day: dt.date | str | None = None, layout: str = "compact"
+) -> DataFrame:
+    """Landed document texts with their key fields, batch and file; only one day's folder if given."""
+    keys = StructType([StructField(name, StringType()) for name in LANDING_KEYS[source]])
+    folder = present_paths(spark, day_folder(root, source, day, layout))
+    if folder:
+        lines = spark.read.option("recursiveFileLookup", True).text(folder)
+        lines = lines.withColumn("_file_path", F.col("_metadata.file_path"))
+    else:
+        lines = empty_like(spark, StructType([StructField(name, StringType()) for name in ("value", "_file_path")]))
+    batch = F.regexp_extract("_file_path", r"/batch=([^/]+)/", 1)
+    fields = F.inline(F.array(F.from_json("value", keys)))
+    return lines.select("value", "_file_path", batch.alias("_batch"), fields)
+
+
+def read_landed(
+    spark: SparkSession, root: str, source: str, schema: StructType, day: dt.date | str | None = None, layout: str = "compact"
+) -> DataFrame:
+    """Landed documents of one source, from the latest batch of each key.
 
-    ``batch`` is the last path segment before the file name, so later batches must sort
-    after earlier ones (a timestamp does). Map columns cannot be compared; such a payload is
-    carried as JSON text through the choice.
+    Batch names must sort in order of time (timestamps do).
     """
-    documents = scan_documents(spark, f"{root.rstrip('/')}/source={source}", schema, multi_line=False)
-    batch = F.regexp_extract("_file_path", r"/batch=([^/]+)/", 1)
-    keys = LANDING_KEYS[source]
-    carried = documents.select(*keys, batch.alias("_batch"), "_file_path", F.to_json(F.struct(*schema.names)).alias("_doc"))
-    latest = latest_per_key(carried, keys, order=("_batch", "_file_path"))
-    return latest.select(F.from_json("_doc", schema).alias("d"), "_file_path").select("d.*", "_file_path")
+    latest = latest_per_key(scan_landed(spark, root, source, day, layout), LANDING_KEYS[source], ("_batch", "_file_path"))
+    return documents_from_text(latest, "value", schema, "_file_path")
 
 
 def ingest_summary(audit: DataFrame) -> DataFrame:
