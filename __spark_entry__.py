@@ -46,6 +46,7 @@ from tickloom.operators.reads import (  # noqa: E402
     volatility_by_company,
 )
 from tickloom.operators.windows import with_daily_return  # noqa: E402
+from tickloom.plans.ingest import OUTCOMES, audit_responses  # noqa: E402
 from tickloom.plans.models import (  # noqa: E402
     company_daily,
     mart_github_correlation,
@@ -68,7 +69,7 @@ from tickloom.sources.documents import (  # noqa: E402
     rejected,
 )
 from tickloom.sources.frames import union_all  # noqa: E402
-from tickloom.sources.landing import ingest_summary, only_new  # noqa: E402
+from tickloom.sources.landing import ingest_summary, only_new, with_ingest_meta  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -413,9 +414,9 @@ def payload_status(spark: SparkSession, sf: str) -> DataFrame:
     return classify_payload(feeds.event_responses(events(spark, sf)), "stocks").select("event_id", "payload_status")
 
 
-@query("select event_id, concat('U', cast(user_id as varchar)) as ticker from events where event_type in ('click', 'purchase')")
+@query("select event_id, event_type from events where event_type in ('click', 'purchase')")
 def landable_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return landable(feeds.event_responses(events(spark, sf)), "stocks").select("event_id", F.col("_ticker").alias("ticker"))
+    return landable(feeds.event_responses(events(spark, sf)), "stocks").select("event_id", "event_type")
 
 
 @query("""select 'stocks' as source, count(*) filter (where event_type = 'purchase') as success_count,
@@ -429,6 +430,29 @@ def ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
     return ingest_summary(classified.select(F.lit("stocks").alias("source"), status.alias("status")))
 
 
+@query("""with responses as (select concat('U', cast(user_id as varchar)) as ticker,
+    count(*) filter (where event_type in ('click', 'purchase')) as good,
+    count(*) filter (where event_type not in ('click', 'purchase')) as bad, bool_or(value > 100) as known from events group by 1)
+select ticker, not known and good > 0 as has_document, case when known then 0 else least(good, 1) end as success_count,
+    case when known then good + bad else greatest(good - 1, 0) end as skip_count,
+    case when known then 0 else bad end as error_count from responses""")
+def response_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as the responses of one day, with users that have an event above 100 landed before."""
+    rows = events(spark, sf)
+    ticker = F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker")
+    landed = rows.where(F.col("value") > 100).select(ticker)
+    responses = rows.select(ticker, feeds.response_text().alias("payload"))
+    audit = audit_responses(responses, landed, "stocks", "2024-02-01", "2024-02-01")
+    return audit.select("ticker", F.col("document").isNotNull().alias("has_document"), *OUTCOMES)
+
+
+@query(f"""with bars as ({USER_BARS}) select ticker, close_price, ticker as _ticker, '2024-02-01' as _ingested_at,
+    strftime(date, '%Y-%m-%d') as _trading_date from bars""")
+def ingest_stamps(spark: SparkSession, sf: str) -> DataFrame:
+    bars = feeds.user_bars(events(spark, sf)).select("ticker", "date", "close_price")
+    return with_ingest_meta(bars, "2024-02-01", trading_date="date").drop("date")
+
+
 @query(f"""with bars as ({USER_BARS}) select ticker, date, concat(ticker, '_', strftime(date, '%Y-%m-%d'), '.json') as doc_key,
     concat(strftime(date, '%Y-%m-%d'), 'T00:00:00Z') as since from bars""")
 def document_keys(spark: SparkSession, sf: str) -> DataFrame:

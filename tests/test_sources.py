@@ -34,7 +34,7 @@ D = dt.date
 
 
 def bar(close="404.0", **other):
-    return {"1. open": "399.66", "2. high": "404.40", "3. low": "395.00", "4. close": close, "5. volume": "100", **other}
+    return {"1. open": "212.25", "2. high": "219.75", "3. low": "208.50", "4. close": close, "5. volume": "100", **other}
 
 
 def bar_document(ticker, series, ingested="2026-03-18", **other):
@@ -64,7 +64,7 @@ def test_bar_files(spark, tmp_path):
     rows = {(r.ticker, r.date): r for r in got.collect()}
     assert set(rows) == {("MSFT", D(2026, 3, 16)), ("MSFT", D(2026, 3, 17)), ("AAPL", D(2026, 3, 17))}
     one = rows["MSFT", D(2026, 3, 17)]
-    assert (one.open_price, one.high_price, one.low_price, one.close_price, one.volume) == (399.66, 404.4, 395.0, 404.0, 100)
+    assert (one.open_price, one.high_price, one.low_price, one.close_price, one.volume) == (212.25, 219.75, 208.5, 404.0, 100)
     assert one._ingested_at == "2026-03-18" and one._file_path.endswith("MSFT_1.json")
 
 
@@ -90,7 +90,7 @@ def test_missing_and_malformed_values(spark):
     problems = sorted((r.ticker, r.row_problem) for r in rejected(parsed).collect())
     assert problems == [("", "no_ticker"), ("BAD", "bad_number"), ("DAY", "bad_date"), ("VOL", "bad_number")]
     strict = accepted(parse_daily_bars(documents, strict_nulls=True)).where("ticker = 'OK'").first()
-    assert strict.close_price is None and strict.open_price == 399.66
+    assert strict.close_price is None and strict.open_price == 212.25
 
 
 def test_numbers_given_as_numbers(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.test_sources import bar, bar_document, write
 from tickloom import schemas
 from tickloom.streaming import apply_corrections, follow_corrections, land_incremental
-from tickloom.streaming.bars import read_corrected_bars, read_landed_bars
+from tickloom.streaming.bars import checkpoint_for, read_corrected_bars, read_landed_bars
 
 
 def land(tmp_path, name, ticker, closes, ingested):
@@ -94,9 +94,18 @@ def test_an_unfinished_staging_copy_is_written_anew(spark, tmp_path):
 
 def test_default_checkpoint_is_in_the_shared_folder(spark, tmp_path):
     land(tmp_path, "1.json", "A", {"2026-03-16": "400"}, "2026-03-16")
-    land_incremental(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
-    shared = spark.conf.get("spark.checkpoint.dir")
-    assert os.path.isdir(f"{shared}/streams/land_bars/offsets")
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        land_incremental(spark, str(tmp_path / "raw"), out)
+    place = checkpoint_for(spark, "land_bars", out)
+    assert place.startswith(spark.conf.get("spark.checkpoint.dir")) and os.path.isdir(f"{place}/offsets")
+    assert place != checkpoint_for(spark, "land_bars", out + "2")
+    assert read_landed_bars(spark, out).count() == 1
+
+
+def test_checkpoint_without_a_shared_folder_is_beside_the_target(spark, monkeypatch):
+    monkeypatch.setattr("tickloom.streaming.bars.shared_dir", lambda _: None)
+    assert checkpoint_for(spark, "land_bars", "/data/out/") == "/data/out_land_bars_checkpoint"
 
 
 def test_a_bad_source_is_an_error(spark, tmp_path):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.schemas import KEYS
 from tickloom.sources.documents import EMPTY
+from tickloom.sources.frames import union_all
 
 # The columns the models promise never to be NULL.
 NOT_NULL_COLUMNS = {
@@ -97,14 +98,25 @@ def assert_quality(checks: DataFrame) -> None:
         raise QualityError("; ".join(str(row.asDict()) for row in failed))
 
 
+def check_table(df: DataFrame, columns, name: str, keys=KEYS) -> DataFrame:
+    """Not-null and grain checks of one table as ``(check, column_name, failures)``, in one pass.
+
+    Rows are reduced per key, NULLs counted along the way, before the grain is looked at.
+    """
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), *nulls)
+    totals = per_key.agg(
+        F.count_if(F.col("copies") > 1).alias("repeated"),
+        *[F.coalesce(F.sum(f"null_{c}"), F.lit(0)).alias(f"null_{c}") for c in columns],
+    )
+    found = {("not_null", c): f"null_{c}" for c in columns} | {("unique", ",".join(keys)): "repeated"}
+    rows = [
+        F.struct(F.lit(f"{name}.{kind}").alias("check"), F.lit(on).alias("column_name"), F.col(c).alias("failures"))
+        for (kind, on), c in found.items()
+    ]
+    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def check_marts(marts: dict[str, DataFrame]) -> DataFrame:
-    """Not-null and grain checks of all marts as ``(check, column_name, failures)``."""
-    checks = []
-    for name, columns in NOT_NULL_COLUMNS.items():
-        checks.append(check_not_null(marts[name], columns, f"{name}.not_null"))
-        repeated = check_unique(marts[name]).agg(F.count(F.lit(1)).alias("failures"))
-        checks.append(repeated.select(F.lit(f"{name}.unique").alias("check"), F.lit(",".join(KEYS)).alias("column_name"), "failures"))
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
+    """All promised checks of the marts."""
+    return union_all([check_table(marts[name], columns, name) for name, columns in NOT_NULL_COLUMNS.items()])

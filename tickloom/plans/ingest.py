@@ -15,15 +15,15 @@ OUTCOMES = ("success_count", "skip_count", "error_count")
 
 
 def audit_responses(
-    responses: DataFrame, root: str, source: str, day: dt.date | str, run_date: dt.date | str, layout: str = "compact"
+    responses: DataFrame, landed: DataFrame, source: str, day: dt.date | str, run_date: dt.date | str
 ) -> DataFrame:
     """One row per ticker among the ``(ticker, payload)`` responses of one day.
 
-    ``document`` is the stamped payload to store, NULL if there is none; the three counts say
-    how many of the ticker's responses were stored, skipped (its key is landed, or the batch
-    holds a good one already) and refused (an error, a throttling note, no series, no JSON
-    object). Responses are reduced per ticker before the shuffle, and only the day's landing
-    folder is read.
+    ``landed`` holds the tickers that have a document of that day. ``document`` is the stamped
+    payload to store, NULL if there is none; the three counts say how many of the ticker's
+    responses were stored, skipped (landed before, or the batch holds a good one already) and
+    refused (an error, a throttling note, no series, no JSON object). Responses are reduced
+    per ticker before the shuffle.
     """
     ticker_field, day_field = LANDING_KEYS[source]
     stamps = {"_ingested_at": F.lit(str(run_date))}
@@ -41,9 +41,8 @@ def audit_responses(
             F.count_if(~usable).alias("bad"),
         )
     )
-    spark = responses.sparkSession
-    known = scan_landed(spark, root, source, day, layout).select(F.col(ticker_field).alias("_key"), F.lit(True).alias("known"))
-    checked = per_key.join(known.distinct(), "_key", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    known = landed.select(F.col("ticker").alias("_key")).distinct().withColumn("known", F.lit(True))
+    checked = per_key.join(known, "_key", "left").withColumn("known", F.coalesce("known", F.lit(False)))
     good, bad, is_known = F.col("good"), F.col("bad"), F.col("known")
     return checked.select(
         F.col("_key").alias("ticker"),
@@ -68,8 +67,13 @@ def run_ingestion(
     batch_id: str | None = None,
     layout: str = "compact",
 ) -> dict[str, int]:
-    """Land the good and new documents among ``responses`` and count all of them by outcome."""
-    audit = audit_responses(responses, root, source, day, run_date or day, layout)
+    """Land the good and new documents among ``responses`` and count all of them by outcome.
+
+    Of the landing only the folder of ``day`` is read.
+    """
+    ticker_field, _ = LANDING_KEYS[source]
+    landed = scan_landed(spark, root, source, day, layout).select(F.col(ticker_field).alias("ticker"))
+    audit = audit_responses(responses, landed, source, day, run_date or day)
     seen = Observation(f"ingest_{source}")
     stored = audit.observe(seen, *_totals()).where(F.col("document").isNotNull())
     documents = stored.select("document", F.lit(str(day)).cast("date").alias("landing_date"))

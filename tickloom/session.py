@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -51,20 +50,10 @@ def shuffle_partitions_for(shuffled_bytes: int, cores: int) -> int:
     return math.ceil(wanted / cores) * cores
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, for checkpoints and staged tables.
-
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session without that
-    setting falls back to a temporary folder of this machine.
-    """
+def shared_dir(spark: SparkSession) -> str | None:
+    """The folder all executors reach, as the cluster names it in ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir is not set; a cluster job needs a shared folder")
-    chosen = tempfile.mkdtemp(prefix="tickloom-")
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    return configured.rstrip("/") if configured else None
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -185,20 +185,20 @@ def activity_as_documents(activity: DataFrame) -> DataFrame:
     return activity.select(F.to_json(document).alias("value"))
 
 
-def event_responses(events: DataFrame) -> DataFrame:
-    """Every event as a bar response: refused, throttled, without a series, or good."""
+def response_text() -> Column:
+    """An event as the text of a bar response: refused, throttled, without a series, or good."""
     kind = F.col("event_type")
-    bar = F.struct(F.col("value").cast("string").alias("4. close"))
-    series = F.when(kind.isin("click", "purchase"), F.create_map(run_date_text(F.col("ts")), bar))
-    text = F.to_json(
+    bar = F.struct(F.col("value").cast("string").alias(schemas.BAR_FIELDS["close_price"]))
+    return F.to_json(
         F.struct(
-            F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("_ticker"),
-            series.alias(schemas.SERIES_FIELD),
+            F.when(kind.isin("click", "purchase"), F.create_map(run_date_text(F.col("ts")), bar)).alias(schemas.SERIES_FIELD),
             F.when(kind == "error", "unknown symbol").alias("Error Message"),
             F.when(kind == "view", "call limit reached").alias("Note"),
         )
     )
-    return documents_from_text(
-        events.select("event_id", "event_type", text.alias("value")), "value", schemas.BAR_DOCUMENT, "event_id", "event_type"
-    )
 
+
+def event_responses(events: DataFrame) -> DataFrame:
+    """Every event as a parsed bar response."""
+    text = events.select("event_id", "event_type", response_text().alias("value"))
+    return documents_from_text(text, "value", schemas.BAR_DOCUMENT, "event_id", "event_type")

@@ -6,6 +6,8 @@ run and stop. The checkpoint remembers which files were taken, so none is proces
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,16 @@ def stream_documents(spark: SparkSession, path: str, multi_line: bool = True, ma
     )
 
 
-def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
-    return checkpoint or f"{shared_dir(spark)}/streams/{name}"
+def checkpoint_for(spark: SparkSession, job: str, target: str) -> str:
+    """Where ``job`` remembers what it has taken into ``target``, the same in every run.
+
+    In the shared folder of the cluster; without one, beside the target.
+    """
+    shared = shared_dir(spark)
+    if shared is None:
+        return f"{target.rstrip('/')}_{job}_checkpoint"
+    digest = hashlib.sha256(target.rstrip("/").encode()).hexdigest()[:16]
+    return f"{shared}/streams/{job}-{digest}"
 
 
 def land_incremental(
@@ -51,7 +61,7 @@ def land_incremental(
         .writeStream.format("parquet")
         .partitionBy("verdict")
         .option("path", out)
-        .option("checkpointLocation", _checkpoint(spark, "land_bars", checkpoint))
+        .option("checkpointLocation", checkpoint or checkpoint_for(spark, "land_bars", out))
         .trigger(availableNow=True)
         .start()
     )
@@ -115,7 +125,7 @@ def follow_corrections(
     spark: SparkSession, raw_dir: str, table: str, checkpoint: str | None = None, multi_line: bool = True, **options
 ) -> None:
     """Keep ``table`` current from bar files, later versions of a bar replacing earlier ones."""
-    place = _checkpoint(spark, "correct_bars", checkpoint)
+    place = checkpoint or checkpoint_for(spark, "correct_bars", table)
     # Beside the offsets it belongs to: a fresh checkpoint never meets an old staging copy.
     staging = f"{place}/staged"
     documents = stream_documents(spark, source_path(raw_dir, "stocks"), multi_line, **options)
