@@ -12,7 +12,7 @@ from tickloom.operators.dedup import last_n_per_ticker, latest_per_key
 from tickloom.operators.reads import price_trend
 from tickloom.operators.windows import with_daily_return, with_rolling
 from tickloom.plans.models import company_daily, mart_stock_performance
-from tickloom.plans.pipeline import build_combined
+from tickloom.plans.pipeline import build_combined, parsed_source
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -95,3 +95,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = plan(queries["price_trend_one_ticker"](spark, SF_DIR))
     assert "EqualTo(c_mktsegment,BUILDING)" in text
     assert "o_orderpriority" not in text and "o_orderstatus" not in text
+
+
+def test_landed_documents_are_parsed_once(spark, tmp_path):
+    folder = tmp_path / "source=stocks" / "dt=2026-03-16" / "batch=1"
+    folder.mkdir(parents=True)
+    (folder / "part-0.txt").write_text('{"_ticker": "A"}\n')
+    text = plan(parsed_source(spark, str(tmp_path), "stocks", layout="landed"))
+    assert text.count("from_json") == 1

@@ -233,8 +233,8 @@ def test_unknown_layout(spark, tmp_path):
     "payload, want",
     [
         ('{\n  "a": 1,\n  "b": {"c": "x\\ny"}\n}', {"_ticker": 'A"B', "a": 1, "b": {"c": "x\ny"}}),
-        ("{}", {"_ticker": 'A"B'}),
-        ("[1]", None), ("{broken", None), ("", None), (None, None), ('"text"', None),
+        (' \n{ } ', {"_ticker": 'A"B'}),
+        ("[1]", None), ("", None), (None, None), ('"text"', None),
     ],
 )
 def test_stamped_text(spark, payload, want):

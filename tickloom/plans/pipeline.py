@@ -32,7 +32,7 @@ from tickloom.sources.documents import (
     source_path,
 )
 from tickloom.sources.frames import present_paths, require_rows, union_all
-from tickloom.sources.landing import day_folder, scan_landed
+from tickloom.sources.landing import day_folder, landed_lines
 from tickloom.sources.tables import read_combined
 
 
@@ -61,7 +61,7 @@ def parsed_source(
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
     if layout == "landed":
         documents = documents_from_text(
-            scan_landed(spark, raw_dir, source), "value", DOCUMENT_SCHEMAS[source], "_file_path"
+            landed_lines(spark, raw_dir, source), "value", DOCUMENT_SCHEMAS[source], "_file_path"
         )
         return PARSERS[source](documents, strict_nulls)
     return read_parsed(spark, raw_dir, source, strict_nulls, multi_line=layout == "files")

@@ -38,12 +38,14 @@ def with_ingest_meta(df: DataFrame, run_date: dt.date | str, ticker: str = "tick
 def stamped_text(payload: Column, **meta: Column) -> Column:
     """JSON object text ``payload`` on one line with fields ``meta`` before its own.
 
-    NULL when ``payload`` is not a JSON object.
+    NULL when ``payload`` does not start an object. The payload is not parsed or rewritten: a
+    line break in JSON text is white space (inside strings it is escaped), so a space can
+    stand for it. Whether the object is complete shows when it is read.
     """
-    body = F.to_json(F.try_parse_json(payload))
-    front = F.to_json(F.struct(*[value.alias(name) for name, value in meta.items()]))
-    joined = F.concat(F.regexp_replace(front, r"\}$", ","), F.substring(body, 2, 2**31 - 1))
-    return F.when(body == "{}", front).when(body.startswith("{"), joined)
+    front = F.regexp_replace(F.to_json(F.struct(*[value.alias(name) for name, value in meta.items()])), r"\}$", "")
+    line = F.regexp_replace(payload, r"[\r\n]+", " ")
+    fields = F.concat(F.lit(","), F.regexp_replace(line, r"^\s*\{\s*", ""))
+    return F.when(payload.rlike(r"^\s*\{"), F.concat(front, F.regexp_replace(fields, r"^,\}", "}")))
 
 
 def only_new(batch: DataFrame, landed: DataFrame, keys=DOCUMENT_KEYS) -> DataFrame:
@@ -96,20 +98,25 @@ def land_raw(documents: DataFrame, root: str, source: str, batch_id: str, layout
     )
 
 
+def landed_lines(
+    spark: SparkSession, root: str, source: str, day: dt.date | str | None = None, layout: str = "compact"
+) -> DataFrame:
+    """Landed document texts as ``value`` with ``_file_path``; only one day's folder if given."""
+    folder = present_paths(spark, day_folder(root, source, day, layout))
+    if not folder:
+        return empty_like(spark, StructType([StructField(name, StringType()) for name in ("value", "_file_path")]))
+    lines = spark.read.option("recursiveFileLookup", True).text(folder)
+    return lines.withColumn("_file_path", F.col("_metadata.file_path"))
+
+
 def scan_landed(
     spark: SparkSession, root: str, source: str, day: dt.date | str | None = None, layout: str = "compact"
 ) -> DataFrame:
-    """Landed document texts with their key fields, batch and file; only one day's folder if given."""
+    """:func:`landed_lines` with the fields that name a document and its batch."""
     keys = StructType([StructField(name, StringType()) for name in LANDING_KEYS[source]])
-    folder = present_paths(spark, day_folder(root, source, day, layout))
-    if folder:
-        lines = spark.read.option("recursiveFileLookup", True).text(folder)
-        lines = lines.withColumn("_file_path", F.col("_metadata.file_path"))
-    else:
-        lines = empty_like(spark, StructType([StructField(name, StringType()) for name in ("value", "_file_path")]))
     batch = F.regexp_extract("_file_path", r"/batch=([^/]+)/", 1)
     fields = F.inline(F.array(F.from_json("value", keys)))
-    return lines.select("value", "_file_path", batch.alias("_batch"), fields)
+    return landed_lines(spark, root, source, day, layout).select("value", "_file_path", batch.alias("_batch"), fields)
 
 
 def read_landed(
