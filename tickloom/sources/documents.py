@@ -118,16 +118,6 @@ def landable(documents: DataFrame, source: str) -> DataFrame:
 # --- parsing -----------------------------------------------------------------------------
 
 
-def _typed(fields: dict[str, Column], convert, strict_nulls: bool) -> tuple[list[Column], Column]:
-    """Typed columns of ``fields`` and a flag that is true when one of them is malformed."""
-    columns, bad = [], F.lit(False)
-    for name, text in fields.items():
-        value = convert(name, text)
-        bad = bad | is_malformed(text, value)
-        columns.append((value if strict_nulls else default0(value)).alias(name))
-    return columns, bad
-
-
 def _row_problem(status: Column, ticker: Column, date: Column, bad_number: Column) -> Column:
     return (
         F.when(status != OK, status)
@@ -151,34 +141,54 @@ def explode_results(documents: DataFrame, results: str = "results") -> DataFrame
     return documents.select("*", F.explode_outer(results).alias("_result")).drop(results)
 
 
+def _typed_rows(
+    rows: DataFrame, ticker: str, day: str, raw: Column, fields: dict[str, str], convert, strict_nulls: bool
+) -> DataFrame:
+    """Key, typed values, version columns and ``row_problem`` of rows with a ``payload_status``.
+
+    ``fields`` maps a value to its text field in struct ``raw``, ``convert(name, text)`` types
+    it. The conversions are the input of a generator, so each text is converted once; in a
+    projection the optimizer would repeat them for ``row_problem`` and for filters on it.
+    """
+    typed = [convert(name, F.col("_raw").getField(field)).alias(name) for name, field in fields.items()]
+    once = rows.select(F.col(ticker).alias("ticker"), F.col(day).alias("_day"), "payload_status", *schemas.VERSION, raw.alias("_raw"))
+    once = once.select("*", F.inline(F.array(F.struct(parse_date(F.col("_day")).alias("date"), *typed))))
+    bad = F.lit(False)
+    for name, field in fields.items():
+        bad = bad | is_malformed(F.col("_raw").getField(field), F.col(name))
+    values = [F.col(name) if strict_nulls else default0(F.col(name)).alias(name) for name in fields]
+    problem = _row_problem(F.col("payload_status"), F.col("ticker"), F.col("date"), bad)
+    return once.select("ticker", "date", *values, *schemas.VERSION, problem)
+
+
 def parse_daily_bars(documents: DataFrame, strict_nulls: bool = False) -> DataFrame:
     """``BARS`` columns, version columns and ``row_problem``, one row per bar."""
     rows = explode_series(classify_payload(documents, "stocks"))
-    fields = {name: F.col("_bar").getField(field) for name, field in schemas.BAR_FIELDS.items()}
-    columns, bad = _typed(fields, lambda n, t: to_number(t, "bigint" if n == "volume" else "double"), strict_nulls)
-    date = parse_date(F.col("_day"))
-    problem = _row_problem(F.col("payload_status"), F.col("_ticker"), date, bad)
-    return rows.select(F.col("_ticker").alias("ticker"), date.alias("date"), *columns, *schemas.VERSION, problem)
+
+    def convert(name: str, text: Column) -> Column:
+        return to_number(text, "bigint" if name == "volume" else "double")
+
+    return _typed_rows(rows, "_ticker", "_day", F.col("_bar"), schemas.BAR_FIELDS, convert, strict_nulls)
 
 
 def parse_daily_aggregates(documents: DataFrame, strict_nulls: bool = False) -> DataFrame:
     """``AGGREGATES`` columns, version columns and ``row_problem``, one row per result."""
     rows = explode_results(classify_payload(documents, "polygon"))
-    fields = {name: F.col("_result").getField(field) for name, field in schemas.AGGREGATE_FIELDS.items()}
-    columns, bad = _typed(fields, lambda n, t: to_count(t) if n == "transactions" else to_number(t), strict_nulls)
-    date = parse_date(F.col("_trading_date"))
-    problem = _row_problem(F.col("payload_status"), F.col("_ticker"), date, bad)
-    return rows.select(F.col("_ticker").alias("ticker"), date.alias("date"), *columns, *schemas.VERSION, problem)
+
+    def convert(name: str, text: Column) -> Column:
+        return to_count(text) if name == "transactions" else to_number(text)
+
+    return _typed_rows(
+        rows, "_ticker", "_trading_date", F.col("_result"), schemas.AGGREGATE_FIELDS, convert, strict_nulls
+    )
 
 
 def parse_activity(documents: DataFrame, strict_nulls: bool = False) -> DataFrame:
     """``ACTIVITY`` columns, version columns and ``row_problem``, one row per document."""
-    rows = classify_payload(documents, "github")
-    fields = {name: F.col(name) for name in schemas.ACTIVITY_FIELDS}
-    columns, bad = _typed(fields, lambda n, t: to_count(t), strict_nulls)
-    date = parse_date(F.col("date"))
-    problem = _row_problem(F.col("payload_status"), F.col("ticker"), date, bad)
-    return rows.select("ticker", date.alias("date"), *columns, *schemas.VERSION, problem)
+    fields = {name: name for name in schemas.ACTIVITY_FIELDS}
+    return _typed_rows(
+        classify_payload(documents, "github"), "ticker", "date", F.struct(*fields), fields, lambda _, text: to_count(text), strict_nulls
+    )
 
 
 def parse_repo_details(documents: DataFrame) -> DataFrame:
