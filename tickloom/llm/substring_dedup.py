@@ -170,7 +170,7 @@ def remove_repeated_windows(docs: DataFrame, size: int = 50, block_bytes: int =
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = max(math.ceil(total / block_bytes), 4 * shuffle_partitions(spark))
+    blocks = max(math.ceil(total / block_bytes), 2 * shuffle_partitions(spark))
     buckets = max(math.ceil(total / block_bytes / 2), shuffle_partitions(spark))
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
