@@ -123,6 +123,17 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
+_HELD: dict[str, object] = {}
+
+
+def held_by_worker(key: str, make: Callable[[], object]):
+    """What ``make`` returns, kept by the worker process from task to task; the last key stays."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 # --- Rabin-Karp hashing ----------------------------------------------------------------------
 
 # Odd multipliers modulo 2**64: the byte base, then one per independent window hash.

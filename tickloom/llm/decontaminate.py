@@ -8,6 +8,7 @@ and to character spans of the original text.
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_right
 from itertools import accumulate
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import unused_name, with_struct
+from tickloom.llm.common import held_by_worker, unused_name, with_struct
 
 WINDOW = 13
 # Everything up to 0x7F that is no digit and no letter becomes a space; A-Z become a-z.
@@ -113,13 +114,10 @@ def contamination(
         )
         for i in range(parts)
     ]
-    held: dict[int, object] = {}
+    key = f"automaton-{uuid.uuid4()}"
 
     def automaton(i: int):
-        if i not in held:
-            held.clear()  # one automaton at a time
-            held[i] = build_automaton(shared[i].value, window)
-        return held[i]
+        return held_by_worker(f"{key}-{i}", lambda: build_automaton(shared[i].value, window))
 
     def compute(texts: list[bytes | None]) -> list:
         words = [normal_words(t) for t in texts]

@@ -11,15 +11,16 @@ up one loss difference per token in a table of all trigrams: no join, no shuffle
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import as_bytes, slices, text_blob, with_struct
+from tickloom.llm.common import as_bytes, held_by_worker, slices, text_blob, with_struct
 
 SYMBOLS = 256
 TRIGRAMS = SYMBOLS**3
@@ -104,30 +105,30 @@ class LossTables:
 
 
 def cross_entropy_difference(
-    docs: DataFrame, is_target: Column | str, name: str = "lm", keep: list[str] | None = None
+    docs: DataFrame, training: DataFrame, name: str = "lm", keep: list[str] | None = None
 ) -> DataFrame:
     """Add the struct ``name``: n_tokens, target_loss, background_loss and score to all rows.
 
-    The losses are means per token in nats; ``score`` is target less background, so the smaller,
-    the more a document resembles the rows where ``is_target`` holds. Null counts as no target,
-    and a null text as the empty one, which has one token, its end. Repeated rows count as often
-    as they stand there. Without any target row the target model is uniform.
+    ``training`` (text, is_target) are the rows both models are counted from. The losses are means
+    per token in nats; ``score`` is target less background, so the smaller, the more a document
+    resembles the training rows where ``is_target`` holds. Null counts as no target, and a null
+    text as the empty one, which has one token, its end. Repeated rows count as often as they
+    stand there. Without any target row the target model is uniform, and without any training row
+    both are.
 
     At most 2**24 trigrams with two counts come to the driver and go to the workers.
     """
     spark = docs.sparkSession
-    flag = F.col(is_target) if isinstance(is_target, str) else is_target
-    counted = count_trigrams(docs.select("text", flag.cast("boolean").alias("is_target"))).toArrow()
+    counted = count_trigrams(training.select("text", F.col("is_target").cast("boolean").alias("is_target"))).toArrow()
     model = spark.sparkContext.broadcast(tuple(np.asarray(counted.column(i)) for i in range(3)))
-    held: list[LossTables] = []
+    key = f"lm-{uuid.uuid4()}"
 
     def compute(texts: list[bytes | None]) -> list:
-        if not held:
-            held.append(LossTables(*model.value))
+        tables = held_by_worker(key, lambda: LossTables(*model.value))
         parts = [np.zeros((3, 0))]
         own = text_blob(texts)
         for lo, hi in slices(own):
-            parts.append(np.stack(held[0].score(own[lo:hi])))
+            parts.append(np.stack(tables.score(own[lo:hi])))
         n, target, background = np.concatenate(parts, axis=1)
         return [pa.array(n.astype(np.int64)), *map(pa.array, (target, background, target - background))]
 
@@ -141,12 +142,13 @@ def cross_entropy_difference(
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with ``is_target``: labelled good and not toxic by every label row.
+    """(text, is_target) of ``docs`` (doc_id, text): labelled good and not toxic by every label row.
 
-    Null labels and documents without a label are no target; null ids match nothing.
+    Null labels and documents without a label are no target; null ids match nothing. The join is
+    a sort-merge join at every size: labels grow with the documents.
     """
     good = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("labelled")).agg(
         F.min((F.coalesce("quality", F.lit(0)) == 1) & (F.coalesce("toxic", F.lit(1)) == 0)).alias("is_target")
     )
-    joined = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("labelled"), "left")
-    return joined.select("doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    joined = docs.select("doc_id", "text").join(good.hint("merge"), F.col("doc_id") == F.col("labelled"), "left")
+    return joined.select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))

@@ -58,9 +58,9 @@ def op3_licenses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    docs = good_documents(table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "labels", "doc_id", "quality", "toxic"))
-    scored = cross_entropy_difference(docs, "is_target", "lm", ["doc_id", "is_target"])
-    return scored.select("doc_id", "is_target", "lm.*")
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    training = good_documents(docs, table(spark, sf, "labels", "doc_id", "quality", "toxic"))
+    return cross_entropy_difference(docs, training, "lm", ["doc_id"]).select("doc_id", "lm.*")
 
 
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:

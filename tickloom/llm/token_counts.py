@@ -14,6 +14,7 @@ import os
 import re
 import sys
 import unicodedata
+import uuid
 from pathlib import Path
 
 import regex
@@ -21,7 +22,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tickloom.llm.common import with_struct
+from tickloom.llm.common import held_by_worker, with_struct
 
 # The pre-token pattern and the byte alphabet of this tokenizer family.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -136,12 +137,13 @@ def token_counts(
     frequent = spark.sparkContext.broadcast(frequent_lengths(Tokenizer.from_file(tokenizer_path), vocabulary))
     special = [t["content"] for t in config.get("added_tokens") or []]
     spark.sparkContext.addFile(tokenizer_path)
-    file, held = os.path.basename(tokenizer_path), []
+    file, key = os.path.basename(tokenizer_path), f"tokens-{uuid.uuid4()}"
+
+    def counter() -> TokenCounter:
+        return TokenCounter(Tokenizer.from_file(SparkFiles.get(file)), frequent.value, special, cache_entries)
 
     def compute(texts: list[bytes | None]) -> list:
-        if not held:
-            held.append(TokenCounter(Tokenizer.from_file(SparkFiles.get(file)), frequent.value, special, cache_entries))
-        count = held[0].count
+        count = held_by_worker(key, counter).count
         return [[len(t or b"") for t in texts], [count(t.decode()) if t else 0 for t in texts]]
 
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
