@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.common import (
+    broadcast_up_to,
+    cut,
     slices,
     text_blob,
     unused_name,
@@ -266,8 +268,8 @@ def fit_rules(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABE
     )
     total = usable.count()
     share = F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < F.lit(min(1.0, most_labelled / max(1, total)) * (1 << 20))
-    chosen = usable.filter(share).select("labelled", "quality")
-    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("labelled"))
+    chosen = cut(usable.filter(share).select("labelled", "quality"))
+    rows = docs.select("doc_id", "text").join(broadcast_up_to(chosen, 2 * most_labelled), F.col("doc_id") == F.col("labelled"))
     made = with_statistics(rows, "stats", ["doc_id", "quality"]).filter(~base_failed())
     columns = ratios()
     found = made.select("doc_id", "quality", *[c.alias(n) for n, c in columns.items()])
