@@ -24,7 +24,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
 #: Bins of ranks per source; the bin that a target ends in is sorted in one task.
-BINS = 1 << 16
+BINS = 1 << 12
 
 
 def random_number(*key: Column, seed: str = "mix") -> Column:
