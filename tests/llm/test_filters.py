@@ -1,0 +1,251 @@
+"""Decontamination, licences, line dedup, quality rules and mixing."""
+
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import LONG, by_id, documents, prose
+from tickloom.llm import decontaminate as D
+from tickloom.llm import licenses as L
+from tickloom.llm import quality_rules as Q
+from tickloom.llm.license_texts import KNOWN_LICENSES
+from tickloom.llm.line_dedup import boilerplate_lines, drop_boilerplate
+from tickloom.llm.mixing import mix, source_targets
+
+# --- decontamination --------------------------------------------------------------------------
+
+
+def normal(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def slow_contamination(rows, items, window):
+    out = {}
+    for i, text in rows:
+        words, hit, ids = normal(text), set(), set()
+        for item, own in ((item, normal(t)) for item, t in items):
+            width = min(window, len(own))
+            keys = {tuple(own[k : k + width]) for k in range(len(own) - width + 1)} if own else set()
+            for k in range(len(words) - width + 1 if own else 0):
+                if tuple(words[k : k + width]) in keys:
+                    hit |= set(range(k, k + width))
+                    ids.add("" if item is None else str(item))
+        out[i] = (len(words), len(hit), sorted(ids))
+    return out
+
+
+def contaminated_case(spark):
+    passage = prose(1, 30)
+    rows = [
+        (1, prose(2, 50) + " " + passage.upper().replace(" ", ", ") + "!"), (2, passage[:60]), (3, None), (4, ""), (5, "É x; Short One. two"),
+        (6, LONG + " " + passage), (7, "short one two three"), (8, "shorts one two"), (9, " ".join(passage.split()[5:18])), (10, "?!. \x00"),
+    ]
+    items = [(10, passage), (9, "Short, one two"), (9, "other " * 20), (None, "éx über"), (11, None), (12, "..."), (13, passage), (13, passage)]
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("window", F.lit(1))
+    return rows, items, bench
+
+
+@pytest.mark.parametrize("most_bytes", [1 << 20, 60])
+def test_contamination_matches_brute_force(spark, most_bytes):
+    rows, items, bench = contaminated_case(spark)
+    got = D.contamination(documents(spark, rows, extra=True), bench, "hits", most_bytes=most_bytes)
+    assert {r.doc_id: (r.hits.n_words, r.hits.n_hit, list(r.hits["items"])) for r in got.collect()} == slow_contamination(rows, items, 13)
+
+
+def test_spans_are_places_in_the_original_text(spark):
+    rows, _, bench = contaminated_case(spark)
+    got = {r.doc_id: r for r in D.contamination(documents(spark, rows), bench).collect()}
+    for i in (1, 5, 6, 9):
+        row = got[i]
+        pieces = [row.text[s.start : s.end] for s in row.found.spans]
+        assert sum(len(normal(p)) for p in pieces) == row.found.n_hit > 0
+        assert all(normal(p[0]) and normal(p[-1]) for p in pieces)
+
+
+def test_contaminated_documents_go(spark):
+    rows, _, bench = contaminated_case(spark)
+    docs = documents(spark, rows, extra=True)
+    kept = D.drop_contaminated(docs, bench)
+    assert kept.schema == docs.schema and sorted(by_id(kept, "text")) == [2, 3, 4, 6, 8, 10]
+    assert D.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
+    assert D.drop_contaminated(docs.limit(0), bench).collect() == []
+
+
+# --- licences ---------------------------------------------------------------------------------
+
+
+def test_known_licences_are_found_however_they_are_set(spark):
+    mit = KNOWN_LICENSES["MIT"]
+    british = KNOWN_LICENSES["BSD-3-Clause"].replace("copyright holder nor", "copyright owner nor")
+    rows = [
+        (1, mit), (2, mit.upper().replace("\n", "  \r\n")), (3, mit.replace("Copyright (c) <year> <copyright holders>", "// Copyright © 2021 Ann Bee\n All rights reserved.")),
+        (4, "MIT Licence" + mit[len("MIT License") :].replace('"', "“")), (5, mit + " except on Mondays"), (6, None), (7, " \n"), (8, LONG), (1, mit),
+        (9, british), (10, "Copyright 2020 X"),
+    ]
+    got = L.scan_licenses(documents(spark, rows, extra=True)).collect()
+    assert sorted((r.doc_id, r.license_id) for r in got if r.license_id) == [(1, "MIT"), (1, "MIT"), (2, "MIT"), (3, "MIT"), (4, "MIT"), (9, "BSD-3-Clause")]
+    assert {r.doc_id: r.n_words for r in got if r.doc_id in (6, 7, 10)} == {6: 0, 7: 0, 10: 0}
+    kept = L.drop_licenses(documents(spark, rows, extra=True))
+    assert sorted(by_id(kept, "text")) == [5, 6, 7, 8, 10] and kept.schema == documents(spark, rows, extra=True).schema
+    assert L.scan_licenses(documents(spark, rows).limit(0)).collect() == []
+
+
+def test_a_given_table_of_digests_is_used(spark):
+    known = spark.createDataFrame([("b", L.digest(b"Hello, World")), ("a", L.digest(b"hello world")), ("none", L.digest(b""))], "license_id string, digest string")
+    got = by_id(L.scan_licenses(documents(spark, [(1, "HELLO world!"), (2, ""), (3, "hello")]), known), "license_id")
+    assert got == {1: "a", 2: None, 3: None}
+
+
+def test_canonical_forms_of_the_known_licences_differ():
+    assert len({L.canonical(t.encode()) for t in KNOWN_LICENSES.values()}) == len(KNOWN_LICENSES)
+    assert all(L.canonical(L.canonical(t.encode())) == L.canonical(t.encode()) for t in KNOWN_LICENSES.values())
+
+
+# --- line dedup -------------------------------------------------------------------------------
+
+
+def test_lines_above_the_ratio_go(spark):
+    body = [f"body {i}\n\n MENU \nbody {i}" for i in range(10)]
+    rows = [(i, t + ("\nrare" if i < 1 else ""), "a") for i, t in enumerate(body)]
+    rows += [(20 + i, f"MENU\nb{i}", "b") for i in range(4)] + [(30, None, "a"), (31, "", "a"), (32, LONG, None)]
+    rows += [(40 + i, f"x{i}\nfoot", None) for i in range(6)] + [(50 + i, "copied\nwhole", "a") for i in range(30)]
+    docs = documents(spark, rows, extra=True)
+    got = drop_boilerplate(docs, F.col("source"), "cleaned")
+    assert got.columns == [*docs.columns, "cleaned"]
+    texts = {r.doc_id: (r.cleaned.text, r.cleaned.n_lines, r.cleaned.n_removed) for r in got.collect()}
+    assert texts[0] == ("body 0\n\nbody 0\nrare", 5, 1) and texts[5] == ("body 5\n\nbody 5", 4, 1)
+    assert texts[20] == ("MENU\nb0", 2, 0)  # too few pages
+    assert texts[30] == (None, 0, 0) and texts[31] == ("", 1, 0) and texts[32] == (LONG, 1, 0)
+    assert texts[41] == ("x1", 2, 1)  # a null host is a host
+    assert texts[50] == ("copied\nwhole", 2, 0)  # 30 copies are one page
+    assert len(texts) == len(rows)
+    found = boilerplate_lines(docs, F.col("source")).collect()
+    assert sorted(((r.host, r.n_pages, r.n_host_pages) for r in found), key=str) == [("a", 10, 12), (None, 6, 7)]
+    assert drop_boilerplate(docs.limit(0), F.col("source")).collect() == []
+
+
+# --- quality rules ----------------------------------------------------------------------------
+
+
+def slow_statistics(text):
+    words = (text or "").encode().split()
+    windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]
+    again = {p for k, w in enumerate(windows) if windows.count(w) > 1 for p in range(k, k + 8)}
+    lines = [x for x in (text or "").split("\n") if x.strip(" \t\r\x0b\x0c")]
+    return (
+        len(words), sum(len(w.decode()) for w in words), sum((text or "").count(c) for c in "#*$%&|<>"),
+        len(lines) - len(set(lines)), len(again), len(lines), sum("A" <= c <= "Z" for c in text or ""),
+        sum((text or "").count(c) for c in "!?.,;:"), len(set(words)),
+    )
+
+
+TEXTS = [
+    None, "", " \n\t", "One", "a b c d e f g h " * 3, "é# ü|\nx\n x\nx\n \n ", "A! " * 50, prose(5, 200) + "\n" + prose(5, 200),
+    "a b c d e f g h i", "<p>&&</p>\r\n\r\nend\x0bof\x0cit",
+]
+
+
+def test_statistics_match_brute_force():
+    got = list(zip(*(c.tolist() for c in Q.statistics([t if t is None else t.encode() for t in TEXTS])), strict=True))
+    assert got == [slow_statistics(t) for t in TEXTS]
+    words = LONG.split()
+    assert [c[0] for c in Q.statistics([LONG.encode()])][:5] == [len(words), sum(map(len, words)), 0, 0, 0]
+
+
+def test_rules_are_conjunctions_that_hold_out():
+    draw = np.random.default_rng(2)
+    table = {"x": draw.random(6000), "y": draw.random(6000), "noise": draw.random(6000)}
+    bad = ((table["x"] > 0.8) & (table["y"] <= 0.5)) | (table["y"] > 0.95)
+    learned = Q.learn_rules(table, bad)
+    fresh = {k: draw.random(6000) for k in table}
+    truth = ((fresh["x"] > 0.8) & (fresh["y"] <= 0.5)) | (fresh["y"] > 0.95)
+    said = learned.rejected(fresh)
+    assert 2 <= len(learned.rules) <= 12 and all(str(r) for r in learned.rules)
+    assert (said & truth).sum() > 0.9 * truth.sum() and (said & ~truth).sum() < 0.02 * said.sum()
+    assert not Q.learn_rules(table, draw.random(6000) < 0.3).rules  # nothing to learn
+
+
+def test_expression_says_what_the_rules_say(spark):
+    rules = Q.DecisionList([Q.Rule((Q.Condition("x", True, 1.0), Q.Condition("y", False, 2.0))), Q.Rule((Q.Condition("y", True, 5.0),))])
+    df = spark.createDataFrame([(2.0, 2.0), (2.0, 3.0), (0.0, 6.0), (2.0, 6.0)], "x double, y double")
+    assert [r[0] for r in df.select(rules.expression({c: F.col(c) for c in df.columns})).collect()] == [1, 0, 2, 2]
+    assert df.select(Q.DecisionList().expression({})).first()[0] == 0
+
+
+def test_held_out_documents_are_judged_well(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    seen = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0
+    rules = Q.fit_rules(docs, labels.filter(seen))
+    assert rules.rules
+    judged = Q.judge(docs.join(labels.filter(~seen).select("doc_id", F.col("quality").alias("label")), "doc_id"), rules, keep=["label"])
+    rows = judged.select("label", "quality.kept", "quality.base_failed").collect()
+    good = [r for r in rows if r.label == 1 and not r.base_failed]
+    bad = [r for r in rows if r.label == 0]
+    assert sum(r.kept for r in good) >= 0.98 * len(good)
+    assert sum(not r.kept for r in bad) >= 0.9 * len(bad)
+
+
+def test_odd_rows_are_judged(spark):
+    docs = documents(spark, [*enumerate(TEXTS), (6, TEXTS[6]), (None, LONG)], extra=True).drop("quality")
+    labels = spark.createDataFrame([(0, 1), (1, None), (None, 0), (6, 0), (6, 1)], "doc_id long, quality int")
+    assert not Q.fit_rules(docs, labels).rules and not Q.fit_rules(docs, labels.limit(0)).rules
+    kept = Q.keep_good(docs, Q.DecisionList())
+    assert kept.schema == docs.schema and kept.collect()[0].text == LONG and kept.count() == 1
+    assert Q.keep_good(docs.limit(0), Q.DecisionList()).collect() == []
+
+
+# --- mixing -----------------------------------------------------------------------------------
+
+
+def test_targets_are_shared_by_weight_until_none_is_above(spark):
+    sizes = spark.createDataFrame([("a", 10, 1), ("b", 1000, 1), ("c", 500, 1), (None, 400, 1), ("d", 0, 1)], "source string, source_size long, n_docs long")
+    got = {r.source: r.target for r in source_targets(sizes).collect()}
+    # a weighs 5, b 2, c 1, d 5, null 2: the share is 2865 words.
+    total, weights, caps = 1.5 * 1910, {"a": 5, "b": 2, "c": 1, "d": 5, None: 2}, {"a": 20, "b": 2000, "c": 1000, "d": 0, None: 800}
+    full = set()
+    while True:
+        level = (total - sum(caps[s] for s in full)) / sum(w for s, w in weights.items() if s not in full)
+        more = {s for s in weights if s not in full and level * weights[s] > caps[s]}
+        if not more:
+            break
+        full |= more
+    assert got == pytest.approx({s: caps[s] if s in full else level * weights[s] for s in weights})
+
+
+def mixed(spark, rows, **options):
+    return mix(documents(spark, rows, extra=True), **options)
+
+
+def test_sources_come_near_their_targets(spark):
+    rows = [(i, prose(i, 5 + i * 7 % 60), f"s{i % 3}" if i % 7 else None) for i in range(400)] + [(500, None, "s1"), (501, "", "s1"), (None, prose(1, 9), "s2")]
+    for bins in (1, 7, 1 << 12):
+        taken = mixed(spark, rows, bins=bins).collect()
+        assert len(taken) == len(rows)
+        for source in ("s0", "s1", "s2", None):
+            own = [r for r in taken if r.source == source]
+            assert abs(sum(r.taken for r in own) - own[0].target) <= 33
+            assert own[0].source_size == sum(r.size for r in own)
+        assert all(r.taken == r.copies * r.size and 0 <= r.copies <= 2 for r in taken)
+        assert {r.taken for r in taken if r.doc_id in (500, 501)} == {0}
+        first = first if bins > 1 else sorted(map(tuple, taken), key=str)
+        assert sorted(map(tuple, taken), key=str) == first
+
+
+def test_documents_can_weigh_more(spark):
+    rows = [(i, prose(i, 20), f"s{i % 2}") for i in range(600)]
+    docs = documents(spark, rows)
+    heavy = F.when(F.col("doc_id") % 3 == 0, 1.8).otherwise(0.6)
+    got = mix(docs, doc_weight=heavy, share=0.5).collect()
+    chosen = [sum(r.copies for r in got if (r.doc_id % 3 == 0) is often) for often in (True, False)]
+    assert chosen[0] > 1.1 * chosen[1] and sum(r.taken for r in got) == pytest.approx(6000, abs=60)
+
+
+def test_nothing_to_mix(spark):
+    assert mixed(spark, [(1, "a", "s")]).filter("doc_id < 0").collect() == []
+    assert mix(documents(spark, [(1, "a")]).limit(0)).collect() == []
+    assert [r.taken for r in mixed(spark, [(1, None, "s"), (2, " ", None)]).collect()] == [0, 0]
