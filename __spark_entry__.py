@@ -21,7 +21,7 @@ from tickloom.functions import day_start, doc_key, last_trading_day  # noqa: E40
 from tickloom.operators.activity import (  # noqa: E402
     activity_rollup,
     commits_on,
-    count_capped,
+    count_per_key,
     open_prs,
     repo_facts,
     repo_rows,
@@ -76,9 +76,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
 
-# The page cap and the flag threshold of the jobs (100 and 10) would never bind on test-sized
-# data; these make both sides of the comparison take every branch.
-CAP = 3
+# The flag threshold of the jobs (10) would never bind on test-sized data; this makes both sides
+# of the comparison take every branch.
 THRESHOLD = 2
 
 
@@ -365,11 +364,12 @@ def missing_defaults(spark: SparkSession, sf: str) -> DataFrame:
 def damaged_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Parsed single-bar documents, damaged by volume: 2 number, 3 date, 4 and up ticker."""
     bars, volume = feeds.user_bars(events(spark, sf)), F.col("volume")
+    no_numbers = F.array(*map(F.lit, ("n/a", "12d", "0x1p3", "NaN", "Infinity")))
     documents = feeds.bars_as_documents(
         bars,
         ticker=F.when(volume >= 4, "").otherwise(F.col("ticker")),
         day=F.when(volume == 3, F.concat(F.year("date"), F.lit("-13-01"))).otherwise(F.col("date").cast("string")),
-        high_price=F.when(volume == 2, "n/a").otherwise(F.col("high_price").cast("string")),
+        high_price=F.when(volume == 2, F.element_at(no_numbers, F.dayofmonth("date") % 5 + 1)).otherwise(F.col("high_price").cast("string")),
     )
     return parse_daily_bars(documents_from_text(documents, "value", schemas.BAR_DOCUMENT))
 
@@ -433,7 +433,8 @@ def ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("""with responses as (select concat('U', cast(user_id as varchar)) as ticker,
     count(*) filter (where event_type in ('click', 'purchase')) as good,
     count(*) filter (where event_type not in ('click', 'purchase')) as bad, bool_or(value > 100) as known from events group by 1)
-select ticker, not known and good > 0 as has_document, case when known then 0 else least(good, 1) end as success_count,
+select ticker, case when not known and good > 0 then ticker end as stamped_ticker,
+    case when not known and good > 0 then '2024-02-01' end as stamped_day, case when known then 0 else least(good, 1) end as success_count,
     case when known then good + bad else greatest(good - 1, 0) end as skip_count,
     case when known then 0 else bad end as error_count from responses""")
 def response_audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -443,7 +444,8 @@ def response_audit(spark: SparkSession, sf: str) -> DataFrame:
     landed = rows.where(F.col("value") > 100).select(ticker)
     responses = rows.select(ticker, feeds.response_text().alias("payload"))
     audit = audit_responses(responses, landed, "stocks", "2024-02-01", "2024-02-01")
-    return audit.select("ticker", F.col("document").isNotNull().alias("has_document"), *OUTCOMES)
+    stamps = {"stamped_ticker": "$._ticker", "stamped_day": "$._ingested_at"}
+    return audit.select("ticker", *[F.get_json_object("document", path).alias(name) for name, path in stamps.items()], *OUTCOMES)
 
 
 @query(f"""with bars as ({USER_BARS}) select ticker, close_price, ticker as _ticker, '2024-02-01' as _ingested_at,
@@ -487,8 +489,8 @@ ORG_CASE = "case ticker " + " ".join(f"when '{ticker}' then '{org}'" for ticker,
 REPO_KEY = f"""{TICKER_LIST}[user_id % 5 + 1] as ticker, {REPO_LIST}[user_id % 15 + 1] as repo, cast(ts as date) as date"""
 REPO_FACTS = f"""with stats as (select {REPO_KEY}, count(*) as stars, 2 * count(*) as forks from events
     where event_type = 'view' group by 1, 2, 3),
-commits as (select {REPO_KEY}, least(count(*), {CAP}) as commits_today from events where event_type = 'click' group by 1, 2, 3),
-prs as (select {REPO_KEY}, least(count(*), {CAP}) as open_prs from events where event_type = 'signup' group by 1, 2, 3),
+commits as (select {REPO_KEY}, count(*) as commits_today from events where event_type = 'click' group by 1, 2, 3),
+prs as (select {REPO_KEY}, count(*) as open_prs from events where event_type = 'signup' group by 1, 2, 3),
 facts as (select ticker, repo, date, stars, forks, commits_today, open_prs
     from stats join commits using (ticker, repo, date) join prs using (ticker, repo, date))"""
 
@@ -496,11 +498,11 @@ facts as (select ticker, repo, date, stars, forks, commits_today, open_prs
 def event_repo_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Views as stars, clicks as commits and signups as pull requests of the tracked repositories."""
     rows = events(spark, sf)
-    stars = count_capped(feeds.repo_events(rows, "view"), cap=None, name="stars")
+    stars = count_per_key(feeds.repo_events(rows, "view"), name="stars")
     return repo_facts(
         stars.withColumn("forks", F.col("stars") * 2),
-        count_capped(feeds.repo_events(rows, "click"), cap=CAP, name="commits_today"),
-        count_capped(feeds.repo_events(rows, "signup"), cap=CAP, name="open_prs"),
+        count_per_key(feeds.repo_events(rows, "click"), name="commits_today"),
+        count_per_key(feeds.repo_events(rows, "signup"), name="open_prs"),
     )
 
 
@@ -526,13 +528,13 @@ def repo_details(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"select {REPO_KEY}, count(*) as commits from events where event_type = 'click' and ts >= timestamp '2024-01-16 00:00:00' group by 1, 2, 3")
 def commits_since(spark: SparkSession, sf: str) -> DataFrame:
     commits = commits_on(feeds.repo_events(events(spark, sf), "click"), "2024-01-16")
-    return count_capped(commits, cap=None, name="commits")
+    return count_per_key(commits, name="commits")
 
 
-@query("""select concat('R', cast(o_custkey % 15 as varchar)) as repo, least(count(*), 100) as open_prs
+@query("""select concat('R', cast(o_custkey % 15 as varchar)) as repo, count(*) as open_prs
 from orders where o_orderstatus = 'O' group by 1""")
 def open_pull_requests(spark: SparkSession, sf: str) -> DataFrame:
-    return count_capped(open_prs(feeds.pull_requests(feeds.table(spark, sf, "orders"))), keys=("repo",), name="open_prs")
+    return count_per_key(open_prs(feeds.pull_requests(feeds.table(spark, sf, "orders"))), keys=("repo",), name="open_prs")
 
 
 # --- quality ---------------------------------------------------------------------------------

@@ -59,13 +59,15 @@ def test_key_texts(spark):
     "text, kind, want",
     [("212.25", "double", 212.25), (" 1.5 ", "double", 1.5), ("x", "double", None), ("", "double", None),
      ("1e3", "double", 1000.0), ("12", "bigint", 12), ("12.5", "bigint", None), ("-3", "bigint", -3),
-     ("99999999999999999999", "bigint", None), (None, "double", None)],
+     ("99999999999999999999", "bigint", None), (None, "double", None), ("12d", "double", None), ("1f", "double", None),
+     ("0x1p3", "double", None), ("NaN", "double", None), ("Infinity", "double", None), ("-inf", "double", None),
+     ("1e400", "double", None), (".5", "double", 0.5), ("+7.", "double", 7.0), ("12L", "bigint", None)],
 )
 def test_to_number(spark, text, kind, want):
     assert evaluate(spark, fn.to_number(F.lit(text).cast("string"), kind)) == want
 
 
-@pytest.mark.parametrize("text, want", [("12", 12), ("12.0", 12), ("12.9", 12), ("n", None), (None, None), ("1e400", None)])
+@pytest.mark.parametrize("text, want", [("12", 12), ("12.0", 12), ("12.9", None), ("12d", None), ("1.2e1", 12), ("n", None), (None, None), ("1e400", None)])
 def test_to_count(spark, text, want):
     assert evaluate(spark, fn.to_count(F.lit(text).cast("string"))) == want
 

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tests.test_plans import plan
 from tests.test_operators import facts, march
 from tests.test_sources import bar, landed_closes
 from tickloom import schemas
@@ -11,7 +12,7 @@ from tickloom.plans.ingest import run_ingestion
 from tickloom.plans.pipeline import combined_path, run_processing
 from tickloom.sources.companies import companies
 from tickloom.sources.documents import accepted, parse_activity, parse_daily_aggregates, parse_repo_details
-from tickloom.sources.landing import read_landed, scan_landed
+from tickloom.sources.landing import landed_tickers, read_landed, scan_landed
 from tickloom.sources.tables import read_combined
 
 DAY = "2026-03-16"
@@ -52,6 +53,57 @@ def test_a_good_response_beats_refused_ones_of_the_same_ticker(spark, tmp_path):
     assert landed_closes(spark, str(tmp_path)) == [("A", DAY, 1.0)]
 
 
+def test_a_batch_run_again_loses_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    steps = [
+        ([("A", payload("1")), ("B", NOTE)], counts(1, 0, 1)),
+        ([("A", payload("9")), ("B", payload("2"))], counts(1, 1, 0)),  # grown
+        ([("B", payload("9"))], counts(0, 1, 0)),  # shrunk
+        ([("A", payload("9")), ("B", payload("9"))], counts(0, 2, 0)),
+    ]
+    for rows, want in steps:
+        assert run_ingestion(spark, responses(spark, rows), root, "stocks", DAY, batch_id="b1") == want
+    assert landed_closes(spark, root) == [("A", DAY, 1.0), ("B", DAY, 2.0)]
+
+
+def test_a_write_that_failed_is_made_up_for(spark, tmp_path):
+    root = str(tmp_path)
+    run_ingestion(spark, responses(spark, [("A", payload("1"))]), root, "stocks", DAY, batch_id="b1")
+    broken = responses(spark, [("A", payload("1")), ("B", payload("2"))]).withColumn(
+        "payload", F.when(F.col("ticker") == "B", F.raise_error(F.lit("lost"))).otherwise(F.col("payload")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        run_ingestion(spark, broken, root, "stocks", DAY, batch_id="b1")
+    again = responses(spark, [("A", payload("1")), ("B", payload("2"))])
+    assert run_ingestion(spark, again, root, "stocks", DAY, batch_id="b1") == counts(1, 1, 0)
+    assert landed_closes(spark, root) == [("A", DAY, 1.0), ("B", DAY, 2.0)]
+
+
+def test_stamps_win_over_the_payloads_own(spark, tmp_path):
+    own = json.dumps({"_ticker": "X", "_ingested_at": "1999-01-01", schemas.SERIES_FIELD: {DAY: bar("3")}})
+    for want in (counts(1, 0, 0), counts(0, 1, 0)):
+        assert run_ingestion(spark, responses(spark, [("C", own)]), str(tmp_path), "stocks", DAY) == want
+    assert landed_closes(spark, str(tmp_path)) == [("C", DAY, 3.0)]
+    document = read_landed(spark, str(tmp_path), "stocks", schemas.BAR_DOCUMENT).first()
+    assert (document._ticker, document._ingested_at) == ("C", DAY)
+
+
+def test_only_the_keys_are_read_to_see_what_is_landed(spark, tmp_path):
+    run_ingestion(spark, responses(spark, [("A", payload("1"))]), str(tmp_path), "stocks", DAY)
+    landed = landed_tickers(spark, str(tmp_path), "stocks", DAY)
+    assert "ReadSchema: struct<ticker:string>" in plan(landed)
+
+
+def test_results_that_are_missing_are_no_empty_day(spark, tmp_path):
+    short = json.dumps({"status": "OK", "resultsCount": 5, "results": []})
+    assert run_ingestion(spark, responses(spark, [("A", short)]), str(tmp_path), "polygon", DAY) == counts(0, 0, 1)
+
+
+def test_an_activity_document_of_another_company_is_refused(spark, tmp_path):
+    rollup = activity_rollup(facts(spark), companies(spark), march(1))
+    other = as_responses(rollup).filter("ticker = 'MSFT'").withColumn("ticker", F.lit("AAPL"))
+    assert run_ingestion(spark, other, str(tmp_path), "github", march(1)) == counts(0, 0, 1)
+
+
 def test_only_failures_land_nothing(spark, tmp_path):
     assert run_ingestion(spark, responses(spark, [("A", NOTE)]), str(tmp_path), "stocks", DAY) == counts(0, 0, 1)
     assert scan_landed(spark, str(tmp_path), "stocks").isEmpty()

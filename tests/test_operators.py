@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom import schemas
-from tickloom.operators.activity import activity_rollup, commits_on, count_capped, open_prs, repo_facts, repo_rows
+from tickloom.operators.activity import activity_rollup, commits_on, count_per_key, open_prs, repo_facts, repo_rows
 from tickloom.operators.combine import combine, dropped_keys, with_processed_at
 from tickloom.operators.dedup import last_n_per_ticker, latest_per_key
 from tickloom.operators.quality import (
@@ -239,10 +239,9 @@ def test_run_models_column_lists(spark):
 FACT = "ticker string, repo string, date date"
 
 
-def test_capped_counts(spark):
+def test_counts_are_not_capped(spark):
     df = spark.createDataFrame([("A", "r", march(1))] * 250 + [("A", "s", march(1))] * 2, FACT)
-    assert as_set(count_capped(df)) == [("A", "r", march(1), 100), ("A", "s", march(1), 2)]
-    assert as_set(count_capped(df, cap=None)) == [("A", "r", march(1), 250), ("A", "s", march(1), 2)]
+    assert as_set(count_per_key(df)) == [("A", "r", march(1), 250), ("A", "s", march(1), 2)]
 
 
 def test_commits_and_open_pull_requests(spark):

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_sources import activity_document, bar, bar_document, write
 from tickloom import schemas
@@ -102,6 +103,30 @@ def test_publish_models(spark, tmp_path, raw):
     assert (row.moving_avg_7d, row.volatility_7d) == (404.0, 0.007)
 
 
+def test_a_failing_check_leaves_the_published_marts(spark, tmp_path, raw, monkeypatch):
+    out = str(tmp_path / "out")
+    run_processing(spark, raw, out, RUN)
+    publish_models(spark, out)
+    before = {name: spark.table(name).count() for name in MARTS}
+
+    def refuse(report):
+        raise AssertionError("not good")
+
+    monkeypatch.setattr("tickloom.plans.pipeline.assert_quality", refuse)
+    run_processing(spark, raw, out, RUN, strict_nulls=True)
+    with pytest.raises(AssertionError):
+        publish_models(spark, out)
+    assert {name: spark.table(name).count() for name in MARTS} == before
+
+
+def test_published_tables_are_few_files(spark):
+    rows = spark.range(200_000).repartition(64).select(F.concat(F.lit("T"), F.col("id") % 9).alias("ticker"), F.col("id"))
+    publish_table(rows, "t_files")
+    files = spark.table("t_files").inputFiles()
+    assert len(files) <= 2
+    assert spark.table("t_files").count() == 200_000
+
+
 def test_publish_replaces_and_views_are_lazy(spark):
     publish_table(spark.range(3), "t_publish")
     publish_table(spark.range(5).withColumnRenamed("id", "x"), "t_publish")

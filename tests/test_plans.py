@@ -99,7 +99,6 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_landed_documents_are_parsed_once(spark, tmp_path):
     folder = tmp_path / "source=stocks" / "dt=2026-03-16" / "batch=1"
-    folder.mkdir(parents=True)
-    (folder / "part-0.txt").write_text('{"_ticker": "A"}\n')
+    spark.createDataFrame([("A", '{"_ticker": "A"}')], "ticker string, document string").write.parquet(str(folder))
     text = plan(parsed_source(spark, str(tmp_path), "stocks", layout="landed"))
     assert text.count("from_json") == 1

@@ -8,14 +8,22 @@ from pyspark.sql import functions as F
 HIGH_ACTIVITY_COMMITS = 10
 
 
+NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def to_number(text: Column, kind: str = "double") -> Column:
-    """Text to ``double`` or ``bigint``; NULL where the text is not such a number."""
-    return text.try_cast(kind)
+    """Decimal text to ``double`` or ``bigint``; NULL where the text is not such a number.
+
+    The cast alone also takes ``12d``, ``0x1p3``, ``NaN`` and infinities, also as overflow.
+    """
+    number = F.when(text.rlike(NUMBER_TEXT), text.try_cast(kind))
+    return number if kind != "double" else F.when(F.abs(number) < float("inf"), number)
 
 
 def to_count(text: Column) -> Column:
-    """JSON number text to ``bigint``, dropping a fraction (``12.0`` and ``12`` are both 12)."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    """JSON number text to ``bigint`` (``12.0`` and ``12`` are both 12); NULL for a real fraction."""
+    number = to_number(text)
+    return F.coalesce(to_number(text, "bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
 
 
 def is_malformed(text: Column, parsed: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import default0
 
-PAGE_SIZE = 100
 REPO_DAY = ("ticker", "repo", "date")
 FACTS = ("stars", "forks", "commits_today", "open_prs")
 TOTALS = {
@@ -30,10 +29,9 @@ def open_prs(pull_requests: DataFrame, state: str = "state") -> DataFrame:
     return pull_requests.where(F.col(state) == "open")
 
 
-def count_capped(df: DataFrame, keys=REPO_DAY, cap: int | None = PAGE_SIZE, name: str = "n") -> DataFrame:
-    """Rows per key, at most ``cap`` (one result page); ``cap=None`` for the true count."""
-    count = F.count(F.lit(1))
-    return df.groupBy(*keys).agg((count if cap is None else F.least(count, F.lit(cap).cast("bigint"))).alias(name))
+def count_per_key(df: DataFrame, keys=REPO_DAY, name: str = "n") -> DataFrame:
+    """All rows per key."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
 def repo_facts(stats: DataFrame, commits: DataFrame, pull_requests: DataFrame, keys=REPO_DAY) -> DataFrame:

@@ -26,13 +26,12 @@ from tickloom.sources.documents import (
     PARSERS,
     SOURCES,
     accepted,
-    documents_from_text,
     read_parsed,
     rejected,
     source_path,
 )
 from tickloom.sources.frames import present_paths, require_rows, union_all
-from tickloom.sources.landing import day_folder, landed_lines
+from tickloom.sources.landing import day_folder, read_landed
 from tickloom.sources.tables import read_combined
 
 
@@ -60,10 +59,7 @@ def parsed_source(
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
     if layout == "landed":
-        documents = documents_from_text(
-            landed_lines(spark, raw_dir, source), "value", DOCUMENT_SCHEMAS[source], "_file_path"
-        )
-        return PARSERS[source](documents, strict_nulls)
+        return PARSERS[source](read_landed(spark, raw_dir, source, DOCUMENT_SCHEMAS[source]), strict_nulls)
     return read_parsed(spark, raw_dir, source, strict_nulls, multi_line=layout == "files")
 
 
@@ -136,10 +132,17 @@ MARTS = ("mart_stock_performance", "mart_github_correlation")
 
 
 def publish_models(spark: SparkSession, out_dir: str, raw_table: str = "raw_combined", unique_key: bool = True) -> None:
-    """Publish ``raw_combined``, register staging and intermediate views, store and check the marts."""
+    """Publish ``raw_combined``, register staging and intermediate views, check and store the marts.
+
+    The marts are written under staging names first and replace the published ones only when they
+    pass their checks, so a failing check leaves the previous marts readable.
+    """
     publish_table(read_combined(spark, combined_path(out_dir)), raw_table)
     models = run_models(spark.table(raw_table), unique_key)
     register_views({name: frame for name, frame in models.items() if name not in MARTS})
     for name in MARTS:
-        publish_table(models[name], name)
-    assert_quality(check_marts({name: spark.table(name) for name in MARTS}))
+        publish_table(models[name], f"{name}__staged")
+    assert_quality(check_marts({name: spark.table(f"{name}__staged") for name in MARTS}))
+    for name in MARTS:
+        publish_table(spark.table(f"{name}__staged"), name)
+        spark.sql(f"drop table {name}__staged")

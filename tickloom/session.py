@@ -35,9 +35,6 @@ def get_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Lets small but costly stages (parsing, one file per ticker) keep all cores busy; large
-        # stages have bigger partitions than this anyway.
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         # Call-site capture costs several driver round trips per column expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **(extra or {}),

@@ -91,6 +91,8 @@ def _aggregate_status() -> Column:
     return (
         F.when(has_key("_corrupt_record") & F.col("results").isNull(), "malformed")
         .when(F.col("status") == "ERROR", "error")
+        # More results announced than given: to be fetched again, unlike a day without trades.
+        .when(F.coalesce(F.col("resultsCount").cast("string").try_cast("bigint"), F.lit(0)) > F.coalesce(F.size("results"), F.lit(0)), "incomplete")
         .when(F.coalesce(F.size("results"), F.lit(0)) <= 0, EMPTY)
         .otherwise(OK)
     )
@@ -105,7 +107,7 @@ SOURCES = tuple(_STATUS)
 
 
 def classify_payload(documents: DataFrame, source: str) -> DataFrame:
-    """Add ``payload_status``: ok, empty, error, rate_limited, no_series or malformed."""
+    """Add ``payload_status``: ok, empty, error, rate_limited, no_series, incomplete or malformed."""
     return documents.withColumn("payload_status", _STATUS[source]())
 
 

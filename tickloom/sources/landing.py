@@ -1,6 +1,6 @@
-"""Landing raw documents: stamps, skip-if-landed, partitioned JSON lines, ingest summary.
+"""Landing raw documents: stamps, skip-if-landed, partitioned landing, ingest summary.
 
-A landed document is its JSON text on one line, so fields no schema declares stay in it.
+A landed document is its JSON text beside its key, so fields no schema declares stay in it.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tickloom.functions import run_date_text
-from tickloom.operators.dedup import latest_per_key
 from tickloom.sources.documents import documents_from_text
 from tickloom.sources.frames import empty_like, present_paths
 
@@ -36,16 +35,18 @@ def with_ingest_meta(df: DataFrame, run_date: dt.date | str, ticker: str = "tick
 
 
 def stamped_text(payload: Column, **meta: Column) -> Column:
-    """JSON object text ``payload`` on one line with fields ``meta`` before its own.
+    """JSON object text ``payload`` on one line with fields ``meta`` after its own.
 
-    NULL when ``payload`` does not start an object. The payload is not parsed or rewritten: a
-    line break in JSON text is white space (inside strings it is escaped), so a space can
-    stand for it. Whether the object is complete shows when it is read.
+    Readers take the last of two equal names, so the stamps win over fields of the same name.
+    NULL when ``payload`` does not begin and end like an object. The payload is not parsed or
+    rewritten: a line break in JSON text is white space (inside strings it is escaped), so a space
+    can stand for it. One closing brace goes and one comes, so an object that was cut off stays
+    incomplete, which shows when it is read.
     """
-    front = F.regexp_replace(F.to_json(F.struct(*[value.alias(name) for name, value in meta.items()])), r"\}$", "")
-    line = F.regexp_replace(payload, r"[\r\n]+", " ")
-    fields = F.concat(F.lit(","), F.regexp_replace(line, r"^\s*\{\s*", ""))
-    return F.when(payload.rlike(r"^\s*\{"), F.concat(front, F.regexp_replace(fields, r"^,\}", "}")))
+    stamps = F.regexp_replace(F.to_json(F.struct(*[value.alias(name) for name, value in meta.items()])), r"^\{", "")
+    own = F.regexp_replace(F.regexp_replace(payload, r"[\r\n]+", " "), r"\s*\}\s*$", "")
+    comma = F.when(own.rlike(r"^\s*\{\s*$"), "").otherwise(",")
+    return F.when(payload.rlike(r"^\s*\{[\s\S]*\}\s*$"), F.concat(own, comma, stamps))
 
 
 def only_new(batch: DataFrame, landed: DataFrame, keys=DOCUMENT_KEYS) -> DataFrame:
@@ -78,56 +79,58 @@ def day_folder(root: str, source: str, day: dt.date | str | None = None, layout:
 
 
 def land_raw(documents: DataFrame, root: str, source: str, batch_id: str, layout: str = "compact") -> None:
-    """Write ``(document, landing_date)`` as JSON lines below ``root`` by source, day and batch.
+    """Append ``(ticker, document, landing_date)`` as Parquet below ``root`` by source, day and batch.
 
-    Each batch owns its partitions, and dynamic overwrite replaces just those, so running a
-    batch again after a failure leaves the same files. A document landed by two batches is
-    resolved when read (:func:`read_landed`), the later batch winning.
+    Nothing landed is ever replaced: a batch that is run again adds what it has not landed yet, as
+    the check against landed keys decides, and a write that failed leaves no file. A document
+    landed twice all the same is resolved by row when read, the later batch winning.
 
     One file per (source, ticker, day) would leave thousands of tiny files a day; the
     rebalance step instead packs a day into files of the advisory size and splits a large one.
     """
     parts = {"source": F.lit(source), **_day_parts(F.col("landing_date"), layout), "batch": F.lit(batch_id)}
     (
-        documents.select("document", *[value.alias(name) for name, value in parts.items()])
+        documents.select("ticker", "document", *[value.alias(name) for name, value in parts.items()])
         .hint("rebalance", *parts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("append")
         .partitionBy(*parts)
-        .text(root)
+        .parquet(root)
     )
 
 
-def landed_lines(
+LANDED = StructType([StructField(name, StringType()) for name in ("ticker", "document")])
+
+
+def scan_landed(
     spark: SparkSession, root: str, source: str, day: dt.date | str | None = None, layout: str = "compact"
 ) -> DataFrame:
-    """Landed document texts as ``value`` with ``_file_path``; only one day's folder if given."""
-    folder = present_paths(spark, day_folder(root, source, day, layout))
-    if not folder:
-        return empty_like(spark, StructType([StructField(name, StringType()) for name in ("value", "_file_path")]))
-    lines = spark.read.option("recursiveFileLookup", True).text(folder)
-    return lines.withColumn("_file_path", F.col("_metadata.file_path"))
+    """Landed ``ticker`` and ``document`` with ``_file_path``; only one day's folder if given."""
+    landed = _landed_columns(spark, LANDED, root, source, day, layout)
+    there = present_paths(spark, day_folder(root, source, day, layout))
+    return landed.withColumn("_file_path", F.col("_metadata.file_path") if there else F.lit(None).cast("string"))
 
 
-def scan_landed(
+def landed_tickers(
     spark: SparkSession, root: str, source: str, day: dt.date | str | None = None, layout: str = "compact"
 ) -> DataFrame:
-    """:func:`landed_lines` with the fields that name a document and its batch."""
-    keys = StructType([StructField(name, StringType()) for name in LANDING_KEYS[source]])
-    batch = F.regexp_extract("_file_path", r"/batch=([^/]+)/", 1)
-    fields = F.inline(F.array(F.from_json("value", keys)))
-    return landed_lines(spark, root, source, day, layout).select("value", "_file_path", batch.alias("_batch"), fields)
+    """Tickers that have a landed document. They stand beside it, so only they are read."""
+    return _landed_columns(spark, StructType(LANDED.fields[:1]), root, source, day, layout)
+
+
+def _landed_columns(spark: SparkSession, columns: StructType, root: str, source: str, day, layout: str) -> DataFrame:
+    folder = present_paths(spark, day_folder(root, source, day, layout))
+    if not folder:
+        return empty_like(spark, columns)
+    return spark.read.schema(columns).option("recursiveFileLookup", True).parquet(*folder)
 
 
 def read_landed(
     spark: SparkSession, root: str, source: str, schema: StructType, day: dt.date | str | None = None, layout: str = "compact"
 ) -> DataFrame:
-    """Landed documents of one source, from the latest batch of each key.
-
-    Batch names must sort in order of time (timestamps do).
-    """
-    latest = latest_per_key(scan_landed(spark, root, source, day, layout), LANDING_KEYS[source], ("_batch", "_file_path"))
-    return documents_from_text(latest, "value", schema, "_file_path")
+    """All landed documents of one source, parsed. Their rows carry what
+    :func:`~tickloom.operators.dedup.latest_per_key` needs: the stamp, and a path that sorts by
+    batch name (timestamps sort in order of time)."""
+    return documents_from_text(scan_landed(spark, root, source, day, layout), "document", schema, "_file_path")
 
 
 def ingest_summary(audit: DataFrame) -> DataFrame:
