@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.test_sources import bar, bar_document, write
 from tickloom import schemas
 from tickloom.streaming import apply_corrections, follow_corrections, land_incremental
-from tickloom.streaming.bars import checkpoint_for, read_corrected_bars, read_landed_bars
+from tickloom.streaming.bars import bucket_of, checkpoint_for, read_corrected_bars, read_landed_bars
 
 
 def land(tmp_path, name, ticker, closes, ingested):
@@ -27,6 +27,10 @@ def test_each_file_is_landed_once(spark, tmp_path):
     assert spark.read.parquet(out).where("verdict = 'bad_date'").count() == 1
 
 
+def folder_of(spark, table, ticker):
+    return f"{table}/bucket={spark.range(1).select(bucket_of(F.lit(ticker))).first()[0]}"
+
+
 def table_rows(spark, table):
     rows = read_corrected_bars(spark, table).orderBy("ticker", "date").collect()
     return [(r.ticker, str(r.date), r.close_price, r.daily_return_pct) for r in rows]
@@ -41,12 +45,14 @@ def test_corrections_rebuild_only_touched_tickers(spark, tmp_path):
     assert first == [
         ("A", "2026-03-16", 400.0, None), ("A", "2026-03-17", 404.0, 1.0), ("A", "2026-03-18", 408.0, 0.9901),
         ("B", "2026-03-16", 10.0, None), ("B", "2026-03-17", 11.0, 10.0)]
-    untouched = {f: os.stat(f"{table}/ticker=B/{f}").st_mtime_ns for f in os.listdir(f"{table}/ticker=B")}
+    other = folder_of(spark, table, "B")
+    assert other != folder_of(spark, table, "A")
+    untouched = {f: os.stat(f"{other}/{f}").st_mtime_ns for f in os.listdir(other)}
     land(tmp_path, "3.json", "A", {"2026-03-17": "500"}, "2026-03-19")
     follow_corrections(spark, raw, table, checkpoint)
     assert table_rows(spark, table) == [
         ("A", "2026-03-16", 400.0, None), ("A", "2026-03-17", 500.0, 25.0), ("A", "2026-03-18", 408.0, -18.4), *first[3:]]
-    assert untouched == {f: os.stat(f"{table}/ticker=B/{f}").st_mtime_ns for f in os.listdir(f"{table}/ticker=B")}
+    assert untouched == {f: os.stat(f"{other}/{f}").st_mtime_ns for f in os.listdir(other)}
     land(tmp_path, "4.json", "A", {"2026-03-17": "1"}, "2026-03-01")  # late file with an older stamp
     follow_corrections(spark, raw, table, checkpoint)
     assert table_rows(spark, table)[1] == ("A", "2026-03-17", 500.0, 25.0)
@@ -77,12 +83,25 @@ def test_a_crash_during_replacement_loses_no_history(spark, tmp_path):
     second = batch(spark, [("A", "2026-03-17", 2.0, "2")])
     apply_corrections(second, 1, table, staging)
     want = table_rows(spark, table)
-    for name in os.listdir(f"{table}/ticker=A"):  # the folder was emptied, its new files did not arrive
-        os.remove(f"{table}/ticker=A/{name}")
+    folder = folder_of(spark, table, "A")
+    for name in os.listdir(folder):  # the folder was emptied, its new files did not arrive
+        os.remove(f"{folder}/{name}")
     apply_corrections(second, 1, table, staging)
     assert table_rows(spark, table) == want
 
 
+def test_only_touched_folders_are_read(spark, tmp_path):
+    table = str(tmp_path / "bars")
+    tickers = [f"T{i}" for i in range(40)]
+    apply_corrections(batch(spark, [(t, "2026-03-16", 1.0, "1") for t in tickers]), 0, table, str(tmp_path / "staged"))
+    bucket = int(folder_of(spark, table, "T7").rpartition("=")[2])
+    files = read_corrected_bars(spark, table, [bucket])
+    plan = files._jdf.queryExecution().executedPlan()
+    files.collect()
+    assert plan.collectLeaves().head().metrics().apply("numFiles").value() == 1
+    assert len(spark.read.parquet(table).inputFiles()) > 20
+
+
 def test_an_unfinished_staging_copy_is_written_anew(spark, tmp_path):
     table, staging = str(tmp_path / "bars"), tmp_path / "staged"
     part = staging / "batch_id=0"

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tickloom import schemas
 from tickloom.operators.dedup import latest_per_key
@@ -18,6 +19,8 @@ from tickloom.session import path_exists, shared_dir
 from tickloom.sources.documents import FILE_PATTERN, accepted, parse_daily_bars, source_path
 
 ACCEPTED = "accepted"
+#: Folders of the corrected table: a layout parameter, fixed once the table has rows.
+BUCKETS = 64
 
 
 def stream_documents(spark: SparkSession, path: str, multi_line: bool = True, max_files: int = 10_000) -> DataFrame:
@@ -74,15 +77,25 @@ def read_landed_bars(spark: SparkSession, out: str) -> DataFrame:
     return landed.where(F.col("verdict") == ACCEPTED).drop("verdict")
 
 
-def read_corrected_bars(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(schemas.CORRECTED_BARS).parquet(table)
+def bucket_of(ticker: Column, buckets: int = BUCKETS) -> Column:
+    """The folder of the corrected table that holds a ticker."""
+    return F.pmod(F.xxhash64(ticker), F.lit(buckets)).cast("int")
+
+
+def read_corrected_bars(spark: SparkSession, table: str, buckets: list[int] | None = None) -> DataFrame:
+    """The corrected table, or only some of its folders."""
+    layout = StructType([*schemas.CORRECTED_BARS.fields, StructField("bucket", IntegerType())])
+    rows = spark.read.schema(layout).parquet(table)
+    return (rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).drop("bucket")
 
 
 def apply_corrections(batch: DataFrame, batch_id: int, table: str, staging: str) -> None:
     """Merge a batch of bar versions into ``table`` and recompute the tickers it touches.
 
-    A corrected close changes that day's return and the next one, so whole tickers are
-    rebuilt; ticker folders the batch does not touch are neither read nor written.
+    A corrected close changes that day's return and the next one, so whole tickers are rebuilt.
+    The table is laid out by hash buckets of the ticker. The numbers of the buckets that the batch
+    touches, ``BUCKETS`` at most, go to the driver and make a static partition filter: the other
+    folders are neither read nor written.
 
     The new content is first written to ``staging`` and only then replaces the folders. A
     batch that is run again after a crash finds its finished staging copy and repeats just the
@@ -95,9 +108,8 @@ def apply_corrections(batch: DataFrame, batch_id: int, table: str, staging: str)
         try:
             versions = bars
             if path_exists(spark, table):
-                touched = bars.select("ticker").distinct()
-                known = read_corrected_bars(spark, table).drop("daily_return_pct")
-                versions = bars.unionByName(known.join(touched, "ticker", "left_semi"))
+                touched = [row[0] for row in bars.select(bucket_of(F.col("ticker"))).distinct().collect()]
+                versions = bars.unionByName(read_corrected_bars(spark, table, touched).drop("daily_return_pct"))
             rebuilt = with_daily_return(latest_per_key(versions)).select(*schemas.CORRECTED_BARS.names)
             rebuilt.write.mode("overwrite").parquet(staged)
         finally:
@@ -105,11 +117,12 @@ def apply_corrections(batch: DataFrame, batch_id: int, table: str, staging: str)
     (
         spark.read.schema(schemas.CORRECTED_BARS)
         .parquet(staged)
-        .repartition("ticker")
-        .sortWithinPartitions(*schemas.KEYS)
+        .withColumn("bucket", bucket_of(F.col("ticker")))
+        .hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", *schemas.KEYS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ticker")
+        .partitionBy("bucket")
         .parquet(table)
     )
     _drop_stale(spark, staging, batch_id)
