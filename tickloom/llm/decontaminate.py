@@ -1,9 +1,9 @@
 """Benchmark contamination by one Aho-Corasick automaton over normalised test texts.
 
-Texts are lower-cased (A-Z) and cut into words of digits, letters and non-ASCII characters. The
-automaton holds every window of ``WINDOW`` consecutive words of every test item (an item with
-fewer words is one window), and scans each document once. Hits are mapped back to word numbers
-and to character spans of the original text.
+Texts are lower-cased (A-Z) and cut into words of digits, letters and non-ASCII characters. A
+window is ``WINDOW`` consecutive words of a test item (an item with fewer words is one window).
+The automaton finds every occurrence of every window in one scan of a document. Hits are mapped
+back to word numbers and to character spans of the original text.
 """
 
 from __future__ import annotations
@@ -41,35 +41,66 @@ def normal_words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_NORMAL).split()
 
 
-def build_automaton(items: list[tuple[str, bytes]], window: int = WINDOW):
-    """The automaton, with (number of words, ids of the items that hold the window) as values."""
-    owners: dict[bytes, tuple[int, set[str]]] = {}
-    for item_id, text in items:
-        words = normal_words(text)
-        width = min(window, len(words))
-        for i in range(len(words) - width + 1 if words else 0):
-            owners.setdefault(b" ".join(words[i : i + width]), (width, set()))[1].add(item_id)
-    automaton = ahocorasick.Automaton()
-    for key, (width, ids) in owners.items():
-        automaton.add_word(f" {key.decode('latin-1')} ", (width, sorted(ids)))
-    if owners:
-        automaton.make_automaton()
-    return automaton if owners else None
-
-
-def scan(words: list[bytes], automaton) -> tuple[list[tuple[int, int]], set[str]]:
-    """Word ranges of all windows found (end excluded) and their items."""
-    line = f" {b' '.join(words).decode('latin-1')} "
-    ends: list[int] | None = None
-    ranges: list[tuple[int, int]] = []
-    items: set[str] = set()
-    for at, (width, ids) in automaton.iter(line):
-        if ends is None:
-            ends = list(accumulate((len(w) + 1 for w in words), initial=0))
-        last = bisect_right(ends, at) - 1
-        ranges.append((last - width, last))
-        items.update(ids)
-    return ranges, items
+class Matcher:
+    """The automaton of some test items, and the items' words to hold its hits against.
+
+    Its keys are not the windows themselves, which would repeat every item ``window`` times, but
+    the item's consecutive stretches of half a window: every window holds a whole one. Where one
+    is found, item and document are compared word by word to both sides, and what is as long as a
+    window at least is a hit. Items shorter than a window are keys as they are.
+    """
+
+    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+        self.window = window
+        known: dict[bytes, bytes] = {}
+        owners: dict[tuple[bytes, ...], set[str]] = {}
+        for item_id, text in items:
+            words = tuple(known.setdefault(w, w) for w in normal_words(text))
+            if words:
+                owners.setdefault(words, set()).add(item_id)
+        self.words, self.ids = list(owners), list(owners.values())
+        keys: dict[bytes, tuple[int, list[tuple[int, int]]]] = {}
+        step = (window + 1) // 2
+        for n, words in enumerate(self.words):
+            width = len(words) if len(words) < window else step
+            for at in range(0, len(words) - width + 1, step):
+                keys.setdefault(b" ".join(words[at : at + width]), (width, []))[1].append((n, at))
+        self.automaton = ahocorasick.Automaton()
+        for key, places in keys.items():
+            self.automaton.add_word(f" {key.decode('latin-1')} ", places)
+        if keys:
+            self.automaton.make_automaton()
+
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """Word ranges that windows cover (end excluded), and the items they are from."""
+        ranges: list[tuple[int, int]] = []
+        items: set[str] = set()
+        if not self.words or not words:
+            return ranges, items
+        ends: list[int] | None = None
+        # By item and distance: how far the document is compared already.
+        compared: dict[tuple[int, int], int] = {}
+        for last_byte, (width, places) in self.automaton.iter(f" {b' '.join(words).decode('latin-1')} "):
+            if ends is None:
+                ends = list(accumulate((len(w) + 1 for w in words), initial=0))
+            hi = bisect_right(ends, last_byte) - 1
+            lo = hi - width
+            for n, at in places:
+                own = self.words[n]
+                if compared.get((n, lo - at), 0) > lo:
+                    continue
+                first, end, shift = lo, hi, at - lo
+                if len(own) >= self.window:
+                    while first and first + shift and words[first - 1] == own[first + shift - 1]:
+                        first -= 1
+                    while end < len(words) and end + shift < len(own) and words[end] == own[end + shift]:
+                        end += 1
+                    compared[n, lo - at] = end
+                    if end - first < self.window:
+                        continue
+                ranges.append((first, end))
+                items.update(self.ids[n])
+        return ranges, items
 
 
 def original_spans(text: bytes, ranges: list[tuple[int, int]]) -> list[dict[str, int]]:
@@ -88,7 +119,7 @@ def contamination(
     name: str = "found",
     keep: list[str] | None = None,
     window: int = WINDOW,
-    most_bytes: int = 32 << 20,
+    most_bytes: int = 8 << 20,
 ) -> DataFrame:
     """Add the struct ``name`` to ``docs``: n_words, n_hit, items (sorted) and spans.
 
@@ -97,8 +128,9 @@ def contamination(
     Items with null or wordless text have no window. Rows of one ``item_id`` count as one item; a
     null ``item_id`` goes as the empty string. Repeated rows are each judged.
 
-    The test texts are broadcast, at most ``most_bytes`` in one automaton. A larger benchmark is
-    cut into several automata of that size, and every document passes all of them in its task.
+    The test texts are broadcast, at most ``most_bytes`` in one automaton (some 40 bytes of memory
+    each, kept by the worker from task to task). A larger benchmark is cut into several automata,
+    and every batch of documents passes them one after the other.
     """
     spark = docs.sparkSession
     items = benchmark.select(
@@ -116,21 +148,15 @@ def contamination(
     ]
     key = f"automaton-{uuid.uuid4()}"
 
-    def automaton(i: int):
-        return held_by_worker(f"{key}-{i}", lambda: build_automaton(shared[i].value, window))
-
     def compute(texts: list[bytes | None]) -> list:
         words = [normal_words(t) for t in texts]
         found: list[tuple[list, set]] = [([], set()) for _ in texts]
         for i in range(parts):
-            machine = automaton(i)
-            if machine is None:
-                continue
-            for k, own in enumerate(words):
-                if own:
-                    ranges, ids = scan(own, machine)
-                    found[k][0].extend(ranges)
-                    found[k][1].update(ids)
+            matcher = held_by_worker(f"{key}-{i}", lambda i=i: Matcher(shared[i].value, window))
+            for (ranges, ids), own in zip(found, words, strict=True):
+                more, of = matcher.scan(own)
+                ranges.extend(more)
+                ids.update(of)
         merged = [_merge(ranges) for ranges, _ in found]
         return [
             [len(w) for w in words],
