@@ -81,4 +81,4 @@ def drop_boilerplate(
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
     n_left = F.when(F.col("text").isNull(), 0).otherwise(F.size(rest)).cast("long")
     made = F.struct(n_lines.alias("n_lines"), (n_lines - n_left).alias("n_removed"), left.alias("text"))
-    return joined.select(*[docs[c] for c in docs.columns], made.alias(name))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], made.alias(name))
