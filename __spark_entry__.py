@@ -7,6 +7,7 @@ choosing one is what the operator does.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from collections.abc import Callable
@@ -20,13 +21,14 @@ from tickloom import schemas  # noqa: E402
 from tickloom.functions import day_start, doc_key, last_trading_day  # noqa: E402
 from tickloom.operators.activity import (  # noqa: E402
     activity_rollup,
+    as_responses,
     commits_on,
     count_per_key,
     open_prs,
     repo_facts,
     repo_rows,
 )
-from tickloom.operators.combine import combine, dropped_keys  # noqa: E402
+from tickloom.operators.combine import combine, dropped_keys, with_processed_at  # noqa: E402
 from tickloom.operators.dedup import last_n_per_ticker, latest_per_key  # noqa: E402
 from tickloom.operators.quality import (  # noqa: E402
     check_marts,
@@ -59,6 +61,7 @@ from tickloom.plans.pipeline import run_models  # noqa: E402
 from tickloom.sources import feeds  # noqa: E402
 from tickloom.sources.companies import COMPANY_ROWS, companies  # noqa: E402
 from tickloom.sources.documents import (  # noqa: E402
+    DOCUMENT_SCHEMAS,
     accepted,
     classify_payload,
     documents_from_text,
@@ -66,6 +69,7 @@ from tickloom.sources.documents import (  # noqa: E402
     parse_activity,
     parse_daily_aggregates,
     parse_daily_bars,
+    parse_repo_details,
     rejected,
 )
 from tickloom.sources.frames import union_all  # noqa: E402
@@ -80,6 +84,8 @@ _ORACLE: dict[str, str] = {}
 # of the comparison take every branch.
 THRESHOLD = 2
 
+RUN = dt.datetime(2024, 2, 1, 18, tzinfo=dt.timezone.utc)
+
 
 def query(sql: str) -> Callable[[Query], Query]:
     """Register the function under its own name together with its oracle SQL."""
@@ -414,6 +420,20 @@ def payload_status(spark: SparkSession, sf: str) -> DataFrame:
     return classify_payload(feeds.event_responses(events(spark, sf)), "stocks").select("event_id", "payload_status")
 
 
+@query("""select event_id, 'polygon' as source, case event_type when 'error' then 'error' when 'click' then 'malformed'
+    when 'view' then 'incomplete' when 'signup' then 'empty' else 'ok' end as payload_status from events
+union all select event_id, 'github', case event_type when 'error' then 'malformed' else 'ok' end from events""")
+def other_payload_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event as an aggregate response and as an activity document."""
+    texts = {"polygon": feeds.aggregate_response_text(), "github": feeds.activity_response_text()}
+    statuses = []
+    for source, text in texts.items():
+        responses = events(spark, sf).select("event_id", text.alias("payload"))
+        parsed = documents_from_text(responses, "payload", DOCUMENT_SCHEMAS[source], "event_id")
+        statuses.append(classify_payload(parsed, source).select("event_id", F.lit(source).alias("source"), "payload_status"))
+    return union_all(statuses)
+
+
 @query("select event_id, event_type from events where event_type in ('click', 'purchase')")
 def landable_documents(spark: SparkSession, sf: str) -> DataFrame:
     return landable(feeds.event_responses(events(spark, sf)), "stocks").select("event_id", "event_type")
@@ -455,6 +475,13 @@ def ingest_stamps(spark: SparkSession, sf: str) -> DataFrame:
     return with_ingest_meta(bars, "2024-02-01", trading_date="date").drop("date")
 
 
+@query(f"""{USER_COMBINED} select ticker, date, cast({int(RUN.timestamp())} as bigint) as processed_at from raw_combined""")
+def run_stamp(spark: SparkSession, sf: str) -> DataFrame:
+    """The run's timestamp, in seconds, on all rows of the combined table."""
+    stamped = with_processed_at(user_combined(spark, sf), RUN)
+    return stamped.select("ticker", "date", F.unix_timestamp("processed_at").alias("processed_at"))
+
+
 @query(f"""with bars as ({USER_BARS}) select ticker, date, concat(ticker, '_', strftime(date, '%Y-%m-%d'), '.json') as doc_key,
     concat(strftime(date, '%Y-%m-%d'), 'T00:00:00Z') as since from bars""")
 def document_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -525,6 +552,13 @@ def repo_details(spark: SparkSession, sf: str) -> DataFrame:
     return repo_rows(activity_rollup(event_repo_facts(spark, sf), companies(spark)))
 
 
+@query(f"{REPO_FACTS} select ticker, date, repo, stars, forks, commits_today, open_prs from facts")
+def repo_details_from_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The details as text of activity documents and parsed back."""
+    documents = as_responses(activity_rollup(event_repo_facts(spark, sf), companies(spark)))
+    return parse_repo_details(documents_from_text(documents, "payload", DOCUMENT_SCHEMAS["github"]))
+
+
 @query(f"select {REPO_KEY}, count(*) as commits from events where event_type = 'click' and ts >= timestamp '2024-01-16 00:00:00' group by 1, 2, 3")
 def commits_since(spark: SparkSession, sf: str) -> DataFrame:
     commits = commits_on(feeds.repo_events(events(spark, sf), "click"), "2024-01-16")
@@ -573,6 +607,27 @@ def mart_checks(spark: SparkSession, sf: str) -> DataFrame:
     return check_marts(run_models(user_combined(spark, sf), threshold=THRESHOLD))
 
 
+@query(f"""with bars as ({USER_BARS}), damaged as (
+    select case when volume <> 2 then ticker end as ticker, date, case when volume <> 3 then close_price end as close_price
+    from (select *, unnest(range(volume)) as copy from bars)),
+marts as (select 'mart_stock_performance' as mart, * from damaged union all select 'mart_github_correlation', * from damaged)
+select concat(mart, '.not_null') as "check", c as column_name, count(*) filter (where case c when 'ticker' then ticker is null
+    when 'date' then date is null else close_price is null end) as failures
+from marts, unnest(['ticker', 'date', 'close_price']) as t(c)
+where not (mart = 'mart_github_correlation' and c = 'close_price') group by mart, c
+union all select concat(mart, '.unique'), 'ticker,date', count(*) filter (where copies > 1)
+from (select mart, ticker, date, count(*) as copies from marts group by 1, 2, 3) group by mart""")
+def damaged_mart_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars once for each of their events, some without a ticker or a price, as both marts."""
+    copies = feeds.user_bars(events(spark, sf)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("volume"))))
+    damaged = copies.select(
+        F.when(F.col("volume") != 2, F.col("ticker")).alias("ticker"),
+        "date",
+        F.when(F.col("volume") != 3, F.col("close_price")).alias("close_price"),
+    )
+    return check_marts({"mart_stock_performance": damaged, "mart_github_correlation": damaged})
+
+
 # --- reads -----------------------------------------------------------------------------------
 
 

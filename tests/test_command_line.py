@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_sources import bar, bar_document, write
 from tickloom.__main__ import arguments, main
@@ -25,6 +26,15 @@ def test_ingest(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out) == {"success_count": 1, "skip_count": 0, "error_count": 0}
 
 
+def test_activity(spark, tmp_path, capsys):
+    rows = [("MSFT", "vscode", "2026-03-16", 5, 1, 3, 2), ("MSFT", "vscode", "2026-03-17", 6, 1, 4, 2)]
+    facts = spark.createDataFrame(rows, "ticker string, repo string, date string, stars long, forks long, commits_today long, open_prs long")
+    facts.withColumn("date", F.col("date").cast("date")).write.parquet(str(tmp_path / "facts"))
+    for expected in ({"success_count": 5, "skip_count": 0, "error_count": 0}, {"success_count": 0, "skip_count": 5, "error_count": 0}):
+        main(["activity", str(tmp_path / "facts"), str(tmp_path / "raw"), "2026-03-16"])
+        assert json.loads(capsys.readouterr().out) == expected
+
+
 def test_streams(spark, tmp_path):
     write(tmp_path / "raw" / "stocks", "A.json", bar_document("A", {"2026-03-16": bar("1")}))
     for job in ("land", "correct"):

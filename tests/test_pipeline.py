@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.test_sources import activity_document, bar, bar_document, write
 from tickloom import schemas
 from tickloom.plans.pipeline import MARTS, publish_models, run_models, run_processing, sample, write_quarantine
+from tickloom.plans.pipeline import parsed_source as pipeline_parse
 from tickloom.session import get_session, path_exists, shared_dir, shuffle_partitions_for
 from tickloom.sinks import publish_table, register_views, write_combined
 from tickloom.sources.frames import MissingSourceError
@@ -89,6 +90,25 @@ def test_quarantine(spark, tmp_path, raw):
     assert got == [("stocks", "bad_date"), ("stocks", "rate_limited")]
 
 
+def test_quarantine_in_the_same_pass(spark, tmp_path, raw, monkeypatch):
+    parsed = []
+
+    def once(spark, raw_dir, source, *rest):
+        parsed.append(source)
+        return pipeline_parse(spark, raw_dir, source, *rest)
+
+    monkeypatch.setattr("tickloom.plans.pipeline.parsed_source", once)
+    out, path = str(tmp_path / "out"), str(tmp_path / "bad")
+    counts = run_processing(spark, raw, out, RUN, quarantine=path)
+    assert sorted(parsed) == ["github", "polygon", "stocks"]
+    assert counts["stocks"] == {"rows": 8, "not_accepted": 2} and counts["combined"] == {"rows": 4}
+    got = sorted((r.source, r.row_problem) for r in spark.read.parquet(path).collect())
+    assert got == [("stocks", "bad_date"), ("stocks", "rate_limited")]
+    with pytest.raises(MissingSourceError):
+        run_processing(spark, str(tmp_path / "nowhere"), out, RUN, quarantine=path)
+    assert read_combined(spark, f"{out}/combined").count() == 4
+
+
 def test_publish_models(spark, tmp_path, raw):
     out = str(tmp_path / "out")
     run_processing(spark, raw, out, RUN)

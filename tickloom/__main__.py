@@ -5,9 +5,13 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import functions as F
+
+from tickloom.operators.activity import activity_rollup, as_responses
 from tickloom.plans import pipeline
 from tickloom.plans.ingest import run_ingestion
 from tickloom.session import get_session
+from tickloom.sources.companies import companies
 from tickloom.streaming import follow_corrections, land_incremental
 
 
@@ -23,6 +27,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     ingest.add_argument("source", choices=("stocks", "polygon", "github"))
     ingest.add_argument("day", help="yyyy-MM-dd")
 
+    activity = jobs.add_parser("activity", help="roll repository facts of one day up by company and land the documents")
+    activity.add_argument("facts", help="Parquet with columns ticker, repo, date, stars, forks, commits_today, open_prs")
+    activity.add_argument("root")
+    activity.add_argument("day", help="yyyy-MM-dd")
+
     process = jobs.add_parser("process", help="raw documents to the combined dataset")
     process.add_argument("raw_dir")
     process.add_argument("out_dir")
@@ -48,11 +57,14 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "ingest":
         responses = spark.read.schema("ticker string, payload string").parquet(args.responses)
         print(json.dumps(run_ingestion(spark, responses, args.root, args.source, args.day)))
+    elif args.job == "activity":
+        facts = spark.read.parquet(args.facts).where(F.col("date") == F.lit(args.day).cast("date"))
+        documents = as_responses(activity_rollup(facts, companies(spark), args.day))
+        print(json.dumps(run_ingestion(spark, documents, args.root, "github", args.day)))
     elif args.job == "process":
-        print(json.dumps(pipeline.run_processing(spark, args.raw_dir, args.out_dir, layout=args.layout)))
+        counts = pipeline.run_processing(spark, args.raw_dir, args.out_dir, layout=args.layout, quarantine=args.quarantine)
+        print(json.dumps(counts))
         pipeline.sample(spark, args.out_dir).show(truncate=False)
-        if args.quarantine:
-            pipeline.write_quarantine(spark, args.raw_dir, args.quarantine, args.layout)
     elif args.job == "publish":
         pipeline.publish_models(spark, args.out_dir)
     elif args.job == "land":

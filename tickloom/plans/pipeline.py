@@ -70,25 +70,37 @@ def run_processing(
     run_ts: dt.datetime | None = None,
     layout: str = "files",
     strict_nulls: bool = False,
+    quarantine: str | None = None,
 ) -> dict[str, dict]:
     """Read the three sources, combine them and write ``out_dir``/combined in one pass.
 
-    Bars are required; the other sources may be missing. Nothing is overwritten when bars are
-    missing. Returns row counts per source and of the result, observed in that same pass (for
-    the log: a task run again after a lost executor may be counted again).
+    Bars are required; the other sources may be missing. The combined dataset stays as it is when
+    bars are missing. Returns row counts per source and of the result, observed in that same pass
+    (for the log: a task run again after a lost executor may be counted again).
+
+    With ``quarantine`` the refused rows go to that folder. Each source is still parsed once: its
+    typed rows, good and bad, are written to ``out_dir``/parsed and both results read from there.
     """
     parsed, seen = {}, {}
     for source in SOURCES:
-        frame = parsed_source(spark, raw_dir, source, layout, strict_nulls)
-        if source == "stocks":
-            require_rows(accepted(frame), source)
-        elif not present_paths(spark, source_folder(raw_dir, source, layout)):
+        required = source == "stocks"
+        if not required and not present_paths(spark, source_folder(raw_dir, source, layout)):
             continue
+        frame = parsed_source(spark, raw_dir, source, layout, strict_nulls)
         seen[source] = (Observation(source), frame)
-        parsed[source] = frame.observe(seen[source][0], *_source_counts())
+        counted = frame.observe(seen[source][0], *_source_counts())
+        if quarantine:
+            path = f"{out_dir.rstrip('/')}/parsed/{source}"
+            counted.write.mode("overwrite").parquet(path)
+            frame = counted = spark.read.schema(frame.schema).parquet(path)
+        if required:
+            require_rows(accepted(frame), source)
+        parsed[source] = counted
     result = Observation("combined")
     combined = with_processed_at(build_combined(parsed), run_ts)
     write_combined(combined.observe(result, F.count(F.lit(1)).alias("rows")), combined_path(out_dir))
+    if quarantine:
+        write_refused(parsed, quarantine)
     return {**{source: observed(*pair, _source_counts()) for source, pair in seen.items()}, "combined": result.get}
 
 
@@ -101,15 +113,18 @@ def combined_path(out_dir: str) -> str:
     return f"{out_dir.rstrip('/')}/combined"
 
 
-def write_quarantine(spark: SparkSession, raw_dir: str, path: str, layout: str = "files") -> None:
+def write_refused(parsed: dict[str, DataFrame], path: str) -> None:
     """Write what the sources' parsers refused, by source and problem, for a closer look."""
-    bad = []
-    for source in SOURCES:
-        rows = rejected(parsed_source(spark, raw_dir, source, layout))
-        bad.append(rows.select(F.lit(source).alias("source"), "ticker", "date", "_ingested_at", "_file_path", "row_problem"))
+    columns = ("ticker", "date", "_ingested_at", "_file_path", "row_problem")
+    bad = [rejected(rows).select(F.lit(source).alias("source"), *columns) for source, rows in parsed.items()]
     union_all(bad).write.mode("overwrite").partitionBy("source", "row_problem").parquet(path)
 
 
+def write_quarantine(spark: SparkSession, raw_dir: str, path: str, layout: str = "files") -> None:
+    """The refused rows alone, without processing the others."""
+    write_refused({source: parsed_source(spark, raw_dir, source, layout) for source in SOURCES}, path)
+
+
 def sample(spark: SparkSession, out_dir: str, n: int = 10) -> DataFrame:
     """First rows of the written dataset."""
     return preview(read_combined(spark, combined_path(out_dir)), n)

@@ -198,6 +198,28 @@ def response_text() -> Column:
     )
 
 
+def aggregate_response_text() -> Column:
+    """An event as the text of an aggregate response: refused, cut off, short of its result, empty, or good."""
+    kind = F.col("event_type")
+    result = F.struct(F.col("value").alias(schemas.AGGREGATE_FIELDS["vwap"]))
+    text = F.to_json(
+        F.struct(
+            F.when(kind == "error", "ERROR").otherwise("OK").alias("status"),
+            F.when(kind == "error", "unknown symbol").alias("error"),
+            F.when(kind == "signup", 0).otherwise(1).alias("resultsCount"),
+            F.when(kind.isin("click", "purchase"), F.array(result)).alias("results"),
+        )
+    )
+    return F.when(kind == "click", F.substring(text, 1, 12)).otherwise(text)
+
+
+def activity_response_text() -> Column:
+    """An event as the text of an activity document; errors are cut off."""
+    key = F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker")
+    text = F.to_json(F.struct(key, run_date_text(F.col("ts")).alias("date")))
+    return F.when(F.col("event_type") == "error", F.substring(text, 1, 12)).otherwise(text)
+
+
 def event_responses(events: DataFrame) -> DataFrame:
     """Every event as a parsed bar response."""
     text = events.select("event_id", "event_type", response_text().alias("value"))
