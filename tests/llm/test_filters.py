@@ -1,5 +1,6 @@
 """Decontamination, licences, line dedup, quality rules and mixing."""
 
+import random
 import re
 
 import numpy as np
@@ -55,6 +56,21 @@ def test_contamination_matches_brute_force(spark, most_bytes):
     assert {r.doc_id: (r.hits.n_words, r.hits.n_hit, list(r.hits["items"])) for r in got.collect()} == slow_contamination(rows, items, 13)
 
 
+@pytest.mark.parametrize("window", [1, 2, 4, 7, 13])
+def test_keys_of_half_a_window_find_every_window(window):
+    for seed in range(60):
+        draw = random.Random(seed)
+        letters = "abcdefghijklmnopqrstuvwxyz"[: draw.choice([2, 3, 5, 26])]
+        line = lambda n: " ".join(draw.choice(letters) for _ in range(n))
+        items = [(str(i % 7), line(draw.randrange(30))) for i in range(draw.randrange(8))]
+        rows = [(i, line(draw.randrange(60))) for i in range(4)]
+        rows += [(10 + i, f"{line(5)} {text} {line(3)}") for i, (_, text) in enumerate(items)]
+        matcher, slow = D.Matcher([(i, t.encode()) for i, t in items], window), slow_contamination(rows, items, window)
+        for i, text in rows:
+            ranges, ids = matcher.scan(text.encode().split())
+            assert (len(text.split()), len({w for r in ranges for w in range(*r)}), sorted(ids)) == slow[i]
+
+
 def test_spans_are_places_in_the_original_text(spark):
     rows, _, bench = contaminated_case(spark)
     got = {r.doc_id: r for r in D.contamination(documents(spark, rows), bench).collect()}
