@@ -63,28 +63,76 @@ def test_trie_join_finds_every_pair(budget):
     assert got == want and want
 
 
-def test_subtree_pairs_of_spark_find_what_brute_force_finds(spark):
-    draw = np.random.default_rng(7)
-    base = draw.integers(0, 2**64, 60, dtype=np.uint64)
-    chain = [base]
-    for _ in range(4):  # chains reach further than the budget
-        chain.append(chain[-1] ^ (np.uint64(1) << draw.integers(0, 64, 60, dtype=np.uint64)) ^ (np.uint64(1) << draw.integers(0, 64, 60, dtype=np.uint64)))
-    values = np.unique(np.concatenate(chain))
+def linked_sets(values):
     label = list(range(len(values)))
     for i in range(len(values)):
         for j in range(i):
             if int(values[i] ^ values[j]).bit_count() <= 4 and label[i] != label[j]:
                 old, new = label[i], label[j]
                 label = [new if x == old else x for x in label]
-    want = {frozenset(int(values[k].view(np.int64)) for k in range(len(values)) if label[k] == g) for g in set(label)}
+    sets = {frozenset(int(values[k].view(np.int64)) for k in range(len(values)) if label[k] == g) for g in set(label)}
+    return {g for g in sets if len(g) > 1}
+
+
+def spark_sets(spark, values, **options):
     prints = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    groups = {}
+    for r in S.components(S.fingerprint_links(prints, **options)).collect():
+        groups.setdefault(r.root, set()).add(r.node)
+    assert all(root == min(g) for root, g in groups.items())
+    return {frozenset(g) for g in groups.values()}
+
+
+def flip(draw, values, times):
+    for _ in range(times):
+        values = values ^ (np.uint64(1) << draw.integers(0, 64, len(values), dtype=np.uint64))
+    return values
+
+
+def test_subtree_pairs_of_spark_find_what_brute_force_finds(spark):
+    draw = np.random.default_rng(7)
+    chain = [draw.integers(0, 2**64, 60, dtype=np.uint64)]
+    for _ in range(4):  # chains reach further than the budget
+        chain.append(flip(draw, chain[-1], 2))
+    values = np.unique(np.concatenate(chain))
     for depth in (None, 2, 7):
-        rooted = S.components(S.fingerprint_links(prints, depth=depth)).collect()
-        groups = {}
-        for r in rooted:
-            groups.setdefault(r.root, set()).add(r.node)
-        assert {frozenset(g) for g in groups.values()} == {g for g in want if len(g) > 1}
-        assert all(root == min(g) for root, g in groups.items())
+        assert spark_sets(spark, values, depth=depth) == linked_sets(values)
+
+
+@pytest.mark.parametrize(("depth", "most"), [(None, 24), (6, 12), (18, 16)])
+def test_crowded_subtrees_are_taken_further_down(spark, depth, most):
+    draw = np.random.default_rng(11)
+    centre = draw.integers(0, 2**64, 3, dtype=np.uint64)
+    # Balls around three centres, one with the same first half throughout, and values of their own.
+    balls = [flip(draw, np.repeat(centre[:1], 60), 7), flip(draw, np.repeat(centre[1:2], 30), 3)]
+    balls.append(centre[2] ^ draw.integers(0, 2**32, 60, dtype=np.uint64))
+    values = np.unique(np.concatenate([*balls, draw.integers(0, 2**64, 60, dtype=np.uint64)]))
+    seen = []
+    walker = S._walker
+
+    def watched(at, *rest):
+        seen.append(at)
+        return walker(at, *rest)
+
+    S._walker = watched
+    try:
+        assert spark_sets(spark, values, depth=depth, most=most) == linked_sets(values)
+    finally:
+        S._walker = walker
+    assert len(seen) > 1
+
+
+def test_no_task_holds_more_than_its_share(spark):
+    draw = np.random.default_rng(13)
+    values = np.unique(flip(draw, np.repeat(draw.integers(0, 2**64, 1, dtype=np.uint64), 300), 12))
+    prints = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    sent, crowded = S._subtree_pairs(prints, 4, 2, 64)
+    assert not crowded.isEmpty()
+    for depth in (4, 8, 12):
+        sent = S._further_down(sent, depth, 2, 4)
+        keys = sent.select("turn", "low", "high", F.shiftrightunsigned("key", 64 - depth - 4).alias("own"), "upper")
+        assert keys.filter(F.when(F.col("upper"), F.col("high")).otherwise(F.col("low")) != F.col("own")).isEmpty()
+        assert keys.filter((F.col("low") > F.col("high")) | (F.bit_count(F.col("low").bitwiseXOR(F.col("high"))) > 2)).isEmpty()
 
 
 def test_long_chains_become_one_component(spark):

@@ -5,7 +5,9 @@ their halves. So there are two tries, one that starts with each half, and while
 lies within the first half only that smaller error budget is allowed; beyond it the whole one.
 The first ``depth`` levels are walked by Spark: every fingerprint goes to all pairs of subtrees
 whose prefixes are within the budget. A task then walks the node pairs of its two subtrees
-together, adds up differing bits and drops a pair as soon as its budget is exceeded.
+together, adds up differing bits and drops a pair as soon as its budget is exceeded. Where many
+fingerprints crowd below one prefix, Spark walks on to deeper levels until every task's share is
+bounded.
 
 Fingerprints are distinct before the join, so that copies cost nothing there, and a task returns
 a star per linked set instead of its pairs. Connected components come from alternating large and
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import cut, unused_name, with_struct
+from tickloom.llm.common import broadcast_up_to, cut, unused_name, with_struct
 
 SHINGLE = 4
 BITS = 64
@@ -34,6 +36,11 @@ _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _BYTE_ONES = np.uint64(0x0101010101010101)
 _LEAF_PAIRS = 1 << 21
 _FRONTIER = 1 << 19
+#: Fingerprints that a subtree should hold on average, and that a task may hold of a subtree pair.
+SUBTREE = 1 << 16
+MOST_IN_TASK = 1 << 19
+#: Levels by which Spark walks on in crowded subtree pairs.
+_STEP = 4
 
 
 # --- Fingerprints ----------------------------------------------------------------------------
@@ -206,31 +213,81 @@ def _rotate(values: np.ndarray) -> np.ndarray:
     return (values << np.uint64(BITS // 2)) | (values >> np.uint64(BITS // 2))
 
 
-def fingerprint_links(prints: DataFrame, budget: int = BUDGET, depth: int | None = None) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp`` that join all within ``budget`` bits.
-
-    Not every pair: each task returns a star per set that it found linked. ``depth`` levels are
-    walked by Spark; by default so many that a subtree holds some thousands of fingerprints.
-    """
-    if depth is None:
-        n = prints.count()
-        depth = min(max(int(n / 8192).bit_length(), 4), BITS // 2 - 1)
-    half = budget // 2
+def _subtree_pairs(prints: DataFrame, depth: int, half: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """Every fingerprint dealt to the pairs of subtrees at ``depth``, and the crowded pairs."""
     masks = [0] + [sum(1 << b for b in bits) for k in range(1, half + 1) for bits in combinations(range(depth), k)]
     turned = F.shiftleft("fp", BITS // 2).bitwiseOR(F.shiftrightunsigned("fp", BITS // 2))
     either = prints.select("fp", F.explode(F.array(F.lit(0), F.lit(1))).alias("turn"))
     either = either.withColumn("key", F.when(F.col("turn") == 0, F.col("fp")).otherwise(turned))
-    either = either.withColumn("own", F.shiftrightunsigned("key", BITS - depth).cast("int"))
-    either = either.withColumn("mask", F.explode(F.array(*map(F.lit, masks))))
+    either = either.withColumn("own", F.shiftrightunsigned("key", BITS - depth))
+    mask = F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask")
     other = F.col("own").bitwiseXOR(F.col("mask"))
-    sent = either.select(
-        "turn",
-        F.least("own", other).alias("low"),
-        F.greatest("own", other).alias("high"),
-        (F.col("own") > other).alias("upper"),
-        "key",
+    pair = ["turn", F.least("own", other).alias("low"), F.greatest("own", other).alias("high")]
+    sent = either.select("turn", "key", "own", mask).select(*pair, (F.col("own") > other).alias("upper"), "key")
+    # A pair holds no more than twice its larger subtree.
+    full = either.groupBy("turn", "own").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most // 2)
+    crowded = full.select("turn", "own", mask).select(*pair).distinct()
+    return sent, crowded.withColumn("alone", F.lit(False))
+
+
+def _further_down(crowd: DataFrame, depth: int, half: int, budget: int) -> DataFrame:
+    """Rows of subtree pairs at ``depth``, dealt to the pairs ``_STEP`` levels below them."""
+    allowed = half if depth + _STEP <= BITS // 2 else budget
+    own = F.shiftrightunsigned("key", BITS - depth - _STEP).bitwiseAND(F.lit((1 << _STEP) - 1))
+    errors = F.bit_count(F.col("low").bitwiseXOR(F.col("high")))
+    masks = F.array(*[F.lit(m).cast("long") for m in range(1 << _STEP)])
+    wide = crowd.withColumn("mask", F.explode(F.filter(masks, lambda m: errors + F.bit_count(m) <= allowed)))
+    other = own.bitwiseXOR(F.col("mask"))
+    low = F.shiftleft("low", _STEP).bitwiseOR(F.when(F.col("upper"), other).otherwise(own))
+    high = F.shiftleft("high", _STEP).bitwiseOR(F.when(F.col("upper"), own).otherwise(other))
+    # Only below a subtree paired with itself can the row's own side come out as the greater one.
+    upper = F.col("upper") | (low > high)
+    return wide.select(
+        "turn", F.least(low, high).alias("low"), F.greatest(low, high).alias("high"), upper.alias("upper"), "key"
+    )
+
+
+def _crowded_pairs(sent: DataFrame, most: int) -> DataFrame:
+    """Pairs with over ``most`` rows; ``alone`` where all are on one side and nothing can link."""
+    counted = sent.groupBy("turn", "low", "high").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("upper") == F.max("upper")).alias("one_side")
     )
+    alone = (F.col("low") < F.col("high")) & F.col("one_side")
+    return counted.filter(F.col("n") > most).select("turn", "low", "high", alone.alias("alone"))
 
+
+def fingerprint_links(
+    prints: DataFrame, budget: int = BUDGET, depth: int | None = None, most: int = MOST_IN_TASK
+) -> DataFrame:
+    """Links (a, b) between distinct fingerprints ``fp`` that join all within ``budget`` bits.
+
+    Not every pair: each task returns a star per set that it found linked. ``depth`` levels are
+    walked by Spark; by default so many that a subtree holds ``SUBTREE`` fingerprints on average.
+    Subtree pairs with more than ``most`` are taken some levels further down, again and again,
+    so no task holds more, however the fingerprints crowd.
+    """
+    if depth is None:
+        n = prints.count()
+        depth = min(max(int(n / SUBTREE).bit_length(), 4), BITS // 2 - 1)
+    half = budget // 2
+    pair = ["turn", "low", "high"]
+    sent, crowded = _subtree_pairs(prints, depth, half, most)
+    links = None
+    while True:
+        crowded = cut(crowded)
+        done = depth + _STEP >= BITS or crowded.isEmpty()
+        here = sent if done else sent.join(broadcast_up_to(crowded.select(*pair)), pair, "left_anti")
+        found = here.groupBy(*pair).applyInArrow(_walker(depth, half, budget), "a long, b long")
+        links = found if links is None else links.unionByName(found)
+        if done:
+            return links
+        wanted = crowded.filter(~F.col("alone")).select(*pair)
+        sent = cut(_further_down(sent.join(broadcast_up_to(wanted), pair, "left_semi"), depth, half, budget))
+        depth += _STEP
+        crowded = _crowded_pairs(sent, most)
+
+
+def _walker(depth: int, half: int, budget: int):
     def walk(table: pa.Table) -> pa.Table:
         keys = np.asarray(table.column("key")).view(np.uint64)
         upper = np.asarray(table.column("upper"))
@@ -245,7 +302,7 @@ def fingerprint_links(prints: DataFrame, budget: int = BUDGET, depth: int | None
         values = _rotate(values) if turn else values
         return pa.table([values[moved].view(np.int64), values[labels[moved]].view(np.int64)], names=["a", "b"])
 
-    return sent.groupBy("turn", "low", "high").applyInArrow(walk, "a long, b long")
+    return walk
 
 
 def components(links: DataFrame) -> DataFrame:
