@@ -81,6 +81,14 @@ def test_spans_are_places_in_the_original_text(spark):
         assert all(normal(p[0]) and normal(p[-1]) for p in pieces)
 
 
+def test_several_automata_find_what_one_does(spark):
+    rows, _, bench = contaminated_case(spark)
+    docs = documents(spark, [*rows, *rows])
+    one, many = (D.contamination(docs, bench, "hits", ["doc_id"], most_bytes=n) for n in (1 << 20, 60))
+    assert one.columns == many.columns and one.schema == many.schema
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+
+
 def test_contaminated_documents_go(spark):
     rows, _, bench = contaminated_case(spark)
     docs = documents(spark, rows, extra=True)

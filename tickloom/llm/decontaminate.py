@@ -8,19 +8,25 @@ back to word numbers and to character spans of the original text.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tickloom.llm.common import held_by_worker, unused_name, with_struct
+from tickloom.llm.common import as_bytes, broadcast_up_to, cut, held_by_worker, unused_name, with_struct
 
 WINDOW = 13
+#: Texts with hits go to the tasks while they are so few; beyond, the join shuffles.
+_FEW_HITS = 10_000
 # Everything up to 0x7F that is no digit and no letter becomes a space; A-Z become a-z.
 _NORMAL = bytes(
     b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)
@@ -129,8 +135,9 @@ def contamination(
     null ``item_id`` goes as the empty string. Repeated rows are each judged.
 
     The test texts are broadcast, at most ``most_bytes`` in one automaton (some 40 bytes of memory
-    each, kept by the worker from task to task). A larger benchmark is cut into several automata,
-    and every batch of documents passes them one after the other.
+    each, kept by the worker from task to task). A larger benchmark is cut into several automata
+    of that size; each then scans all texts once, and as hits depend on the text alone, those of
+    the texts that have any are brought back to their rows by digest.
     """
     spark = docs.sparkSession
     items = benchmark.select(
@@ -140,32 +147,83 @@ def contamination(
     total = items.agg(F.sum(F.octet_length("text") + 8).alias("n")).first()["n"] or 0
     parts = max(1, -(-total // most_bytes))
     dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
-    shared = [
-        spark.sparkContext.broadcast(
-            [(r["item_id"], r["text"].encode()) for r in dealt.filter(F.col("part") == i).toLocalIterator()]
-        )
-        for i in range(parts)
-    ]
+    scanners = [_scanner(dealt.filter(F.col("part") == i).drop("part"), window) for i in range(parts)]
+    if parts == 1:
+        return with_struct(docs, "text", FIELDS, lambda texts: _found(texts, *scanners[0](texts)), name, keep)
+
+    kept = list(docs.columns if keep is None else keep)
+    key, hits = unused_name(docs, "text_key"), unused_name(docs, "hits")
+    known = _text_hits(docs.select(F.col("text").cast("string").alias("text")), scanners)
+    known = known.select(F.col("digest").alias(key), F.col("hits").alias(hits))
+    same = F.sha2(F.col("text").cast("string"), 256) == F.col(key)
+    source = docs if keep is None or "text" in kept else docs.select(*kept, "text")
+    joined = source.join(broadcast_up_to(known, _FEW_HITS), same, "left").drop(key)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ranges, ids = [], []
+            for own in batch.column(hits).to_pylist():
+                ranges.append([(r["start"], r["end"]) for hit in own or [] for r in hit["ranges"]])
+                ids.append({i for hit in own or [] for i in hit["items"]})
+            made = _found(as_bytes(batch.column("text")), ranges, ids)
+            struct = pa.StructArray.from_arrays(
+                [pa.array(m, type=to_arrow_type(f.dataType)) for m, f in zip(made, FIELDS, strict=True)],
+                names=[f.name for f in FIELDS],
+            )
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), struct], names=[*kept, name])
+
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(name, T.StructType(FIELDS))])
+    return joined.mapInArrow(finish, schema)
+
+
+def _scanner(items: DataFrame, window: int) -> Callable[[list[bytes | None]], tuple[list, list]]:
+    """What finds the ranges and items of some test items in texts; its automaton is built once per worker."""
+    shared = items.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"].encode()) for r in items.toLocalIterator()])
     key = f"automaton-{uuid.uuid4()}"
 
-    def compute(texts: list[bytes | None]) -> list:
-        words = [normal_words(t) for t in texts]
-        found: list[tuple[list, set]] = [([], set()) for _ in texts]
-        for i in range(parts):
-            matcher = held_by_worker(f"{key}-{i}", lambda i=i: Matcher(shared[i].value, window))
-            for (ranges, ids), own in zip(found, words, strict=True):
-                more, of = matcher.scan(own)
-                ranges.extend(more)
-                ids.update(of)
-        merged = [_merge(ranges) for ranges, _ in found]
-        return [
-            [len(w) for w in words],
-            [sum(hi - lo for lo, hi in ranges) for ranges in merged],
-            [sorted(ids) for _, ids in found],
-            [original_spans(t, ranges) if ranges else [] for t, ranges in zip(texts, merged, strict=True)],
-        ]
-
-    return with_struct(docs, "text", FIELDS, compute, name, keep)
+    def scan(texts: list[bytes | None]) -> tuple[list, list]:
+        matcher = held_by_worker(key, lambda: Matcher(shared.value, window))
+        found = [matcher.scan(normal_words(t)) for t in texts]
+        return [ranges for ranges, _ in found], [ids for _, ids in found]
+
+    return scan
+
+
+def _text_hits(texts: DataFrame, scanners: list) -> DataFrame:
+    """(digest, hits) of the texts with any hit; ``hits`` has an entry per automaton at most."""
+    found = None
+    for number, scan in enumerate(scanners):
+
+        def run(batches: Iterator[pa.RecordBatch], scan=scan, number=number) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = as_bytes(batch.column("text"))
+                rows = [(t, _merge(r), sorted(i)) for t, r, i in zip(own, *scan(own), strict=True) if r]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([hashlib.sha256(t).hexdigest() for t, _, _ in rows], pa.string()),
+                        pa.array([number] * len(rows), pa.int32()),
+                        pa.array([[{"start": lo, "end": hi} for lo, hi in r] for _, r, _ in rows], to_arrow_type(FIELDS[3].dataType)),
+                        pa.array([i for _, _, i in rows], pa.list_(pa.string())),
+                    ],
+                    names=["digest", "part", "ranges", "items"],
+                )
+
+        hit = texts.mapInArrow(run, "digest string, part int, ranges array<struct<start:int,end:int>>, items array<string>")
+        found = hit if found is None else found.unionByName(hit)
+    # Copies of a text leave each map task as one row.
+    once = found.groupBy("digest", "part").agg(F.first("ranges").alias("ranges"), F.first("items").alias("items"))
+    return cut(once.groupBy("digest").agg(F.collect_list(F.struct("ranges", "items")).alias("hits")))
+
+
+def _found(texts: list[bytes | None], ranges: list[list], ids: list) -> list:
+    """The columns of ``FIELDS`` from each text's word ranges and items."""
+    merged = [_merge(r) for r in ranges]
+    return [
+        [len(normal_words(t)) for t in texts],
+        [sum(hi - lo for lo, hi in own) for own in merged],
+        [sorted(i) for i in ids],
+        [original_spans(t, own) if own else [] for t, own in zip(texts, merged, strict=True)],
+    ]
 
 
 def _merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
