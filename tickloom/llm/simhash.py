@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import broadcast_up_to, cut, unused_name, with_struct
+from tickloom.llm.common import (
+    BYTE_BASE, broadcast_up_to, cut, mix, slices, text_blob, unused_name, window_hashes, with_struct, word_hashes,
+)
 
 SHINGLE = 4
 BITS = 64
@@ -41,6 +43,11 @@ SUBTREE = 1 << 16
 MOST_IN_TASK = 1 << 19
 #: Levels by which Spark walks on in crowded subtree pairs.
 _STEP = 4
+#: For the similarity of the pipeline's stage: words per shingle, least Jaccard similarity, MinHash bands and values in each.
+STAGE_SHINGLE = 5
+SIMILARITY = 0.8
+BANDS = 28
+BAND_ROWS = 5
 
 
 # --- Fingerprints ----------------------------------------------------------------------------
@@ -366,13 +373,156 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     )
 
 
-def keep_one_of_each(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """``docs`` with one row per component, all columns kept: the one with the smallest id.
+# --- Word similarity -------------------------------------------------------------------------
 
-    Rows without an id stay only if no row of the component has one; among equal ids the smallest
-    content hash wins, and of rows equal in both one stays.
+
+def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's runs of ``size`` words; of all words if it has fewer."""
+    own = [t.translate(_LOWER) for t in text_blob(texts)]
+    words, counts = word_hashes(own)
+    ends = np.cumsum(counts)
+    out = []
+    for lo, hi in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        out.append(np.unique(window_hashes(words[lo:hi], min(size, hi - lo))) if hi > lo else np.zeros(0, np.uint64))
+    return out
+
+
+def _set_key(values: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(values.tobytes(), SEED)
+
+
+def band_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """``BANDS`` hashes per set, each of ``BAND_ROWS`` minima of its members in a random order."""
+    draw = np.random.default_rng(SEED)
+    salts = draw.integers(0, 2**64, (BANDS, BAND_ROWS, 2), dtype=np.uint64)
+    out = np.zeros((len(sets), BANDS), np.uint64)
+    full = [k for k, s in enumerate(sets) if len(s)]
+    sizes = [len(sets[k]) for k in full]
+    for lo, hi in slices([b"\0" * n for n in sizes], 1 << 17):
+        flat = np.concatenate([sets[k] for k in full[lo:hi]])
+        starts = np.cumsum([0, *sizes[lo : hi - 1]])
+        for band in range(BANDS):
+            key = np.full(hi - lo, band, np.uint64)
+            for salt, factor in salts[band]:
+                least = np.minimum.reduceat((flat ^ salt) * (factor | np.uint64(1)), starts)
+                key = mix(key * np.uint64(BYTE_BASE) + least)
+            out[full[lo:hi], band] = key
+    return out
+
+
+def _with_bands(docs: DataFrame, size: int) -> DataFrame:
+    def compute(texts: list[bytes | None]) -> list:
+        sets = shingle_sets(texts, size)
+        keys = np.array([_set_key(s) for s in sets], np.uint64)
+        bands = band_keys(sets).view(np.int64)
+        offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS)
+        lists = pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))
+        return [pa.array(keys.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()), lists]
+
+    fields = [
+        T.StructField("node", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("bands", T.ArrayType(T.LongType())),
+    ]
+    return with_struct(docs, "text", fields, compute, "made", ["doc_id", "content"])
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, members) of the given nodes; ``members`` has the set's hashes as bytes."""
+
+    def keys(texts: list[bytes | None]) -> list:
+        return [pa.array(np.array([_set_key(s) for s in shingle_sets(texts, size)], np.uint64).view(np.int64))]
+
+    def members(texts: list[bytes | None]) -> list:
+        return [[s.tobytes() for s in shingle_sets(texts, size)]]
+
+    keyed = with_struct(docs.select("text"), "text", [T.StructField("node", T.LongType())], keys, "made")
+    wanted = keyed.select("made.node", "text").join(broadcast_up_to(nodes), "node", "left_semi")
+    # Texts of one node have the same set, so any will do.
+    one = wanted.groupBy("node").agg(F.min("text").alias("text"))
+    made = with_struct(one, "text", [T.StructField("members", T.BinaryType())], members, "made", ["node"])
+    return cut(made.select("node", "made.members"))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets have at least this Jaccard similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
+    return cut(joined.mapInArrow(run, "a long, b long"))
+
+
+def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, size: int = STAGE_SHINGLE) -> DataFrame:
+    """One row per row of ``docs``: doc_id, content and root, equal where similar pairs connect rows.
+
+    Two texts are similar if the sets of their runs of ``size`` words have a Jaccard similarity
+    of ``similarity`` or more. Candidates share one of ``BANDS`` bands of MinHash values; a pair
+    at 0.8 is missed with probability (1 - 0.8**BAND_ROWS)**BANDS = 1.5e-5. The sets themselves
+    decide, so no rows are linked for a candidate that is less similar.
+
+    In each bucket all are compared with one member first, twice, so that a crowd of copies
+    becomes one component in as many comparisons as it has members. Then all pairs of a
+    bucket that no link connects yet are compared.
+    """
+    source = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("content"),
+    )
+    marked = cut(_with_bands(source, size).select("doc_id", "content", "made.*"))
+    own = marked.dropDuplicates(["node"]).select("node", "n", F.explode("bands").alias("band"))
+    own = own.filter(F.col("n") > 0)
+    shared = own.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > 1)
+    buckets = cut(own.join(shared, "band", "left_semi"))
+    sets = _sets_of(source, cut(buckets.select("node").distinct()), size)
+    near = F.least("n", "of_n") >= similarity * F.greatest("n", "of_n")
+    links = None
+
+    def rooted() -> DataFrame:
+        found = components(links).select(F.col("node").alias("of_node"), "root")
+        joined = buckets.join(found, F.col("node") == F.col("of_node"), "left")
+        return cut(joined.select("band", "node", "n", F.coalesce("root", "node").alias("root")))
+
+    members = buckets.withColumn("root", F.col("node"))
+    for salt in range(2):
+        rank = F.struct(F.xxhash64("node", F.lit(salt)).alias("rank"), "node", "n", "root")
+        first = members.groupBy("band").agg(F.min(rank).alias("first"))
+        first = first.select("band", F.col("first.node").alias("of"), F.col("first.n").alias("of_n"), F.col("first.root").alias("of_root"))
+        stars = members.join(first, "band").filter((F.col("root") != F.col("of_root")) & near)
+        pairs = stars.select(F.least("node", "of").alias("a"), F.greatest("node", "of").alias("b")).distinct()
+        found = _similar(pairs, sets, similarity)
+        links = found if links is None else links.unionByName(found)
+        members = rooted()
+    # Buckets that still hold several components.
+    open_ = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    members = cut(members.join(open_.filter(F.col("low") != F.col("high")).select("band"), "band", "left_semi"))
+    other = members.select("band", F.col("node").alias("of"), F.col("n").alias("of_n"), F.col("root").alias("of_root"))
+    rest = members.join(other, "band").filter((F.col("node") < F.col("of")) & (F.col("root") != F.col("of_root")) & near)
+    rest = rest.select(F.col("node").alias("a"), F.col("of").alias("b")).distinct()
+    found = components(links.unionByName(_similar(rest, sets, similarity))).select(F.col("node").alias("of_node"), "root")
+    return marked.join(found, F.col("node") == F.col("of_node"), "left").select(
+        "doc_id", "content", F.coalesce("root", "node").alias("root")
+    )
+
+
+def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY, size: int = STAGE_SHINGLE) -> DataFrame:
+    """``docs`` with one row per group of similar texts, all columns kept: the one with the smallest id.
+
+    Rows are grouped as by ``similar_documents``. Rows without an id stay only if no row of the
+    group has one; among equal ids the smallest content hash wins, and of rows equal in both one
+    stays.
     """
-    found = near_duplicates(docs, budget)
+    found = similar_documents(docs, similarity, size)
     winner = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")).alias("first")
     chosen = found.groupBy("root").agg(winner).select(
         F.col("first.doc_id").alias("first_id"), F.col("first.content").alias("first_content")
