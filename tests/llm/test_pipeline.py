@@ -71,3 +71,19 @@ def test_the_entry_works_without_this_part(monkeypatch):
     finally:
         monkeypatch.undo()
         importlib.reload(entry)
+
+
+def test_headers_of_few_pages_go_and_rare_lines_stay(spark):
+    rows = []
+    for host, size in (("big", 300), ("small", 40)):
+        for i in range(size):
+            lines = [f"{host} body {i}", f"{host} more {i}"]
+            for share in (0.015, 0.03, 0.09):
+                if i < max(3, share * size):
+                    lines.insert(0, f"header {share}")
+            lines += ["on two pages"] * (i in (5, 6)) + ["on three of many"] * (host == "big" and i in (7, 8, 9))
+            rows.append((len(rows), "\n".join(lines), host))
+    left = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, documents(spark, rows), SF).collect()}
+    rare = {"on two pages", "on three of many"}
+    assert left == {i: "\n".join(x for x in t.split("\n") if "header" not in x) for i, t, _ in rows}
+    assert rare <= {x for t in left.values() for x in t.split("\n")}
