@@ -1,5 +1,6 @@
 """Decontamination, licences, line dedup, quality rules and mixing."""
 
+import os
 import random
 import re
 
@@ -273,3 +274,27 @@ def test_nothing_to_mix(spark):
     assert mixed(spark, [(1, "a", "s")]).filter("doc_id < 0").collect() == []
     assert mix(documents(spark, [(1, "a")]).limit(0)).collect() == []
     assert [r.taken for r in mixed(spark, [(1, None, "s"), (2, " ", None)]).collect()] == [0, 0]
+
+
+def test_lines_that_state_a_copyright_do_not_count(spark):
+    mit = KNOWN_LICENSES["MIT"]
+    notices = [
+        "Copyright Joyent, Inc. and other Node contributors.", "Copyright The Go Authors. All rights reserved.", "Portions Copyright (c) 2010 Ann Bee",
+        "# Copyright by Ann Bee", "copyright the foo authors", "© Ann Bee, Inc.", "Some parts copyright 2001 Ann Bee",
+    ]
+    rows = [(k, mit.replace("Copyright (c) <year> <copyright holders>", n)) for k, n in enumerate(notices)]
+    bsd = KNOWN_LICENSES["BSD-3-Clause"]
+    # Clauses count however the lines break.
+    at = bsd.index("Redistribution")
+    rows += [(20, bsd[:at] + re.sub(r"\s+", "\n", bsd[at:])), (21, bsd.upper()), (22, mit + "\nCopyright notices must stay.")]
+    got = by_id(L.scan_licenses(documents(spark, rows)), "license_id")
+    assert got == {**{k: "MIT" for k in range(len(notices))}, 20: "BSD-3-Clause", 21: "BSD-3-Clause", 22: None}
+
+
+@pytest.mark.parametrize(("name", "license_id"), [("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3", "LGPL-3.0"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")])
+def test_long_licences_are_found(spark, name, license_id):
+    path = f"/usr/share/common-licenses/{name}"
+    if not os.path.exists(path):
+        pytest.skip(f"no {path}")
+    text = open(path, encoding="utf-8").read()
+    assert by_id(L.scan_licenses(documents(spark, [(1, text), (2, text.upper()), (3, text + " more")])), "license_id") == {1: license_id, 2: license_id, 3: None}

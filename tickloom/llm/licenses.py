@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.common import unused_name, with_struct
-from tickloom.llm.license_texts import KNOWN_LICENSES
+from tickloom.llm.license_texts import KNOWN_DIGESTS, KNOWN_LICENSES
 
 # Spellings that licence matching treats as equal, by the word to use.
 EQUIVALENT = {
@@ -72,9 +72,24 @@ _PLAIN = bytes(
 )
 # Typographic quotes, dashes and the like, which ASCII texts write with punctuation.
 _TYPOGRAPHY = re.compile(r"[\u00a0\u00ab\u00bb\u2000-\u206f\u3000\ufeff]")
+_START = rb"^[ \t\r/*#;%!.<>|-]*"
+_SIGN = rb"(?:\(c\)|\xc2\xa9)"
+# After "copyright" in clauses, whatever the line breaks: these words state no copyright.
+_CLAUSE = (
+    rb"(?!(?i:notices?|holders?|owners?|ownership|licen[cs]es?|laws?|acts?|statements?|interests?|disclaimers?|protection|treaty|"
+    rb"permissions?|status|infringements?|rights?|materials?|information|management|and|or|in|is|to|for|of|on|under|"
+    rb"(?:the[ \t]+)(?:software|program|work|library|document))\b)"
+)
 _NOTICE = re.compile(
-    rb"^[ \t\r/*#;%!.<>|-]*(?:(?:copyright\b|\(c\)|\xc2\xa9)[^\n]*(?:\d{4}|\(c\)|\xc2\xa9|<|\[)|all rights reserved)[^\n]*$",
-    re.IGNORECASE | re.MULTILINE,
+    _START + rb"(?:"
+    rb"(?i:(?:copyright\b|" + _SIGN + rb")[^\n]*(?:\d{4}|" + _SIGN + rb"|<|\[)|all rights reserved)"
+    # Words before it: a sign or year must follow at once.
+    rb"|(?i:(?:[a-z]+[ \t]+){1,5}copyright[ \t]*(?:" + _SIGN + rb"|(?:by[ \t]+[^\n]*)?(?:19|20)\d\d\b))"
+    # No year: a name in capitals, or an ending that only notices have.
+    rb"|(?:Copyright|COPYRIGHT)[ \t]*:?[ \t]+" + _CLAUSE + rb"(?:(?i:by)[ \t]+)?(?:(?i:the)[ \t]+)?[A-Z\x80-\xff]"
+    rb"|(?i:(?:copyright\b[ \t]*:?[ \t]+" + _CLAUSE + rb"|" + _SIGN + rb")[^\n]*\b(?:authors|contributors|inc|ltd|llc|gmbh|all rights reserved)\b[. \t\r*/#]*$)"
+    rb")[^\n]*$",
+    re.MULTILINE,
 )
 
 
@@ -101,7 +116,8 @@ def digest(text: bytes | None) -> str:
 def known_digests(spark: SparkSession, licenses: dict[str, str] | None = None) -> DataFrame:
     """(license_id, digest) of the given licence texts, by default those of this package."""
     texts = KNOWN_LICENSES if licenses is None else licenses
-    rows = sorted((digest(text.encode()), name) for name, text in texts.items())
+    rows = [(digest(text.encode()), name) for name, text in texts.items()]
+    rows = sorted(rows + ([(d, name) for name, own in KNOWN_DIGESTS.items() for d in own] if licenses is None else []))
     # Of two names for one canonical text the first in order counts.
     return spark.createDataFrame(list({d: (n, d) for d, n in reversed(rows)}.values()), "license_id string, digest string")
 
