@@ -28,8 +28,6 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 SPLIT_BYTES = 16 << 20
 _CHUNK = 1 << 18
 _PIECE = 1 << 13
-#: A record's header block must end within so many inflated bytes.
-_HEADER_BYTES = 1 << 16
 
 MANIFEST = "path string, bytes long, n_records long"
 RECORD = (
@@ -180,7 +178,7 @@ def _inflate(window: _Window) -> tuple[bytes, int] | None:
     """The member at the window's start and its compressed length; None if it is no WARC record.
 
     It must inflate, without an error in its check sum, to a text that begins with a WARC version
-    and whose header block ends soon.
+    and whose header block, of any length, ends.
     """
     unpacker, out, used = zlib.decompressobj(31), bytearray(), 0
     while True:
@@ -192,7 +190,7 @@ def _inflate(window: _Window) -> tuple[bytes, int] | None:
         except zlib.error:
             return None
         used += len(piece) - len(unpacker.unused_data)
-        if not out.startswith(b"WARC/"[: len(out)]) or (len(out) > _HEADER_BYTES and out.find(b"\r\n\r\n", 0, _HEADER_BYTES) < 0):
+        if not out.startswith(b"WARC/"[: len(out)]):
             return None
         if unpacker.eof:
             return (bytes(out), used) if parse_header(bytes(out)) else None
@@ -200,7 +198,7 @@ def _inflate(window: _Window) -> tuple[bytes, int] | None:
 
 def parse_header(record: bytes) -> tuple[dict[str, str], int] | None:
     """Header fields by lower-case name and where the block begins; None if it is no WARC header."""
-    end = record.find(b"\r\n\r\n", 0, _HEADER_BYTES)
+    end = record.find(b"\r\n\r\n")
     if end < 0 or not re.match(rb"WARC/\d+\.\d+\r\n", record):
         return None
     fields: dict[str, str] = {}
