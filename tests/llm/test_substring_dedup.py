@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tests.llm.helpers import LONG, documents, prose
@@ -69,8 +70,10 @@ def test_word_hashes_depend_on_the_word_alone():
     texts = [b"the cat", b"", b" cat\tthe\n", b"the", b"\xc3\xa9 the"]
     hashes, counts = C.word_hashes(texts)
     assert counts.tolist() == [2, 0, 2, 1, 2]
-    the, cat = hashes[0], hashes[1]
-    assert hashes.tolist() == [the, cat, cat, the, the, hashes[5], the] and len({the, cat, hashes[5]}) == 3
+    both = [tuple(h) for h in hashes.tolist()]
+    the, cat = both[0], both[1]
+    assert both == [the, cat, cat, the, the, both[5], the] and len({the, cat, both[5]}) == 3
+    assert C.word_hashes([])[0].shape == (0, 2) and C.word_hashes([b"", b" "])[1].tolist() == [0, 0]
 
 
 def test_window_hashes_depend_on_the_words_alone():
@@ -80,3 +83,26 @@ def test_window_hashes_depend_on_the_words_alone():
         assert hashes[0] == hashes[4] == hashes[8] and len(set(hashes.tolist())) == len(hashes) - 2
     assert C.whole_windows(counts, 3).tolist() == [True] * 5 + [False] * 2 + [True] * 2
     assert len(C.window_hashes(words[:2], 3)) == 0
+
+
+def test_window_hashes_are_polynomials_modulo_the_prime():
+    values = np.random.default_rng(1).integers(0, 2**64, 300, dtype=np.uint64)
+    hasher, base = C.WindowHasher(values, 1), C.WINDOW_BASES[1]
+    slow = [sum(int(v) * pow(base, k, C.PRIME) for k, v in enumerate(values[i : i + 7])) % C.PRIME for i in range(294)]
+    assert hasher.every(7).tolist() == slow
+    assert hasher.at(np.array([0, 100]), np.array([7, 7])).tolist() == [slow[0], slow[100]]
+
+
+def thue_morse(size, letters="ab"):
+    return "".join(letters[k.bit_count() % 2] for k in range(size))
+
+
+def test_thue_morse_words_and_windows_differ(spark):
+    """Modulo a power of two such words have one hash whatever the base."""
+    a, b = thue_morse(1024), thue_morse(1024, "ba")
+    assert len({tuple(h) for h in C.word_hashes([a.encode(), b.encode()])[0].tolist()}) == 2
+    words = C.word_hashes([" ".join(a).encode(), " ".join(b).encode()])[0]
+    assert C.window_hashes(words[:1024], 1024).tolist() != C.window_hashes(words[1024:], 1024).tolist()
+    common = " ".join(f"w{k}" for k in range(49))
+    rows = [(1, f"{common} {a}"), (2, f"{common} {b}"), (3, f"x {common} {a}")]
+    assert got(remove_repeated_windows(documents(spark, rows), 50)) == slow(rows, 50)
