@@ -215,6 +215,25 @@ def test_held_out_documents_are_judged_well(spark):
     assert sum(not r.kept for r in bad) >= 0.9 * len(bad)
 
 
+def test_thue_morse_words_do_not_repeat():
+    a, b = ("".join("ab"[(k.bit_count() + f) % 2] for k in range(1024)) for f in (0, 1))
+    common = " ".join(f"w{k}" for k in range(7))
+    n_repeat = dict(zip(Q.COUNTS, Q.statistics([f"{common} {a} x {common} {b}".encode()]), strict=True))["n_repeat_words"]
+    assert n_repeat.tolist() == [0]
+
+
+def test_a_labelled_id_in_a_third_of_all_rows_gives_the_same_rules(spark):
+    good = [(k, prose(k, 60)) for k in range(60)]
+    bad = [(k, prose(k, 60) + "".join(f" #{j}#" for j in range(40))) for k in range(60, 120)]
+    often = [(5, prose(k, 30 + k % 50)) for k in range(1000, 1060)]
+    labels = spark.createDataFrame([(k, int(k < 60), 0) for k in range(120)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, good + bad + often)
+    fitted = [str(Q.fit_rules(d, labels, most_labelled=200).rules) for d in (docs, docs.repartition(7), docs.orderBy(F.rand()))]
+    assert len(set(fitted)) == 1 and fitted[0] != "[]"
+    texts = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert Q.fit_rules(texts, labels.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))).rules
+
+
 def test_odd_rows_are_judged(spark):
     docs = documents(spark, [*enumerate(TEXTS), (6, TEXTS[6]), (None, LONG)], extra=True).drop("quality")
     labels = spark.createDataFrame([(0, 1), (1, None), (None, 0), (6, 0), (6, 1)], "doc_id long, quality int")

@@ -84,7 +84,7 @@ def _statistics(texts: list[bytes]) -> list[np.ndarray]:
     chars = _per_text(((flat & 0xC0) != 0x80) & ~blank[flat], bounds)
 
     of_word = np.repeat(number, counts)
-    _, new_word = _found_before(of_word, words)
+    _, new_word = _found_before(of_word, words[:, 0])
     distinct = np.bincount(of_word[new_word], minlength=len(texts))
 
     starts = np.flatnonzero(whole_windows(counts, REPEAT_WINDOW))
@@ -256,9 +256,10 @@ def learn_rules(
 def fit_rules(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED) -> DecisionList:
     """Learn from at most about ``most_labelled`` rows of ``labels`` (doc_id, quality) with text.
 
-    Labelled ids are chosen by a hash, so reruns agree. Ids with contradicting labels, null ids
-    and null labels are left out; so are documents that the base rules reject anyway. Without
-    usable labels the list is empty and keeps everything.
+    Labelled ids are chosen by a hash, so reruns agree; ids may have any type. Of several rows with
+    one id the one with the least statistics counts. Ids with contradicting labels, null ids and
+    null labels are left out; so are documents that the base rules reject anyway. Without usable
+    labels the list is empty and keeps everything.
     """
     usable = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -270,14 +271,16 @@ def fit_rules(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABE
     share = F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < F.lit(min(1.0, most_labelled / max(1, total)) * (1 << 20))
     chosen = cut(usable.filter(share).select("labelled", "quality"))
     rows = docs.select("doc_id", "text").join(broadcast_up_to(chosen, 2 * most_labelled), F.col("doc_id") == F.col("labelled"))
-    made = with_statistics(rows, "stats", ["doc_id", "quality"]).filter(~base_failed())
+    made = with_statistics(rows, "stats", ["labelled", "quality"]).filter(~base_failed())
     columns = ratios()
-    found = made.select("doc_id", "quality", *[c.alias(n) for n, c in columns.items()])
-    frame = found.limit(2 * most_labelled).toPandas().sort_values(["doc_id", *columns], kind="stable")
+    # Rows of one id may repeat without bound, so that each id brings the least of its statistics.
+    least = F.min(F.struct(*[c.alias(n) for n, c in columns.items()])).alias("least")
+    found = made.groupBy("labelled").agg(F.min("quality").alias("quality"), least)
+    frame = found.select(F.xxhash64("labelled").alias("place"), "quality", "least.*").toPandas()
+    frame = frame.sort_values(["place", *columns], kind="stable")
     if frame.empty:
         return DecisionList()
     # Places decide who grows and who prunes; by a hash they don't follow the ids.
-    frame = frame.iloc[np.argsort((frame["doc_id"].to_numpy(np.int64) * 0x9E3779B1) & 0xFFFFFFFF, kind="stable")]
     return learn_rules({n: frame[n].to_numpy(float) for n in columns}, frame["quality"].to_numpy() == 0)
 
 
