@@ -172,28 +172,3 @@ def test_one_of_each_stays_with_all_columns(spark):
     assert kept.columns == docs.columns and kept.schema == docs.schema
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 2, 3, 11, 13, None], key=str)
     assert S.keep_one_of_each(docs.limit(0)).collect() == []
-
-
-def jaccard(a, b, size=5):
-    x, y = ({tuple(t.lower().split()[k : k + size]) for k in range(len(t.split()) - size + 1)} for t in (a, b))
-    return len(x & y) / len(x | y)
-
-
-def test_copies_at_eight_tenths_go_and_less_similar_texts_stay(spark):
-    rows, kept = [], set()
-    for k, places in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 15, 20]):
-        base = prose(500 + k, 400).split()
-        changed = list(base)
-        for p in range(places):
-            changed[20 + 18 * p] = f"new{k}x{p}"
-        pair = " ".join(base), " ".join(changed)
-        rows += [(10 * k, pair[0]), (10 * k + 1, pair[1])]
-        kept |= {10 * k} if jaccard(*pair) >= 0.8 else {10 * k, 10 * k + 1}
-    assert 12 < len(kept) < 24  # some of both
-    # A chain whose ends are less similar than 0.8 is one group.
-    words = prose(900, 300).split()
-    chain = [" ".join(words[s : s + 200]) for s in (0, 15, 30, 45)]
-    assert jaccard(chain[0], chain[1]) >= 0.8 > jaccard(chain[0], chain[2])
-    rows += [(200 + k, t) for k, t in enumerate(chain)]
-    got = {r.doc_id for r in S.keep_one_of_each(documents(spark, rows)).collect()}
-    assert got == kept | {200}
