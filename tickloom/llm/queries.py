@@ -8,15 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import WORD
 from tickloom.llm.decontaminate import contamination, is_contaminated
+from tickloom.llm.filter_audit import audit_documents
 from tickloom.llm.licenses import scan_licenses
 from tickloom.llm.line_dedup import drop_boilerplate
 from tickloom.llm.lm_scoring import cross_entropy_difference, good_documents
 from tickloom.llm.mixing import mix
+from tickloom.llm.periodic_runs import with_runs
 from tickloom.llm.quality_rules import fit_rules, judge
+from tickloom.llm.secrets import BASE_KINDS, KINDS, find_secrets
 from tickloom.llm.simhash import near_duplicates
 from tickloom.llm.substring_dedup import remove_repeated_windows
 from tickloom.llm.token_counts import token_counts
@@ -100,6 +104,65 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def _spans(spans: Column) -> Column:
+    """``kind:start:end`` of every span, joined by commas."""
+    shown = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(shown, ",")
+
+
+def op11_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = find_secrets(table(spark, sf, "documents", "doc_id", "text"), "secrets", ["doc_id"])
+    spans = F.col("secrets.spans")
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter(spans, lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in KINDS],
+        F.sha2(_spans(base), 256).alias("base_sha256"),
+        _spans(spans).alias("spans"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "lang", "text")
+    return audit_documents(docs, table(spark, sf, "labels", "doc_id", "quality", "toxic"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth document by the CRC-32 of its id ends in a repeated stretch.
+
+    Texts without words or an id stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, words = F.floor(h / 10), F.col("words")
+    n, a, p = F.col("n"), F.col("a"), F.col("p")
+    chosen = docs.withColumn("words", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))))
+    chosen = chosen.withColumn("n", F.when(F.size("words") > 0, F.size("words").cast("long")))
+    chosen = chosen.withColumn("a", g % n).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+    repeated = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, place(i).cast("int")))
+    return chosen.select("doc_id", F.when(n.isNull(), F.col("text")).otherwise(F.array_join(repeated, " ")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = with_periodic_tails(table(spark, sf, "documents", "doc_id", "text"))
+    found = with_runs(docs, "found", ["doc_id"])
+    runs = F.col("found.runs")
+    ranked = F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    longest = F.array_max(ranked)
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        (-longest["start"]).alias("start"),
+        longest["length"].alias("length"),
+        (-longest["period"]).alias("period"),
+        F.floor(1000 * longest["length"] / (-longest["period"])).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("found.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -113,6 +176,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_quality_rules,
         op10_mixing,
+        op11_secrets,
+        op12_filter_audit,
+        op13_periodic_runs,
     )
 }
 
@@ -218,4 +284,38 @@ select doc_id, source, size, source_size, target,
     case when size > 0 then certain + cast(extra as bigint) else 0 end as copies,
     (case when size > 0 then certain + cast(extra as bigint) else 0 end) * size as taken
 from x""",
+    "op12_filter_audit": rf"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as body, {_WORDS} as ws from documents),
+known as (select doc_id, max(cast(coalesce(quality, 0) = 1 as int)) as good, max(cast(coalesce(toxic, 0) = 1 as int)) as toxic
+          from labels where doc_id is not null group by 1),
+f as (
+    select part, cast(len(ws) < 200 as int) as a, cast(100 * len(list_distinct(ws)) < 50 * len(ws) as int) as b,
+        cast(100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 3 * length(body) as int) as c,
+        cast(regexp_matches(body, '[#$%&*|]') as int) as d,
+        cast(coalesce(d.doc_id > min(d.doc_id) over (partition by body), false) as int) as e,
+        coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+    from d left join known on d.doc_id = known.doc_id),
+cells as (select part, [a, b, c, d, e] as fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by all),
+l as (select unnest([1, 2, 3, 4, 5]) as k),
+orders as (
+    select [l1.k, l2.k, l3.k, l4.k, l5.k] as ks from l as l1, l as l2, l as l3, l as l4, l as l5
+    where len(list_distinct([l1.k, l2.k, l3.k, l4.k, l5.k])) = 5),
+spots as (select ks, step, ks[step] as own, ks[1:step - 1] as earlier from orders, (select unnest([1, 2, 3, 4, 5]) as step)),
+judged as (
+    select part, ks, step, own, n, good, toxic, fails[own] = 1 as failing, list_sum(fails) as n_failing,
+        coalesce(list_max(list_transform(earlier, lambda x: fails[x])), 0) = 1 as gone
+    from cells, spots),
+counted as (
+    select part, ks, step, own, sum(case when not gone and not failing then n else 0 end) as kept,
+        sum(case when not gone and failing then n else 0 end) as removed,
+        sum(case when gone and failing then n else 0 end) as redundant,
+        sum(case when failing and n_failing = 1 then n else 0 end) as unique_fails,
+        sum(case when not gone and failing then good else 0 end) as good_lost,
+        sum(case when not gone and failing then toxic else 0 end) as toxic_lost
+    from judged group by all)
+select part, array_to_string(list_transform(ks, lambda x: substr('ABCDE', x, 1)), '') as filter_order, cast(step as int) as step,
+    cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+    cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+    cast(sum(removed) over (partition by part, own) as bigint) as shapley
+from counted""",
 }
