@@ -42,7 +42,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: texts with 0.8 or more of their five-word runs in common."""
+    """One document of each group of near copies stays: those whose SimHash fingerprints link at 4 or fewer bits."""
     return keep_one_of_each(docs)
 
 
