@@ -10,6 +10,7 @@ from tickloom.plans.pipeline import MARTS, publish_models, run_models, run_proce
 from tickloom.plans.pipeline import parsed_source as pipeline_parse
 from tickloom.session import get_session, path_exists, shared_dir, shuffle_partitions_for
 from tickloom.sinks import publish_table, register_views, write_combined
+from tickloom.sinks.versions import current_version
 from tickloom.sources.frames import MissingSourceError
 from tickloom.sources.tables import read_combined, relation
 
@@ -45,8 +46,9 @@ def test_processing_end_to_end(spark, tmp_path, raw):
         ("MSFT", "2026-03-18", 0.9901, None, None),
     ]
     assert got[0].asDict().keys() == set(schemas.COMBINED.names)
-    assert sorted(d for d in os.listdir(f"{out}/combined") if d.startswith("ticker=")) == ["ticker=007", "ticker=MSFT"]
-    files = [f for f in os.listdir(f"{out}/combined/ticker=MSFT") if f.endswith(".parquet")]
+    folder = current_version(spark, f"{out}/combined")
+    assert sorted(d for d in os.listdir(folder) if d.startswith("ticker=")) == ["ticker=007", "ticker=MSFT"]
+    files = [f for f in os.listdir(f"{folder}/ticker=MSFT") if f.endswith(".parquet")]
     assert len(files) == 1 and files[0].endswith(".snappy.parquet")
     assert sample(spark, out, 2).count() == 2
 

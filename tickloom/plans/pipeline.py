@@ -20,7 +20,8 @@ from tickloom.plans.models import (
     stg_polygon_trades,
     stg_stock_prices,
 )
-from tickloom.sinks import publish_table, register_views, write_combined
+from tickloom.sinks import register_views, write_combined
+from tickloom.sinks.runs import POINTER, new_run, publish_run, run_rows, store_run, stored_layout
 from tickloom.sources.documents import (
     DOCUMENT_SCHEMAS,
     PARSERS,
@@ -72,36 +73,39 @@ def run_processing(
     strict_nulls: bool = False,
     quarantine: str | None = None,
 ) -> dict[str, dict]:
-    """Read the three sources, combine them and write ``out_dir``/combined in one pass.
+    """Read the three sources, combine them and write the next version of ``out_dir``/combined in one pass.
 
     Bars are required; the other sources may be missing. The combined dataset stays as it is when
-    bars are missing. Returns row counts per source and of the result, observed in that same pass
-    (for the log: a task run again after a lost executor may be counted again).
+    bars are missing, or when the job fails at any point. Returns row counts of the result, from the
+    files it committed, and per source, observed in that same pass (for the log: a task run again
+    after a lost executor may be counted again).
 
     With ``quarantine`` the refused rows go to that folder. Each source is still parsed once: its
-    typed rows, good and bad, are written to ``out_dir``/parsed and both results read from there.
+    typed rows, good and bad, are written to ``out_dir``/parsed and both results read from there;
+    then the counts per source come from these files too.
     """
-    parsed, seen = {}, {}
+    parsed, seen, counts = {}, {}, {}
     for source in SOURCES:
         required = source == "stocks"
         if not required and not present_paths(spark, source_folder(raw_dir, source, layout)):
             continue
         frame = parsed_source(spark, raw_dir, source, layout, strict_nulls)
-        seen[source] = (Observation(source), frame)
-        counted = frame.observe(seen[source][0], *_source_counts())
         if quarantine:
             path = f"{out_dir.rstrip('/')}/parsed/{source}"
-            counted.write.mode("overwrite").parquet(path)
+            frame.write.mode("overwrite").parquet(path)
             frame = counted = spark.read.schema(frame.schema).parquet(path)
+            counts[source] = frame.agg(*_source_counts()).first().asDict()
+        else:
+            seen[source] = (Observation(source), frame)
+            counted = frame.observe(seen[source][0], *_source_counts())
         if required:
             require_rows(accepted(frame), source)
         parsed[source] = counted
-    result = Observation("combined")
-    combined = with_processed_at(build_combined(parsed), run_ts)
-    write_combined(combined.observe(result, F.count(F.lit(1)).alias("rows")), combined_path(out_dir))
+    result = write_combined(with_processed_at(build_combined(parsed), run_ts), combined_path(out_dir))
     if quarantine:
         write_refused(parsed, quarantine)
-    return {**{source: observed(*pair, _source_counts()) for source, pair in seen.items()}, "combined": result.get}
+    counts |= {source: observed(*pair, _source_counts()) for source, pair in seen.items()}
+    return {**counts, "combined": result}
 
 
 def _source_counts() -> list[Column]:
@@ -146,18 +150,32 @@ def run_models(combined: DataFrame, unique_key: bool = True, threshold: int = 10
 MARTS = ("mart_stock_performance", "mart_github_correlation")
 
 
-def publish_models(spark: SparkSession, out_dir: str, raw_table: str = "raw_combined", unique_key: bool = True) -> None:
-    """Publish ``raw_combined``, register staging and intermediate views, check and store the marts.
-
-    The marts are written under staging names first and replace the published ones only when they
-    pass their checks, so a failing check leaves the previous marts readable.
+def publish_models(
+    spark: SparkSession,
+    out_dir: str,
+    raw_table: str = "raw_combined",
+    unique_key: bool = True,
+    pointer: str = POINTER,
+    prefix: str = "",
+    buckets: int | None = None,
+    threshold: int = 10,
+) -> str:
+    """Publish ``raw_combined`` and the marts of the combined dataset as one run; returns its name.
+
+    The run's rows are written once, where no reader sees them, checked there, and then all names turn
+    to them in one step (see :mod:`tickloom.sinks.runs`). A failure before that, of a write or a
+    check, leaves every name at the run before. Staging and intermediate views follow ``raw_combined``.
+    ``prefix`` goes before all names but ``raw_table`` and ``pointer``.
     """
-    publish_table(read_combined(spark, combined_path(out_dir)), raw_table)
-    models = run_models(spark.table(raw_table), unique_key)
-    register_views({name: frame for name, frame in models.items() if name not in MARTS})
-    for name in MARTS:
-        publish_table(models[name], f"{name}__staged")
-    assert_quality(check_marts({name: spark.table(f"{name}__staged") for name in MARTS}))
-    for name in MARTS:
-        publish_table(spark.table(f"{name}__staged"), name)
-        spark.sql(f"drop table {name}__staged")
+    run = new_run()
+    store_run(read_combined(spark, combined_path(out_dir)), raw_table, run, buckets)
+    raw = run_rows(spark, raw_table, run)
+    with stored_layout(spark):
+        models = run_models(raw, unique_key, threshold)
+        for name in MARTS:
+            store_run(models[name], f"{prefix}{name}", run, buckets)
+        assert_quality(check_marts({name: run_rows(spark, f"{prefix}{name}", run) for name in MARTS}))
+    publish_run(spark, run, {raw_table: raw, **{f"{prefix}{name}": models[name] for name in MARTS}}, pointer)
+    shown = run_models(spark.table(raw_table), unique_key, threshold)
+    register_views({f"{prefix}{name}": frame for name, frame in shown.items() if name not in MARTS})
+    return run

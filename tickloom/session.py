@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +60,33 @@ def shared_dir(spark: SparkSession) -> str | None:
     return configured.rstrip("/") if configured else None
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the one all executors reach.
+
+    Only a local master, whose executors share the driver's disk, may go without a named one.
+    """
+    shared = shared_dir(spark)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        shared = tempfile.mkdtemp(prefix="tickloom-shared-")
+        spark.sparkContext.setCheckpointDir(shared)
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the actions inside, set back afterwards."""
+    old = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` (or anything a glob names) exists on its file system."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

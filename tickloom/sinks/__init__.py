@@ -5,24 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tickloom.schemas import KEYS
+from tickloom.sinks.versions import write_version
 
 CODEC = "snappy"
 
 
-def write_combined(df: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with Parquet, one folder per ticker, rows in day order.
+def write_combined(df: DataFrame, path: str) -> dict:
+    """Write the next version of the dataset at ``path``: Parquet, one folder per ticker, rows in day order.
 
     All rows of a ticker go to one task, so a ticker is one file instead of one per task. A
     ticker has at most one row per day, which bounds that task. Where the plan below already
     is partitioned and sorted that way (after the return window), Spark drops both steps.
+
+    Readers see the version once all of it is there; a job that dies leaves the former one. Returns
+    the version's facts, whose ``rows`` come from the written files.
     """
+    return write_version(df, path, _write_by_ticker)
+
+
+def _write_by_ticker(df: DataFrame, folder: str) -> None:
     (
         df.repartition("ticker")
         .sortWithinPartitions(*KEYS)
-        .write.mode("overwrite")
-        .option("compression", CODEC)
+        .write.option("compression", CODEC)
         .partitionBy("ticker")
-        .parquet(path)
+        .parquet(folder)
     )
 
 
