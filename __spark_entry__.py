@@ -8,6 +8,7 @@ choosing one is what the operator does.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import os
 import sys
 from collections.abc import Callable
@@ -57,7 +58,9 @@ from tickloom.plans.models import (  # noqa: E402
     stg_polygon_trades,
     stg_stock_prices,
 )
-from tickloom.plans.pipeline import run_models  # noqa: E402
+from tickloom.plans.pipeline import combined_path, publish_models, run_models  # noqa: E402
+from tickloom.session import work_folder  # noqa: E402
+from tickloom.sinks import write_combined  # noqa: E402
 from tickloom.sources import feeds  # noqa: E402
 from tickloom.sources.companies import COMPANY_ROWS, companies  # noqa: E402
 from tickloom.sources.documents import (  # noqa: E402
@@ -73,6 +76,7 @@ from tickloom.sources.documents import (  # noqa: E402
     rejected,
 )
 from tickloom.sources.frames import union_all  # noqa: E402
+from tickloom.sources.packing import pack_files, read_packed_documents  # noqa: E402
 from tickloom.sources.landing import ingest_summary, only_new, with_ingest_meta  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -661,13 +665,41 @@ def score_return_correlation(spark: SparkSession, sf: str) -> DataFrame:
     return activity_return_corr(correlation_mart(spark, sf))
 
 
+# --- stored results --------------------------------------------------------------------------
+
+
+@query(f"{SEGMENT_MART} select ticker, date, {OHLCV}, daily_return_pct, moving_avg_7d, moving_avg_20d, volatility_7d from mart")
+def published_performance(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart as its readers see it once a run over the combined dataset is published."""
+    out = work_folder(spark, "published")
+    write_combined(with_processed_at(combine(segment_bars(spark, sf)), RUN), combined_path(out))
+    publish_models(spark, out, "published_raw", pointer="published_by", prefix="published_")
+    return spark.table("published_mart_stock_performance").drop("vwap", "transactions", "processed_at")
+
+
+@query(SEGMENT_BARS)
+def packed_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars written as one file per monthly document, packed in two batches and parsed back."""
+    folder, packed = work_folder(spark, "documents"), work_folder(spark, "packed")
+    documents = feeds.bars_as_monthly_documents(segment_bars(spark, sf)).select("value")
+    number = F.pmod(F.xxhash64("value"), F.lit(2))
+    for part in range(2):
+        one_each = documents.where(number == part).withColumn("name", F.md5("value"))
+        one_each.write.mode("append").partitionBy("name").text(folder)
+        pack_files(spark, folder, packed, "part-*")
+    parsed = parse_daily_bars(read_packed_documents(spark, packed, schemas.BAR_DOCUMENT))
+    return accepted(parsed).drop(*schemas.VERSION)
+
+
 # --- training-data queries -------------------------------------------------------------------
 
 try:
     import corpus_pipeline
     from tickloom.llm import queries as llm_queries
-except ImportError:  # the library works without that part
-    pass
+except ImportError as missing:
+    # The library works without that part; a package it lacks is named.
+    if not (missing.name or "").startswith(("corpus_pipeline", "tickloom.llm")):
+        logging.getLogger(__name__).warning("training-data queries left out: %s", missing)
 else:
     _QUERIES.update(llm_queries.QUERIES)
     _ORACLE.update(llm_queries.ORACLE_SQL)

@@ -12,7 +12,7 @@ from tickloom.plans import pipeline
 from tickloom.plans.ingest import run_ingestion
 from tickloom.session import get_session
 from tickloom.sources.companies import companies
-from tickloom.streaming import follow_corrections, land_incremental
+from tickloom.streaming import follow_corrections, follow_rewritten_files, land_incremental
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -48,6 +48,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     correct = jobs.add_parser("correct", help="keep a bar table current from new files")
     correct.add_argument("raw_dir")
     correct.add_argument("table")
+    correct.add_argument("--packed", help="pack the files here first, so that files overwritten under their names count")
+
+    pack = jobs.add_parser("pack", help="pack new and rewritten one-document files of all sources")
+    pack.add_argument("raw_dir")
+    pack.add_argument("packed_dir")
     return parser.parse_args(argv)
 
 
@@ -69,6 +74,10 @@ def main(argv: list[str] | None = None) -> None:
         pipeline.publish_models(spark, args.out_dir)
     elif args.job == "land":
         land_incremental(spark, args.raw_dir, args.out)
+    elif args.job == "pack":
+        print(json.dumps(pipeline.pack_sources(spark, args.raw_dir, args.packed_dir)))
+    elif args.job == "correct" and args.packed:
+        print(json.dumps(follow_rewritten_files(spark, args.raw_dir, args.packed, args.table)))
     elif args.job == "correct":
         follow_corrections(spark, args.raw_dir, args.table)
 

@@ -33,6 +33,7 @@ from tickloom.sources.documents import (
 )
 from tickloom.sources.frames import present_paths, require_rows, union_all
 from tickloom.sources.landing import day_folder, read_landed
+from tickloom.sources.packing import pack_files, read_packed_documents
 from tickloom.sources.tables import read_combined
 
 
@@ -42,7 +43,7 @@ def build_combined(parsed: dict[str, DataFrame]) -> DataFrame:
     return combine(latest["stocks"], latest.get("polygon"), latest.get("github"))
 
 
-LAYOUTS = ("files", "lines", "landed")
+LAYOUTS = ("files", "lines", "landed", "packed")
 
 
 def source_folder(raw_dir: str, source: str, layout: str) -> str:
@@ -55,15 +56,24 @@ def parsed_source(
     """All rows of one source with ``row_problem``.
 
     ``layout`` is how ``raw_dir`` holds documents: one per file (``files``), JSON lines
-    (``lines``) or as :func:`~tickloom.plans.ingest.run_ingestion` left them (``landed``).
+    (``lines``), as :func:`~tickloom.plans.ingest.run_ingestion` left them (``landed``), or packed by
+    :func:`pack_sources` (``packed``).
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
     if layout == "landed":
         return PARSERS[source](read_landed(spark, raw_dir, source, DOCUMENT_SCHEMAS[source]), strict_nulls)
+    if layout == "packed":
+        documents = read_packed_documents(spark, source_path(raw_dir, source), DOCUMENT_SCHEMAS[source])
+        return PARSERS[source](documents, strict_nulls)
     return read_parsed(spark, raw_dir, source, strict_nulls, multi_line=layout == "files")
 
 
+def pack_sources(spark: SparkSession, raw_dir: str, packed_dir: str) -> dict[str, dict]:
+    """Pack what is new or rewritten in every source's folder of one-document files; counts by source."""
+    return {source: pack_files(spark, source_path(raw_dir, source), source_path(packed_dir, source)) for source in SOURCES}
+
+
 def run_processing(
     spark: SparkSession,
     raw_dir: str,

@@ -51,13 +51,17 @@ def read_facts(spark: SparkSession, path: str) -> dict | None:
         stream.close()
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of all version folders of ``path``, oldest first."""
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, in order; none if it does not exist."""
     place, fs = _path(spark, path)
     if not fs.exists(place):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()]
-    return sorted(n for n in names if n.startswith("v") and n[1:13].isdigit())
+    return sorted(s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory())
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of all version folders of ``path``, oldest first."""
+    return [n for n in folder_names(spark, path) if n.startswith("v") and n[1:13].isdigit()]
 
 
 def versions(spark: SparkSession, path: str) -> list[str]:

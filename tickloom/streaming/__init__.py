@@ -1,3 +1,3 @@
-from tickloom.streaming.bars import apply_corrections, follow_corrections, land_incremental
+from tickloom.streaming.bars import apply_corrections, follow_corrections, follow_rewritten_files, land_incremental
 
-__all__ = ["apply_corrections", "follow_corrections", "land_incremental"]
+__all__ = ["apply_corrections", "follow_corrections", "follow_rewritten_files", "land_incremental"]

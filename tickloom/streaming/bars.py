@@ -16,11 +16,14 @@ from tickloom import schemas
 from tickloom.operators.dedup import latest_per_key
 from tickloom.operators.windows import with_daily_return
 from tickloom.session import path_exists, shared_dir
+from tickloom.sinks.versions import read_facts, write_facts
 from tickloom.sources.documents import FILE_PATTERN, accepted, parse_daily_bars, source_path
+from tickloom.sources.packing import pack_files, stream_packed_documents
 
 ACCEPTED = "accepted"
-#: Folders of the corrected table: a layout parameter, fixed once the table has rows.
+#: Folders of a new corrected table. Their number is kept beside the table, which goes by that from then on.
 BUCKETS = 64
+LAYOUT = "_layout.json"
 
 
 def stream_documents(spark: SparkSession, path: str, multi_line: bool = True, max_files: int = 10_000) -> DataFrame:
@@ -82,6 +85,16 @@ def bucket_of(ticker: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(ticker), F.lit(buckets)).cast("int")
 
 
+def table_buckets(spark: SparkSession, table: str) -> int | None:
+    """Folders the corrected table was laid out in; None if there is no such table."""
+    if not path_exists(spark, table):
+        return None
+    facts = read_facts(spark, f"{table.rstrip('/')}/{LAYOUT}")
+    if facts is None:
+        raise ValueError(f"{table} does not say in how many buckets it is laid out; write {LAYOUT} beside its folders")
+    return facts["buckets"]
+
+
 def read_corrected_bars(spark: SparkSession, table: str, buckets: list[int] | None = None) -> DataFrame:
     """The corrected table, or only some of its folders."""
     layout = StructType([*schemas.CORRECTED_BARS.fields, StructField("bucket", IntegerType())])
@@ -89,13 +102,14 @@ def read_corrected_bars(spark: SparkSession, table: str, buckets: list[int] | No
     return (rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).drop("bucket")
 
 
-def apply_corrections(batch: DataFrame, batch_id: int, table: str, staging: str) -> None:
+def apply_corrections(batch: DataFrame, batch_id: int, table: str, staging: str, new_buckets: int = BUCKETS) -> None:
     """Merge a batch of bar versions into ``table`` and recompute the tickers it touches.
 
     A corrected close changes that day's return and the next one, so whole tickers are rebuilt.
     The table is laid out by hash buckets of the ticker. The numbers of the buckets that the batch
-    touches, ``BUCKETS`` at most, go to the driver and make a static partition filter: the other
-    folders are neither read nor written.
+    touches go to the driver, at most as many as there are, and make a static partition filter: the
+    other folders are neither read nor written. A new table gets ``new_buckets`` folders and keeps
+    that number beside them; an old one goes by its own.
 
     The new content is first written to ``staging`` and only then replaces the folders. A
     batch that is run again after a crash finds its finished staging copy and repeats just the
@@ -103,13 +117,15 @@ def apply_corrections(batch: DataFrame, batch_id: int, table: str, staging: str)
     """
     spark = batch.sparkSession
     staged = f"{staging.rstrip('/')}/batch_id={batch_id}"
+    buckets = table_buckets(spark, table)
+    if buckets is None:
+        buckets = new_buckets
+        write_facts(spark, f"{table.rstrip('/')}/{LAYOUT}", {"buckets": buckets})
     if not path_exists(spark, f"{staged}/_SUCCESS"):
         bars = batch.select(*schemas.VERSIONED_BARS.names).persist()
         try:
-            versions = bars
-            if path_exists(spark, table):
-                touched = [row[0] for row in bars.select(bucket_of(F.col("ticker"))).distinct().collect()]
-                versions = bars.unionByName(read_corrected_bars(spark, table, touched).drop("daily_return_pct"))
+            touched = [row[0] for row in bars.select(bucket_of(F.col("ticker"), buckets)).distinct().collect()]
+            versions = bars.unionByName(read_corrected_bars(spark, table, touched).drop("daily_return_pct"))
             rebuilt = with_daily_return(latest_per_key(versions)).select(*schemas.CORRECTED_BARS.names)
             rebuilt.write.mode("overwrite").parquet(staged)
         finally:
@@ -117,7 +133,7 @@ def apply_corrections(batch: DataFrame, batch_id: int, table: str, staging: str)
     (
         spark.read.schema(schemas.CORRECTED_BARS)
         .parquet(staged)
-        .withColumn("bucket", bucket_of(F.col("ticker")))
+        .withColumn("bucket", bucket_of(F.col("ticker"), buckets))
         .hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", *schemas.KEYS)
         .write.mode("overwrite")
@@ -142,10 +158,31 @@ def follow_corrections(
     # Beside the offsets it belongs to: a fresh checkpoint never meets an old staging copy.
     staging = f"{place}/staged"
     documents = stream_documents(spark, source_path(raw_dir, "stocks"), multi_line, **options)
+    _correct(documents, table, staging, place)
+
+
+def follow_rewritten_files(spark: SparkSession, raw_dir: str, packed: str, table: str, checkpoint: str | None = None, **options) -> dict:
+    """Keep ``table`` current from bar files that may be overwritten under their names.
+
+    New and rewritten files are packed first (:func:`~tickloom.sources.packing.pack_files`, below
+    ``packed``), and the table follows the packed documents. Of versions with one stamp that of the
+    file written last wins. A bar that a rewritten file no longer holds stays in the table. Returns the
+    counts of the packing.
+    """
+    folder = source_path(packed, "stocks")
+    facts = pack_files(spark, source_path(raw_dir, "stocks"), folder)
+    if facts["batch"]:
+        place = checkpoint or checkpoint_for(spark, "correct_packed", table)
+        documents = stream_packed_documents(spark, folder, schemas.BAR_DOCUMENT, **options)
+        _correct(documents, table, f"{place}/staged", place)
+    return facts
+
+
+def _correct(documents: DataFrame, table: str, staging: str, checkpoint: str) -> None:
     query = (
         accepted(parse_daily_bars(documents))
         .writeStream.foreachBatch(lambda batch, batch_id: apply_corrections(batch, batch_id, table, staging))
-        .option("checkpointLocation", place)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
