@@ -14,7 +14,7 @@ from tickloom.llm import lm_scoring as M
 from tickloom.llm import warc as A
 from tickloom.llm.common import new_folder
 from tickloom.llm.queries import op4_lm_scoring, op5_token_counts, tokenizer_path
-from tickloom.llm.token_counts import TokenCounter, frequent_lengths, token_counts
+from tickloom.llm.token_counts import TokenCounter, frequent_lengths, token_counts, unassigned_characters
 
 # --- WARC -------------------------------------------------------------------------------------
 
@@ -121,13 +121,32 @@ def test_query_counts_the_small_tables_as_the_library(spark, tokenizer):
 
 
 def test_the_table_holds_lengths_of_whole_pre_tokens(tokenizer):
-    frequent = frequent_lengths(tokenizer, tokenizer.get_vocab())
+    frequent = frequent_lengths(tokenizer, tokenizer.get_vocab(), unassigned_characters())
     assert frequent[" the"] == 1 and len(frequent) <= tokenizer.get_vocab_size() and "<|endoftext|>" not in frequent
-    counter = TokenCounter(tokenizer, frequent, ["<|endoftext|>"], most=10)
+    counter = TokenCounter(tokenizer, frequent, ["<|endoftext|>"], unassigned_characters(), most=10)
     assert counter.count("zqxj " * 30 + " ".join(f"q{i}zx" for i in range(40))) == len(tokenizer.encode("zqxj " * 30 + " ".join(f"q{i}zx" for i in range(40))).ids)
     assert len(counter.lengths) <= len(frequent) + 10
 
 
+def test_unassigned_characters_are_tested_once_per_pre_token(tokenizer):
+    """Each different pre-token is judged on its first miss; a text that holds one goes to the library whole."""
+    tested = []
+    counter = TokenCounter(tokenizer, {}, [], unassigned_characters())
+    search = counter.lengths.unassigned.search
+
+    class Watched:
+        def search(self, text):
+            tested.append(text)
+            return search(text)
+
+    counter.lengths.unassigned = Watched()
+    for text in ["é à \U000105c0 x", "é " * 300 + "\u0378", "à" * 300 + " é", "plain"] * 2:
+        assert counter.count(text) == len(tokenizer.encode(text, add_special_tokens=False).ids)
+    short = [t for t in tested if len(t) <= 256]
+    assert len(short) == len(set(short)) and all(not t.isascii() for t in tested)
+    assert max(map(len, counter.lengths)) <= 256
+
+
 def test_other_tokenizers_are_refused(spark):
     with pytest.raises(ValueError, match="byte-level"):
         token_counts(documents(spark, [(1, "a")]), tokenizer_path("word_bpe_49k.json"))

@@ -28,7 +28,11 @@ from tickloom.llm.common import held_by_worker, with_struct
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
+#: A worker's cache of missed pre-tokens: entries, and characters of the longest it keeps.
 CACHE_ENTRIES = 500_000
+LONGEST_CACHED = 256
+#: Stands for the length of a pre-token that the library must see in its whole text; no sum outweighs it.
+_WHOLE_TEXT = -(1 << 60)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -37,8 +41,8 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b if b in PRINTABLE else next(spare)): b for b in range(256)}
 
 
-def unassigned_characters() -> re.Pattern:
-    """Characters without a class in Python's Unicode tables: others may know a newer version."""
+def unassigned_characters() -> str:
+    """A pattern of the characters without a class in Python's Unicode tables: others may know a newer version."""
     ranges: list[list[int]] = []
     for code in range(128, sys.maxunicode + 1):
         if unicodedata.category(chr(code)) == "Cn":
@@ -46,55 +50,63 @@ def unassigned_characters() -> re.Pattern:
                 ranges[-1][1] = code
             else:
                 ranges.append([code, code])
-    return re.compile("[" + "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi in ranges) + "]")
+    return "[" + "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi in ranges) + "]"
 
 
-def frequent_lengths(tokenizer, vocabulary: dict[str, int]) -> dict[str, int]:
-    """Token count of every vocabulary entry that is one whole pre-token."""
-    letters, pattern = byte_alphabet(), regex.compile(PRE_TOKEN)
+def frequent_lengths(tokenizer, vocabulary: dict[str, int], unassigned: str) -> dict[str, int]:
+    """Token count of every vocabulary entry that is one whole pre-token of assigned characters."""
+    letters, pattern, unsure = byte_alphabet(), regex.compile(PRE_TOKEN), re.compile(unassigned)
     texts = []
     for entry in vocabulary:
         try:
             text = bytes(letters[c] for c in entry).decode()
         except (KeyError, UnicodeDecodeError):
             continue
-        if pattern.findall(text) == [text]:
+        if pattern.findall(text) == [text] and not unsure.search(text):
             texts.append(text)
     made = tokenizer.encode_batch(texts, add_special_tokens=False)
     return {t: len(e.ids) for t, e in zip(texts, made, strict=True)}
 
 
 class _Lengths(dict):
-    """Pre-token lengths of one worker; a miss is encoded and kept, up to ``most`` entries."""
+    """Pre-token lengths of one worker; a miss is judged and encoded once and kept, up to ``most`` entries."""
 
-    def __init__(self, frequent: dict[str, int], tokenizer, most: int):
+    def __init__(self, frequent: dict[str, int], tokenizer, unassigned: str, most: int):
         super().__init__(frequent)
         self.frequent, self.tokenizer, self.most = frequent, tokenizer, most
+        self.unassigned = re.compile(unassigned)
 
     def __missing__(self, text: str) -> int:
-        if len(self) >= len(self.frequent) + self.most:
-            self.clear()
-            self.update(self.frequent)
-        n = self[text] = len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if not text.isascii() and self.unassigned.search(text):
+            n = _WHOLE_TEXT
+        else:
+            n = len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if len(text) <= LONGEST_CACHED:
+            if len(self) >= len(self.frequent) + self.most:
+                self.clear()
+                self.update(self.frequent)
+            self[text] = n
         return n
 
 
 class TokenCounter:
     """Counts as the tokenizer itself would; built once per worker."""
 
-    def __init__(self, tokenizer, frequent: dict[str, int], special: list[str], most: int = CACHE_ENTRIES):
+    def __init__(self, tokenizer, frequent: dict[str, int], special: list[str], unassigned: str, most: int = CACHE_ENTRIES):
         self.tokenizer = tokenizer
         self.pattern = regex.compile(PRE_TOKEN)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.unassigned = unassigned_characters()
-        self.lengths = _Lengths(frequent, tokenizer, most)
+        self.lengths = _Lengths(frequent, tokenizer, unassigned, most)
 
     def count(self, text: str) -> int:
         # Strings of added tokens inside a text, and characters whose class depends on the
-        # Unicode version, are left to the library, which then encodes the whole text.
-        if (self.special and self.special.search(text)) or (not text.isascii() and self.unassigned.search(text)):
-            return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return sum(map(self.lengths.__getitem__, self.pattern.findall(text)))
+        # Unicode version, are left to the library, which then encodes the whole text. Every
+        # character lies in some pre-token, and each different pre-token is tested once.
+        if not (self.special and self.special.search(text)):
+            n = sum(map(self.lengths.__getitem__, self.pattern.findall(text)))
+            if n >= 0:
+                return n
+        return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 def is_plain_byte_bpe(config: dict) -> bool:
@@ -134,13 +146,14 @@ def token_counts(
         raise ValueError(f"{tokenizer_path}: not a byte-level BPE with independent pre-tokens")
     spark = docs.sparkSession
     vocabulary = config["model"]["vocab"]
-    frequent = spark.sparkContext.broadcast(frequent_lengths(Tokenizer.from_file(tokenizer_path), vocabulary))
+    unassigned = unassigned_characters()
+    frequent = spark.sparkContext.broadcast(frequent_lengths(Tokenizer.from_file(tokenizer_path), vocabulary, unassigned))
     special = [t["content"] for t in config.get("added_tokens") or []]
     spark.sparkContext.addFile(tokenizer_path)
     file, key = os.path.basename(tokenizer_path), f"tokens-{uuid.uuid4()}"
 
     def counter() -> TokenCounter:
-        return TokenCounter(Tokenizer.from_file(SparkFiles.get(file)), frequent.value, special, cache_entries)
+        return TokenCounter(Tokenizer.from_file(SparkFiles.get(file)), frequent.value, special, unassigned, cache_entries)
 
     def compute(texts: list[bytes | None]) -> list:
         count = held_by_worker(key, counter).count
