@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from itertools import pairwise
 
@@ -14,24 +12,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.session import shared_dir
+from tickloom.session import shared_dir, work_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors reach; a local one only where the session names none."""
-    folder = shared_dir(spark)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="tickloom-shared-")
+def shared_folder(spark: SparkSession) -> None:
+    """Let Spark checkpoint into the folder that all executors reach.
+
+    Where the session names none, only a local master gets one, of its own.
+    """
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+        spark.sparkContext.setCheckpointDir(shared_dir(spark) or work_folder(spark, "checkpoint"))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return work_folder(spark, name)
 
 
 def cut(df: DataFrame) -> DataFrame:
