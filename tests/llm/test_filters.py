@@ -1,5 +1,6 @@
 """Decontamination, licences, line dedup, quality rules and mixing."""
 
+import hashlib
 import os
 import random
 import re
@@ -15,6 +16,7 @@ from tickloom.llm import quality_rules as Q
 from tickloom.llm.license_texts import KNOWN_LICENSES
 from tickloom.llm.line_dedup import boilerplate_lines, drop_boilerplate
 from tickloom.llm.mixing import mix, source_targets
+from tickloom.llm.queries import op3_licenses
 
 # --- decontamination --------------------------------------------------------------------------
 
@@ -124,6 +126,53 @@ def test_a_given_table_of_digests_is_used(spark):
     assert got == {1: "a", 2: None, 3: None}
 
 
+def slow_canonical(text):
+    """Letter by letter, without patterns; notices are lines that begin with one and have a year."""
+    lines = []
+    for line in (text or "").split("\n"):
+        bare = line.lstrip(" \t\r/*#;%!.<>|-").lower()
+        year = any(bare[k : k + 4].isdecimal() and bare[k : k + 4].isascii() for k in range(len(bare) - 3))
+        begins = bare.startswith(("(c)", "©")) or (bare.startswith("copyright") and not bare[9:10].isalnum() and bare[9:10] != "_")
+        if not (begins and (year or "(c)" in bare[3:] or "©" in bare[1:] or "<" in bare or "[" in bare) or bare.startswith("all rights reserved")):
+            lines.append(line)
+    out = []
+    for c in "\n".join(lines):
+        if "A" <= c <= "Z":
+            c = chr(ord(c) + 32)
+        typographic = c in "\u00a0\u00ab\u00bb\u3000\ufeff" or "\u2000" <= c <= "\u206f"
+        out.append(" " if typographic or (c.isascii() and not c.isalnum()) else c)
+    words = " ".join(L.EQUIVALENT.get(w, w) for w in "".join(out).split(" ") if w)
+    words = f" {words} "
+    for seen, used in (("copyright owner", "copyright holder"), ("copyright owners", "copyright holders"), ("non commercial", "noncommercial"),
+                       ("per cent", "percent"), ("sub license", "sublicense")):
+        words = words.replace(f" {seen} ", f" {used} ")
+    return words.strip(" ")
+
+
+def test_the_licence_query_equals_brute_force(spark, tmp_path):
+    """Known licences set in several ways, near misses, odd rows, and the small table's own texts."""
+    rows = [(1, None), (2, ""), (3, "\n \t"), (3, "..."), (None, "hello"), (4, LONG)]
+    for k, (name, text) in enumerate(sorted(KNOWN_LICENSES.items())):
+        wrapped = "\n".join(f" * {line}" for line in text.split("\n"))
+        variants = [text, text.upper(), wrapped, "Copyright (c) 2024 Someone\n" + text, text.replace(",", " ;"), text + " more",
+                    text[:-30], "© 2001-2020 Ö\nAll rights reserved.\n\n" + text, text.replace('"', "\u201c"), text.replace(" ", "\u00a0 ")]
+        rows += [(100 * (k + 1) + j, v) for j, v in enumerate(variants)]
+    small = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    rows += [(10_000 + r.doc_id, r.text) for r in small if "copyright" not in (r.text or "").lower()]
+    documents(spark, rows, extra=True).write.parquet(f"{tmp_path}/documents.parquet")
+    digests = {}
+    for name, text in sorted(KNOWN_LICENSES.items()):
+        digests.setdefault(hashlib.sha256(slow_canonical(text).encode()).hexdigest(), name)
+    want = []
+    for doc_id, text in rows:
+        form = slow_canonical(text)
+        found = hashlib.sha256(form.encode()).hexdigest()
+        want.append((doc_id, len(form.split(" ")) if form else 0, found, digests.get(found) if form else None))
+    got = [tuple(r) for r in op3_licenses(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(r[3] is not None for r in got) >= 7 * len(KNOWN_LICENSES)
+
+
 def test_canonical_forms_of_the_known_licences_differ():
     assert len({L.canonical(t.encode()) for t in KNOWN_LICENSES.values()}) == len(KNOWN_LICENSES)
     assert all(L.canonical(L.canonical(t.encode())) == L.canonical(t.encode()) for t in KNOWN_LICENSES.values())
