@@ -673,7 +673,7 @@ def published_performance(spark: SparkSession, sf: str) -> DataFrame:
     """The mart as its readers see it once a run over the combined dataset is published."""
     out = work_folder(spark, "published")
     write_combined(with_processed_at(combine(segment_bars(spark, sf)), RUN), combined_path(out))
-    publish_models(spark, out, "published_raw", pointer="published_by", prefix="published_")
+    publish_models(spark, out, "published_raw", pointer="published_by", prefix="published_", location=f"{out}/tables")
     return spark.table("published_mart_stock_performance").drop("vwap", "transactions", "processed_at")
 
 

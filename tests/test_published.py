@@ -219,6 +219,17 @@ def test_columns_may_be_added_and_may_lack_but_keep_their_types(spark):
     assert runs.bucket_count(spark, "t_widens__runs") == 2
 
 
+def test_tables_outside_the_warehouse_keep_no_old_files(spark, tmp_path, names):
+    out, where = str(tmp_path / "out"), str(tmp_path / "tables")
+    published = []
+    for n in (2, 3, 4):
+        put(spark, out, n)
+        published.append(publish_models(spark, out, location=where, **names))
+        assert {len(r) for r in read(spark, names).values()} == {n}
+    held = {d for d in os.listdir(f"{where}/{names['raw_table']}__runs") if d.startswith("run=")}
+    assert held == {f"run={r}" for r in published[1:]}
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import round4
 
+# The seven preview columns.
 PREVIEW_COLUMNS = ("ticker", "date", "close_price", "daily_return_pct", "vwap", "total_commits_today", "total_open_prs")
 
 

@@ -169,21 +169,23 @@ def publish_models(
     prefix: str = "",
     buckets: int | None = None,
     threshold: int = 10,
+    location: str | None = None,
 ) -> str:
     """Publish ``raw_combined`` and the marts of the combined dataset as one run; returns its name.
 
     The run's rows are written once, where no reader sees them, checked there, and then all names turn
     to them in one step (see :mod:`tickloom.sinks.runs`). A failure before that, of a write or a
     check, leaves every name at the run before. Staging and intermediate views follow ``raw_combined``.
-    ``prefix`` goes before all names but ``raw_table`` and ``pointer``.
+    ``prefix`` goes before all names but ``raw_table`` and ``pointer``; ``location`` is the folder of new
+    tables, by default the warehouse.
     """
     run = new_run()
-    store_run(read_combined(spark, combined_path(out_dir)), raw_table, run, buckets)
+    store_run(read_combined(spark, combined_path(out_dir)), raw_table, run, buckets, location)
     raw = run_rows(spark, raw_table, run)
     with stored_layout(spark):
         models = run_models(raw, unique_key, threshold)
         for name in MARTS:
-            store_run(models[name], f"{prefix}{name}", run, buckets)
+            store_run(models[name], f"{prefix}{name}", run, buckets, location)
         assert_quality(check_marts({name: run_rows(spark, f"{prefix}{name}", run) for name in MARTS}))
     publish_run(spark, run, {raw_table: raw, **{f"{prefix}{name}": models[name] for name in MARTS}}, pointer)
     shown = run_models(spark.table(raw_table), unique_key, threshold)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tickloom.schemas import KEYS
 from tickloom.session import settings
+from tickloom.sinks.versions import drop_folder
 
 POINTER = "published_run"
 RUN = "run"
@@ -53,20 +54,24 @@ def stored_layout(spark: SparkSession) -> Iterator[None]:
         yield
 
 
+def _described(spark: SparkSession, table: str, fact: str) -> str:
+    return spark.sql(f"describe extended {table}").where(F.col("col_name") == fact).first()["data_type"]
+
+
 def bucket_count(spark: SparkSession, table: str) -> int:
     """Buckets of a stored table."""
-    described = spark.sql(f"describe extended {table}").where("col_name = 'Num Buckets'").first()
-    return int(described["data_type"])
+    return int(_described(spark, table, "Num Buckets"))
 
 
-def store_run(df: DataFrame, name: str, run: str, buckets: int | None = None) -> None:
+def store_run(df: DataFrame, name: str, run: str, buckets: int | None = None, location: str | None = None) -> None:
     """Write ``df`` (with the combined key) as the rows of ``run`` of ``name``; readers do not see them yet.
 
     A first run sets the number of buckets (by default the session's shuffle partitions); later ones
     follow the table. New columns are added to it, columns that a run lacks are NULL there; a column
-    of another type is an error. A name that begins a new table must not be taken by one.
+    of another type is an error. A name that begins a new table must not be taken by one. ``location``
+    is where a new table's folder goes, by default the warehouse.
     """
-    spark, table = df.sparkSession, runs_table(name)
+    spark, table, place = df.sparkSession, runs_table(name), {}
     if spark.catalog.tableExists(table):
         buckets = bucket_count(spark, table)
         have = {f.name: f.dataType for f in spark.table(table).schema}
@@ -78,6 +83,8 @@ def store_run(df: DataFrame, name: str, run: str, buckets: int | None = None) ->
             spark.sql(f"alter table {table} add columns ({', '.join(added)})")
         lacking = {c: F.lit(None).cast(kind) for c, kind in have.items() if c not in df.columns and c != RUN}
         df = df.withColumns(lacking) if lacking else df
+    elif location is not None:
+        place = {"path": f"{location.rstrip('/')}/{table}"}
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         df.withColumn(RUN, F.lit(run))
@@ -85,7 +92,7 @@ def store_run(df: DataFrame, name: str, run: str, buckets: int | None = None) ->
         .sortWithinPartitions(*KEYS)
         .write.mode("append")
         .format("parquet")
-        .option("compression", "snappy")
+        .options(compression="snappy", **place)
         .partitionBy(RUN)
         .bucketBy(buckets, "ticker")
         .sortBy(*KEYS)
@@ -144,3 +151,5 @@ def _drop_runs(spark: SparkSession, table: str, stay: list[str]) -> None:
     for run in held:
         if run not in stay:
             spark.sql(f"alter table {table} drop if exists partition ({RUN} = '{run}')")
+            # A table outside the warehouse leaves the files to whoever dropped them.
+            drop_folder(spark, f"{_described(spark, table, 'Location')}/{RUN}={run}")

@@ -51,6 +51,12 @@ def read_facts(spark: SparkSession, path: str) -> dict | None:
         stream.close()
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it, if it is there."""
+    place, fs = _path(spark, path)
+    fs.delete(place, True)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in ``path``, in order; none if it does not exist."""
     place, fs = _path(spark, path)
@@ -107,5 +113,4 @@ def _drop_old(spark: SparkSession, root: str, current: str, keep: int) -> None:
     for name in _folders(spark, root):
         folder = f"{root}/{name}"
         if folder not in stay and folder < current:
-            place, fs = _path(spark, folder)
-            fs.delete(place, True)
+            drop_folder(spark, folder)
