@@ -1,10 +1,16 @@
+import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_sources import bar, bar_document, write
 from tickloom import schemas
+from tickloom.operators.dedup import latest_per_key
+from tickloom.operators.windows import with_daily_return, with_rolling
+from tickloom.plans.models import marts_of_corrected
+from tickloom.plans.pipeline import MARTS, build_combined, run_models
 from tickloom.streaming import apply_corrections, follow_corrections, land_incremental
 from tickloom.streaming.bars import bucket_of, checkpoint_for, read_corrected_bars, read_landed_bars
 
@@ -84,8 +90,9 @@ def test_a_crash_during_replacement_loses_no_history(spark, tmp_path):
     apply_corrections(second, 1, table, staging)
     want = table_rows(spark, table)
     folder = folder_of(spark, table, "A")
-    for name in os.listdir(folder):  # the folder was emptied, its new files did not arrive
-        os.remove(f"{folder}/{name}")
+    for place, _, names in os.walk(folder):  # the folder was emptied, its new files did not arrive
+        for name in names:
+            os.remove(f"{place}/{name}")
     apply_corrections(second, 1, table, staging)
     assert table_rows(spark, table) == want
 
@@ -102,6 +109,97 @@ def test_only_touched_folders_are_read(spark, tmp_path):
     assert len(spark.read.parquet(table).inputFiles()) > 20
 
 
+def days(first, n):
+    """``n`` week days from ``first``."""
+    out, day = [], dt.date.fromisoformat(first)
+    while len(out) < n:
+        if day.weekday() < 5:
+            out.append(str(day))
+        day += dt.timedelta(1)
+    return out
+
+
+def history(seed, tickers, n):
+    draw = random.Random(seed)
+    return [(t, d, 50 + round(draw.random() * 100, 2), "1") for t in tickers for d in days("2024-01-01", n) if draw.random() < 0.9]
+
+
+def exact(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_corrections_equal_a_full_rebuild(spark, tmp_path):
+    """Random corrections, late bars between old ones, stale versions: after each batch the table is what all versions give."""
+    draw, table, staging = random.Random(7), str(tmp_path / "bars"), str(tmp_path / "staged")
+    seen = history(1, "ABC", 150)
+    batches = [seen]
+    for k in range(2, 6):
+        days_of = days("2023-12-20", 190)
+        batches.append([(draw.choice("ABCD"), draw.choice(days_of), draw.choice([0.0, draw.random() * 90]), draw.choice(["0", str(k)])) for _ in range(4)])
+    for k, rows in enumerate(batches):
+        apply_corrections(batch(spark, rows), k, table, staging, new_buckets=2, new_period="month")
+        seen = rows if k == 0 else seen + rows
+        full = with_rolling(with_daily_return(latest_per_key(batch(spark, seen)))).select(*schemas.CORRECTED_BARS.names)
+        assert exact(read_corrected_bars(spark, table)) == exact(full)
+
+
+def files_below(folder):
+    return {f"{place}/{name}": os.stat(f"{place}/{name}").st_mtime_ns for place, _, names in os.walk(folder) for name in names if name.endswith(".parquet")}
+
+
+def test_a_corrected_day_rewrites_only_the_periods_it_reaches(spark, tmp_path):
+    table, staging = str(tmp_path / "bars"), str(tmp_path / "staged")
+    apply_corrections(batch(spark, history(2, ["A", "B"], 500)), 0, table, staging, new_buckets=1, new_period="month")
+    before = files_below(table)
+    assert len(before) == 23  # months
+    apply_corrections(batch(spark, [("A", "2024-06-12", 99.0, "2")]), 1, table, staging)
+    after = files_below(table)
+    gone = sorted(f.split("period=")[1][:6] for f in before if after.get(f) != before[f])
+    assert gone == ["202406", "202407"] and len(after) == 23
+    # The last bar of all is followed by none.
+    before = after
+    apply_corrections(batch(spark, [("A", "2025-12-31", 99.0, "2")]), 2, table, staging)
+    assert all(files_below(table).get(f) == t for f, t in before.items()) and len(files_below(table)) == 24
+
+
+def test_long_gaps_are_crossed(spark, tmp_path):
+    """The next bar of a ticker may be years away; another ticker's bars between do not matter."""
+    table, staging = str(tmp_path / "bars"), str(tmp_path / "staged")
+    rows = [("A", "2001-01-02", 10.0, "1"), ("A", "2024-01-02", 20.0, "1"), *[("B", d, 5.0, "1") for d in days("2010-01-01", 30)]]
+    apply_corrections(batch(spark, rows), 0, table, staging, new_buckets=1)
+    apply_corrections(batch(spark, [("A", "2001-01-02", 40.0, "2")]), 1, table, staging)
+    assert [r for r in table_rows(spark, table) if r[0] == "A"] == [("A", "2001-01-02", 40.0, None), ("A", "2024-01-02", 20.0, -50.0)]
+
+
+def test_marts_follow_the_corrected_table(spark, tmp_path):
+    table, staging = str(tmp_path / "bars"), str(tmp_path / "staged")
+    first, second = history(3, ["A", "B"], 60), [("A", "2024-01-30", 77.0, "2"), ("B", "2024-02-01", 1.0, "2")]
+    for k, rows in enumerate([first, second]):
+        apply_corrections(batch(spark, rows), k, table, staging, new_buckets=2, new_period="month")
+    bars = batch(spark, first + second).withColumn("row_problem", F.lit(None).cast("string"))
+    keys = spark.createDataFrame([(t, d) for t, d, *_ in first[::3]], "ticker string, date string").withColumn("date", F.to_date("date"))
+
+    def feed(schema):
+        values = {f.name: (F.length("ticker") + F.dayofmonth("date")).cast(f.dataType) for f in schema if f.name not in schemas.KEYS}
+        return keys.withColumns(values).select(*schema.names).withColumns({"row_problem": F.lit(None).cast("string")})
+
+    aggregates, activity = feed(schemas.AGGREGATES), feed(schemas.ACTIVITY)
+    rebuilt = run_models(build_combined({"stocks": bars, "polygon": aggregates, "github": activity}))
+    kept = marts_of_corrected(read_corrected_bars(spark, table), aggregates, activity)
+    for name in MARTS:
+        assert kept[name].columns == rebuilt[name].columns
+        assert exact(kept[name]) == exact(rebuilt[name])
+        assert "Window" not in kept[name]._jdf.queryExecution().executedPlan().toString()
+    alone = marts_of_corrected(read_corrected_bars(spark, table))
+    assert exact(alone[MARTS[0]]) == exact(run_models(build_combined({"stocks": bars}))[MARTS[0]])
+
+
+def test_a_period_of_another_kind_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="period"):
+        apply_corrections(batch(spark, [("A", "2026-03-16", 1.0, "1")]), 0, str(tmp_path / "bars"), str(tmp_path / "staged"), new_period="week")
+    assert not os.path.exists(tmp_path / "bars")
+
+
 def test_an_unfinished_staging_copy_is_written_anew(spark, tmp_path):
     table, staging = str(tmp_path / "bars"), tmp_path / "staged"
     part = staging / "batch_id=0"

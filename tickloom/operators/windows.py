@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from tickloom.functions import pct_change, round4
 
 
+#: Rows of the longest frame: what a bar changes ends as many rows after it, less one.
+LONGEST = 20
+
+
 def by_day() -> WindowSpec:
     return Window.partitionBy("ticker").orderBy("date")
 
@@ -40,7 +44,7 @@ def with_rolling(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "moving_avg_7d": round4(F.avg("close_price").over(last_rows(7))),
-            "moving_avg_20d": round4(F.avg("close_price").over(last_rows(20))),
+            "moving_avg_20d": round4(F.avg("close_price").over(last_rows(LONGEST))),
             "volatility_7d": round4(F.stddev_samp("daily_return_pct").over(last_rows(7))),
         }
     )

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tickloom.functions import activity_score, high_activity
 from tickloom.functions.numbers import HIGH_ACTIVITY_COMMITS
 from tickloom.operators.windows import with_rolling
-from tickloom.schemas import ACTIVITY_VALUES, BAR_VALUES, KEYS
+from tickloom.schemas import ACTIVITY, ACTIVITY_VALUES, AGGREGATES, BAR_VALUES, COMPUTED_VALUES, KEYS
+from tickloom.sources.frames import empty_like
 
 _POLYGON_NAMES = {
     "poly_open": "polygon_open",
@@ -110,3 +111,28 @@ def mart_github_correlation(daily: DataFrame, threshold: int = HIGH_ACTIVITY_COM
         high_activity(commits, threshold).alias("is_high_activity_day"),
         *_stamp(daily),
     )
+
+
+def marts_of_corrected(
+    corrected: DataFrame,
+    aggregates: DataFrame | None = None,
+    activity: DataFrame | None = None,
+    threshold: int = HIGH_ACTIVITY_COMMITS,
+) -> dict[str, DataFrame]:
+    """Both marts over a table of corrected bars, with the averages kept there: no window, no sort.
+
+    ``corrected`` is what :func:`~tickloom.streaming.bars.read_corrected_bars` gives; the other feeds hold one row
+    per key and may be missing. The rows are those of the marts over all landed bars, rebuilt.
+    """
+    spark, keys = corrected.sparkSession, list(KEYS)
+    aggregates = empty_like(spark, AGGREGATES) if aggregates is None else aggregates
+    activity = empty_like(spark, ACTIVITY) if activity is None else activity
+    traded = aggregates.where(F.col("vwap").isNotNull()).select(*keys, "vwap", "transactions")
+    active = activity.where(F.col("total_commits_today").isNotNull()).select(*keys, *ACTIVITY_VALUES)
+    bars = corrected.where(F.col("close_price").isNotNull()).select(*keys, *BAR_VALUES, *COMPUTED_VALUES)
+    daily = bars.join(traded, keys, "left").join(active, keys, "left")
+    rolled = [c for c in COMPUTED_VALUES if c not in _STOCK_COLUMNS]
+    return {
+        "mart_stock_performance": daily.select(*_STOCK_COLUMNS, "vwap", "transactions", *rolled),
+        "mart_github_correlation": mart_github_correlation(daily, threshold),
+    }

@@ -115,11 +115,14 @@ _VERSION_SPEC = {f: S for f in VERSION}
 BARS = _struct({**_KEY_SPEC, **_BAR_SPEC})
 VERSIONED_BARS = _struct({**_KEY_SPEC, **_BAR_SPEC, **_VERSION_SPEC})
 LANDED_BARS = _struct({**_KEY_SPEC, **_BAR_SPEC, **_VERSION_SPEC, "verdict": S})
-CORRECTED_BARS = _struct({**_KEY_SPEC, **_BAR_SPEC, "daily_return_pct": D, **_VERSION_SPEC})
+# What is computed from a bar and the bars before it.
+_COMPUTED_SPEC = {"daily_return_pct": D, "moving_avg_7d": D, "moving_avg_20d": D, "volatility_7d": D}
+CORRECTED_BARS = _struct({**_KEY_SPEC, **_BAR_SPEC, **_COMPUTED_SPEC, **_VERSION_SPEC})
 AGGREGATES = _struct({**_KEY_SPEC, **_AGG_SPEC})
 ACTIVITY = _struct({**_KEY_SPEC, **_ACTIVITY_SPEC})
 
 BAR_VALUES = tuple(_BAR_SPEC)
+COMPUTED_VALUES = tuple(_COMPUTED_SPEC)
 AGGREGATE_VALUES = tuple(_AGG_SPEC)
 ACTIVITY_VALUES = tuple(_ACTIVITY_SPEC)
 

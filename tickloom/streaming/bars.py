@@ -8,21 +8,22 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tickloom import schemas
-from tickloom.operators.dedup import latest_per_key
-from tickloom.operators.windows import with_daily_return
+from tickloom.operators.windows import LONGEST, by_day, last_rows, with_daily_return, with_rolling
 from tickloom.session import path_exists, shared_dir
 from tickloom.sinks.versions import read_facts, write_facts
 from tickloom.sources.documents import FILE_PATTERN, accepted, parse_daily_bars, source_path
 from tickloom.sources.packing import pack_files, stream_packed_documents
 
 ACCEPTED = "accepted"
-#: Folders of a new corrected table. Their number is kept beside the table, which goes by that from then on.
+#: Buckets of a new corrected table. Their number is kept beside the table, which goes by that from then on.
 BUCKETS = 64
+#: What the folders inside a bucket may hold.
+PERIODS = ("year", "month")
 LAYOUT = "_layout.json"
 
 
@@ -81,35 +82,110 @@ def read_landed_bars(spark: SparkSession, out: str) -> DataFrame:
 
 
 def bucket_of(ticker: Column, buckets: int = BUCKETS) -> Column:
-    """The folder of the corrected table that holds a ticker."""
+    """The bucket of the corrected table that holds a ticker."""
     return F.pmod(F.xxhash64(ticker), F.lit(buckets)).cast("int")
 
 
-def table_buckets(spark: SparkSession, table: str) -> int | None:
-    """Folders the corrected table was laid out in; None if there is no such table."""
+def period_of(date: Column, period: str) -> Column:
+    """The second folder level of the corrected table: the year, or the month as yyyymm."""
+    if period not in PERIODS:
+        raise ValueError(f"period must be one of {PERIODS}, got {period!r}")
+    return F.year(date) if period == "year" else F.year(date) * 100 + F.month(date)
+
+
+def table_layout(spark: SparkSession, table: str) -> dict | None:
+    """How the corrected table is laid out (``buckets``, ``period``); None if there is no such table."""
     if not path_exists(spark, table):
         return None
     facts = read_facts(spark, f"{table.rstrip('/')}/{LAYOUT}")
     if facts is None:
         raise ValueError(f"{table} does not say in how many buckets it is laid out; write {LAYOUT} beside its folders")
-    return facts["buckets"]
+    if "period" not in facts:
+        raise ValueError(f"{table} has folders for buckets alone; build it anew from the landed bars")
+    return facts
+
+
+def table_buckets(spark: SparkSession, table: str) -> int | None:
+    """Buckets of the corrected table; None if there is no such table."""
+    layout = table_layout(spark, table)
+    return None if layout is None else layout["buckets"]
+
+
+def _stored(spark: SparkSession, table: str) -> DataFrame:
+    places = [StructField("bucket", IntegerType()), StructField("period", IntegerType())]
+    return spark.read.schema(StructType([*schemas.CORRECTED_BARS.fields, *places])).parquet(table)
 
 
 def read_corrected_bars(spark: SparkSession, table: str, buckets: list[int] | None = None) -> DataFrame:
-    """The corrected table, or only some of its folders."""
-    layout = StructType([*schemas.CORRECTED_BARS.fields, StructField("bucket", IntegerType())])
-    rows = spark.read.schema(layout).parquet(table)
-    return (rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).drop("bucket")
+    """The corrected table, or only some of its buckets."""
+    rows = _stored(spark, table)
+    return (rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).drop("bucket", "period")
+
+
+def _folders(rows: DataFrame, found: dict[int, list[int]]) -> DataFrame:
+    """``rows`` (with bucket and period) of the folders ``found``, periods by bucket; a static partition filter."""
+    wanted = F.lit(False)
+    by_periods: dict[tuple[int, ...], list[int]] = {}
+    for bucket, periods in found.items():
+        by_periods.setdefault(tuple(sorted(periods)), []).append(bucket)
+    for periods, buckets in by_periods.items():
+        wanted = wanted | (F.col("bucket").isin(sorted(buckets)) & F.col("period").isin(list(periods)))
+    return rows.where(wanted)
+
 
+def _reached(marked: DataFrame) -> DataFrame:
+    """Add ``_affected``: a changed bar, or one of the rows after it whose frames hold it."""
+    return marked.withColumn("_affected", F.max("_changed").over(last_rows(LONGEST)))
 
-def apply_corrections(batch: DataFrame, batch_id: int, table: str, staging: str, new_buckets: int = BUCKETS) -> None:
-    """Merge a batch of bar versions into ``table`` and recompute the tickers it touches.
 
-    A corrected close changes that day's return and the next one, so whole tickers are rebuilt.
-    The table is laid out by hash buckets of the ticker. The numbers of the buckets that the batch
-    touches go to the driver, at most as many as there are, and make a static partition filter: the
-    other folders are neither read nor written. A new table gets ``new_buckets`` folders and keeps
-    that number beside them; an old one goes by its own.
+def _touched_folders(bars: DataFrame, table: str, layout: dict) -> list[Row]:
+    """(bucket, period, rewritten) of the folders that hold rows which ``bars`` affect, or rows these are computed from.
+
+    Of the stored table only the keys of the touched tickers' buckets are read. At most one row per folder
+    comes to the driver.
+    """
+    spark, bucket = bars.sparkSession, bucket_of(F.col("ticker"), layout["buckets"])
+    buckets = [row[0] for row in bars.select(bucket).distinct().collect()]
+    stored = read_corrected_bars(spark, table, buckets).select(*schemas.KEYS)
+    own = stored.join(bars.select("ticker").distinct(), "ticker", "left_semi")
+    keys = own.withColumn("_changed", F.lit(False)).unionByName(bars.select(*schemas.KEYS).withColumn("_changed", F.lit(True)))
+    marked = _reached(keys.groupBy(*schemas.KEYS).agg(F.max("_changed").alias("_changed")))
+    before = F.max("_affected").over(by_day().rowsBetween(Window.currentRow, LONGEST - 1))
+    placed = marked.withColumn("_read", before).where("_read").select(
+        bucket.alias("bucket"), period_of(F.col("date"), layout["period"]).alias("period"), "_affected"
+    )
+    return placed.groupBy("bucket", "period").agg(F.max("_affected").alias("rewritten")).collect()
+
+
+def _recomputed(bars: DataFrame, stored: DataFrame) -> DataFrame:
+    """The newest version of every bar of both frames, computed anew where ``bars`` reach and as stored elsewhere.
+
+    ``stored`` holds all rows of the affected bars' frames, so a frame of an affected row is whole; the
+    rows that it leaves out lie between rows that keep what is stored.
+    """
+    values = [*schemas.VERSION, *schemas.BAR_VALUES]
+    kept = F.struct(*schemas.COMPUTED_VALUES)
+    rows = stored.select(*schemas.KEYS, F.struct(*values).alias("_version"), kept.alias("_kept"), F.lit(False).alias("_changed")).unionByName(
+        bars.select(*schemas.KEYS, F.struct(*values).alias("_version"), F.lit(True).alias("_changed")), allowMissingColumns=True
+    )
+    newest = rows.groupBy(*schemas.KEYS).agg(*[F.max(c).alias(c) for c in ("_version", "_kept", "_changed")])
+    computed = with_rolling(with_daily_return(_reached(newest.select(*schemas.KEYS, "_version.*", "_kept", "_changed"))))
+    taken = {c: F.when(F.col("_affected"), F.col(c)).otherwise(F.col("_kept").getField(c)) for c in schemas.COMPUTED_VALUES}
+    return computed.withColumns(taken).select(*schemas.CORRECTED_BARS.names)
+
+
+def apply_corrections(
+    batch: DataFrame, batch_id: int, table: str, staging: str, new_buckets: int = BUCKETS, new_period: str = "year"
+) -> None:
+    """Merge a batch of bar versions into ``table`` and recompute the rows that it affects.
+
+    A bar changes its own row's return and averages and those of the 19 rows after it (:data:`LONGEST`), and these
+    are computed from 19 rows before. The table is laid out by hash bucket of the ticker and by period of
+    the date, so only the folders of these rows are read, and only those of affected rows
+    written: a corrected day costs a few periods of one bucket, however long the history is. The
+    folders' numbers go to the driver, at most one row per folder, and make a static partition filter. A new
+    table gets ``new_buckets`` and ``new_period`` (``year`` or ``month``) and keeps both beside
+    its folders; an old one goes by its own.
 
     The new content is first written to ``staging`` and only then replaces the folders. A
     batch that is run again after a crash finds its finished staging copy and repeats just the
@@ -117,28 +193,34 @@ def apply_corrections(batch: DataFrame, batch_id: int, table: str, staging: str,
     """
     spark = batch.sparkSession
     staged = f"{staging.rstrip('/')}/batch_id={batch_id}"
-    buckets = table_buckets(spark, table)
-    if buckets is None:
-        buckets = new_buckets
-        write_facts(spark, f"{table.rstrip('/')}/{LAYOUT}", {"buckets": buckets})
+    known = table_layout(spark, table)
+    layout = known or {"buckets": new_buckets, "period": new_period}
+    bucket, period = bucket_of(F.col("ticker"), layout["buckets"]), period_of(F.col("date"), layout["period"])
+    if known is None:
+        write_facts(spark, f"{table.rstrip('/')}/{LAYOUT}", layout)
     if not path_exists(spark, f"{staged}/_SUCCESS"):
         bars = batch.select(*schemas.VERSIONED_BARS.names).persist()
         try:
-            touched = [row[0] for row in bars.select(bucket_of(F.col("ticker"), buckets)).distinct().collect()]
-            versions = bars.unionByName(read_corrected_bars(spark, table, touched).drop("daily_return_pct"))
-            rebuilt = with_daily_return(latest_per_key(versions)).select(*schemas.CORRECTED_BARS.names)
-            rebuilt.write.mode("overwrite").parquet(staged)
+            read, rewritten = {}, {}
+            for row in _touched_folders(bars, table, layout):
+                read.setdefault(row.bucket, []).append(row.period)
+                if row.rewritten:
+                    rewritten.setdefault(row.bucket, []).append(row.period)
+            rebuilt = _recomputed(bars, _folders(_stored(spark, table), read))
+            _folders(rebuilt.withColumns({"bucket": bucket, "period": period}), rewritten).drop("bucket", "period").write.mode(
+                "overwrite"
+            ).parquet(staged)
         finally:
             bars.unpersist()
     (
         spark.read.schema(schemas.CORRECTED_BARS)
         .parquet(staged)
-        .withColumn("bucket", bucket_of(F.col("ticker"), buckets))
-        .hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", *schemas.KEYS)
+        .withColumns({"bucket": bucket, "period": period})
+        .hint("rebalance", "bucket", "period")
+        .sortWithinPartitions("bucket", "period", *schemas.KEYS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
+        .partitionBy("bucket", "period")
         .parquet(table)
     )
     _drop_stale(spark, staging, batch_id)
