@@ -3,9 +3,10 @@
 import gzip
 import hashlib
 import io
+import re
+from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,53 +156,95 @@ def test_other_tokenizers_are_refused(spark):
 # --- language models --------------------------------------------------------------------------
 
 
-def slow_counts(texts):
-    out = {}
-    for t in texts:
-        b = b"\0\0" + (t or "").encode() + b"\0"
-        for k in range(2, len(b)):
-            out[b[k - 2 : k + 1]] = out.get(b[k - 2 : k + 1], 0) + 1
-    return out
-
-
-def slow_loss(text, counts, scale):
-    c = {k: v * scale for k, v in counts.items()}
-    n1, n2, m1, m2 = {}, {}, {}, {}
-    for k, v in c.items():
-        for d, key in ((n1, k[2:]), (n2, k[1:]), (m1, k[1:2]), (m2, k[:2])):
-            d[key] = d.get(key, 0) + v
-    total, trust, b = sum(c.values()), M.TRUST, b"\0\0" + (text or "").encode() + b"\0"
-    losses = []
-    for k in range(2, len(b)):
-        t = b[k - 2 : k + 1]
-        p = (n1.get(t[2:], 0) + 1) / (total + 256)
-        p = (n2.get(t[1:], 0) + trust * p) / (m1.get(t[1:2], 0) + trust)
-        losses.append(-np.log((c.get(t, 0) + trust * p) / (m2.get(t[:2], 0) + trust)))
-    return float(np.mean(losses))
-
-
-def test_losses_match_brute_force(spark):
-    rows = [(i, t) for i, t in enumerate([None, "", "abc abd", "abc", "xyz \x00\x00 é", prose(1, 80), "abc abd"])]
-    labels = spark.createDataFrame([(2, 1, 0), (3, 1, 0), (3, 1, 1), (5, 1, None), (6, 1, 0), (6, 1, 0), (None, 1, 0), (0, 1, 0)], "doc_id long, quality int, toxic int")
-    docs = documents(spark, rows, extra=True)
+def slow_model(rows, frequent):
+    """Brute force: ``loss(text)`` of the class bigram model for target and background, from (text, is_target)."""
+    def tokens(text):
+        return [*[w for w in re.split(rb"[\x20\x09-\x0D]+", (text or "").encode()) if w], M.END]
+
+    everything = [t for text, _ in rows for t in tokens(text)]
+    own = {w for w, n in Counter(everything).items() if n >= frequent * len(everything)} | {M.END}
+
+    def class_of(w):
+        return w if w in own else M.shape(len(w), w[-1])
+
+    vocabulary = Counter(class_of(w) for w in set(everything))
+    models, matched = [], sum(len(tokens(t)) for t, flag in rows if flag) / max(1, len(everything)) or 1.0
+    for wanted, scale in ((lambda flag: flag, 1), (lambda flag: True, matched)):
+        word, single, pair = Counter(), Counter(), Counter()
+        for text, flag in rows:
+            if wanted(flag):
+                before = M.END
+                for w in tokens(text):
+                    c = class_of(w)
+                    word[w] += scale
+                    single[c] += scale
+                    pair[before, c] += scale
+                    before = c
+        models.append((word, single, pair))
+
+    def loss(text, which):
+        word, single, pair = models[which]
+        total, before = 0.0, M.END
+        for w in tokens(text):
+            c = class_of(w)
+            p = (single[c] + 1) / (sum(single.values()) + len(vocabulary) + 1)
+            p = (pair[before, c] + M.TRUST * p) / (single[before] + M.TRUST)
+            total -= np.log(p if w in own else p * (word[w] + 1) / (single[c] + vocabulary[c] + 1))
+            before = c
+        return total / len(tokens(text)), len(tokens(text))
+
+    return loss
+
+
+@pytest.mark.parametrize(("most_hot", "frequent"), [(1 << 20, 2**-14), (1 << 20, 0.01), (0, 0.01), (7, 0.02)])
+def test_losses_match_brute_force(spark, most_hot, frequent):
+    """Whichever corrections go to the workers, and however many classes there are."""
+    texts = [None, "", "ab cd ab ef", "ab cd", "xyz \x00 é\tü", prose(1, 80), "ab cd ab ef", " \n ", "ab " * 300, "word" * 5000, prose(2, 400, 9)]
+    rows = list(enumerate(texts))
+    labels = spark.createDataFrame([(2, 1, 0), (3, 1, 0), (3, 1, 1), (5, 1, None), (6, 1, 0), (6, 1, 0), (None, 1, 0), (0, 1, 0), (10, 1, 0)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, [*rows, (None, "ab cd ab ef"), (6, "ab cd ab ef")], extra=True)
     training = M.good_documents(docs, labels)
-    assert training.filter("is_target").count() == 3  # 0, 2 and 6
-    got = M.cross_entropy_difference(docs, training, "scored").collect()
-    target, background = slow_counts([rows[i][1] for i in (0, 2, 6)]), slow_counts([t for _, t in rows])
-    matched = sum(target.values()) / sum(background.values())
+    assert training.filter("is_target").count() == 5  # 0, 2, 6 twice and 10
+    # Two texts that no training row holds, one of them with a shape of its own.
+    more = documents(spark, [(100, "ab new nEw ef"), (101, "ab 中中中中 ~~~~~~")], extra=True)
+    scored = docs.union(more).withColumns({c: F.lit("extra") for c in ("m1", "m2", "d1", "k1", "n", "_made", "n_tokens")})
+    got = M.cross_entropy_difference(scored, training, "scored", most_hot=most_hot, frequent=frequent).collect()
+    loss = slow_model([(t, i in (0, 2, 6, 10)) for i, t in [*rows, (None, texts[2]), (6, texts[2])]], frequent)
+    assert len(got) == len(texts) + 4 and set(got[0].asDict()) == {*scored.columns, "scored"}
     for r in got:
-        assert r.scored.n_tokens == len((r.text or "").encode()) + 1
-        assert r.scored.target_loss == pytest.approx(slow_loss(r.text, target, 1), rel=1e-5)
-        assert r.scored.background_loss == pytest.approx(slow_loss(r.text, background, matched), rel=1e-5)
-        assert r.scored.score == pytest.approx(r.scored.target_loss - r.scored.background_loss)
+        target, n = loss(r.text, 0)
+        assert r.scored.n_tokens == n
+        assert r.scored.target_loss == pytest.approx(target, rel=1e-9)
+        assert r.scored.background_loss == pytest.approx(loss(r.text, 1)[0], rel=1e-9)
+        assert r.scored.score == pytest.approx(r.scored.target_loss - r.scored.background_loss, abs=1e-12)
 
 
-def test_no_training_rows_give_uniform_models(spark):
-    docs = documents(spark, [(1, "abc"), (2, LONG)])
+def test_no_training_rows(spark):
+    docs = documents(spark, [(1, "abc"), (2, LONG), (3, None)])
     none = docs.select("text", F.lit(None).cast("boolean").alias("is_target")).limit(0)
     rows = M.cross_entropy_difference(docs, none).collect()
-    assert all(r.lm.target_loss == pytest.approx(np.log(256)) and abs(r.lm.score) < 1e-6 for r in rows)
+    assert all(abs(r.lm.target_loss) < 1e-9 and abs(r.lm.score) < 1e-9 for r in rows)
+    assert {r.doc_id: r.lm.n_tokens for r in rows} == {1: 2, 2: 40_001, 3: 1}
     assert M.cross_entropy_difference(docs.limit(0), none).collect() == []
+    assert M.cross_entropy_difference(docs.limit(0), docs.select("text", F.lit(True).alias("is_target"))).collect() == []
+    # Without a target its model is uniform over the classes.
+    alone = docs.select("text", F.lit(None).cast("boolean").alias("is_target")).filter("doc_id = 1")
+    got = {r.doc_id: r.lm for r in M.cross_entropy_difference(docs, alone).collect()}
+    assert got[1].target_loss == pytest.approx(np.log(3)) and got[1].score > 0
+
+
+def test_the_most_frequent_entries_are_hot(spark):
+    found = spark.createDataFrame([(k,) for k in [1] * 50 + [2] * 9 + [40, 41, 1000]], "total long")
+    assert [M.hot_limit(found, most) for most in (0, 1, 2, 3, 12, 61, 62, 100)] == [1001, 1000, 1000, 40, 2, 2, 1, 1]
+    assert M.hot_limit(found.limit(0)) == 1
+
+
+def test_what_is_gathered_grows_with_the_input(spark):
+    sizes = []
+    for sf in ("0.001", "0.01"):
+        docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+        sizes.append(M.count_words(docs.select("text", F.lit(True).alias("is_target"))).count())
+    assert sizes[1] > 2 * sizes[0]
 
 
 def test_good_documents_score_lower(spark):
@@ -214,6 +257,9 @@ def test_good_documents_score_lower(spark):
     assert auc > 0.8
 
 
-def test_codes_do_not_cross_documents():
-    codes = M.trigram_codes([b"ab", b"", b"c"])
-    assert codes.tolist() == [0x61, 0x6162, 0x616200, 0, 0x63, 0x6300] and isinstance(pa.array(codes), pa.Array)
+def test_bigrams_do_not_cross_documents():
+    tokens = M.Tokens([b"a bb", b"", b"a"])
+    before, after, own = tokens.bigrams(tokens.classes(np.zeros(0, np.int64)))
+    a, b = M.shape(1, ord("a")), M.shape(2, ord("b"))
+    assert list(zip(before[own], after[own], strict=True)) == [(M.END, a), (a, b), (b, M.END), (M.END, M.END), (M.END, a), (a, M.END)]
+    assert tokens.n.tolist() == [3, 1, 2] and tokens.starts.tolist() == [0, 3, 4]
