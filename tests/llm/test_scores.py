@@ -88,6 +88,28 @@ def test_ranges_own_what_starts_in_them():
     assert list(A.records_in_range(io.BytesIO(data[:-20]), whole[-1], len(data))) == []  # cut off
 
 
+def test_a_very_long_record_is_read_in_pieces():
+    body = np.random.default_rng(1).integers(0, 256, 40 << 20, np.uint8).tobytes()
+    data = record(b"first") + record(body) + record(b"last")
+    found = list(A.records_in_range(io.BytesIO(data), 0, len(data)))
+    assert [len(r) - A.parse_header(r)[1] - 4 for _, r in found] == [5, len(body), 4]
+    assert hashlib.sha1(found[1][1][A.parse_header(found[1][1])[1] : -4]).digest() == hashlib.sha1(body).digest()
+
+
+def test_damaged_archives_are_an_error(spark):
+    folder = new_folder(spark, "warc-test")
+    manifest = A.write_warc(A.mark_revisits(pages(spark, page_rows())), folder)
+    assert A.read_pages(manifest).count() == len(page_rows())
+    path = manifest.orderBy(F.desc("n_records")).first()["path"]
+    with open(path, "r+b") as file:
+        data = file.read()
+        at = data.rindex(A.GZIP_MAGIC)
+        file.seek(at)
+        file.write(bytes(len(data) - at))
+    with pytest.raises(A.MissingRecords, match=re.escape(path)):
+        A.read_pages(manifest)
+
+
 # --- token counts -----------------------------------------------------------------------------
 
 TEXTS = [

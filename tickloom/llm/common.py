@@ -31,6 +31,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return work_folder(spark, name)
 
 
+def file_system(path: str):
+    """pyarrow's file system for a path or URI, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there."""
     shared_folder(df.sparkSession)

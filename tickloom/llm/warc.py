@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import as_bytes, new_folder, shuffle_partitions
+from tickloom.llm.common import cut, file_system, new_folder, shuffle_partitions
 
 GZIP_MAGIC = b"\x1f\x8b\x08"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -72,12 +72,6 @@ def mark_revisits(pages: DataFrame, least_bytes: int = 1000, salts: int = 16) ->
 # --- Writing ---------------------------------------------------------------------------------
 
 
-def _file_system(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def record_id(page_id: int | None, digest: str) -> str:
     """The same page and payload always get the same record id."""
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
@@ -126,7 +120,7 @@ def write_warc(records: DataFrame, folder: str, date: str = "1970-01-01T00:00:00
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         path = f"{folder}/part-{context.partitionId():06d}.warc.gz"
-        system, place = _file_system(path)
+        system, place = file_system(path)
         system.create_dir(place.rsplit("/", 1)[0], recursive=True)
         draft = f"{place}.{context.taskAttemptId()}.open"
         n, size, out = 0, 0, None
@@ -157,13 +151,15 @@ class _Window:
 
     def __init__(self, file, start: int):
         self.file, self.at = file, start
-        self.data, self.pos = b"", 0
+        self.data, self.pos = bytearray(), 0
         file.seek(start)
 
     def more(self) -> bool:
         data = self.file.read(_CHUNK)
-        if data:
-            self.data, self.pos = self.data[self.pos :] + data, 0
+        # Neither cutting off the front nor appending copies what stays, however long a record is.
+        del self.data[: self.pos]
+        self.pos = 0
+        self.data += data
         return bool(data)
 
     def left(self) -> int:
@@ -281,7 +277,7 @@ def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload:
         types = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                system, place = _file_system(path)
+                system, place = file_system(path)
                 with system.open_input_file(place) as file:
                     rows, held = [], 0
                     for offset, record in records_in_range(file, start, start + split_bytes):
@@ -297,6 +293,20 @@ def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload:
     return dealt.mapInArrow(run, schema)
 
 
+class MissingRecords(RuntimeError):
+    """Archives gave another number of records than their manifest counts."""
+
+
+def check_records(records: DataFrame, manifest: DataFrame) -> None:
+    """Raise :class:`MissingRecords` unless every file gave as many pages as its manifest row counts."""
+    pages = records.filter(F.col("record_type").isin("response", "revisit"))
+    read = pages.groupBy("path").agg(F.count(F.lit(1)).alias("n_read"))
+    wrong = manifest.join(read, "path", "left").filter(F.col("n_records") != F.coalesce(F.col("n_read"), F.lit(0)))
+    found = wrong.select("path", "n_records", "n_read").limit(5).collect()
+    if found:
+        raise MissingRecords("; ".join(f"{r.path}: {r.n_read or 0} of {r.n_records} records" for r in found))
+
+
 def _batch(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names
@@ -321,8 +331,20 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, split_bytes: int = SPLIT_BYTES, least_bytes: int = 1000) -> DataFrame:
-    """Write all ``pages`` (page_id, url, html) as WARC, then read the archives back and resolve them."""
+    """Write all ``pages`` (page_id, url, html) as WARC, then read the archives back and resolve them.
+
+    The archives are read once; what was read, without payloads, is written to the shared folder and
+    held against the manifest: a damaged stretch raises :class:`MissingRecords` instead of losing rows.
+    """
     spark: SparkSession = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
     manifest = write_warc(mark_revisits(pages, least_bytes), folder)
-    return resolve_revisits(read_warc(manifest, split_bytes, with_payload=False))
+    return read_pages(manifest, split_bytes)
+
+
+def read_pages(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The pages of the manifest's archives, all of them or :class:`MissingRecords`; see :func:`resolve_revisits`."""
+    read = read_warc(manifest, split_bytes, with_payload=False)
+    records = cut(read.select("path", "record_type", "page_id", "refers_to", "payload_digest", "payload_bytes", "computed_digest"))
+    check_records(records, manifest)
+    return resolve_revisits(records)
