@@ -74,6 +74,38 @@ def test_keys_of_half_a_window_find_every_window(window):
             assert (len(text.split()), len({w for r in ranges for w in range(*r)}), sorted(ids)) == slow[i]
 
 
+def places_by_key(matcher):
+    return [len(places) for _, places in matcher.automaton.values()]
+
+
+def test_items_that_repeat_words_have_few_places():
+    """However long the repetition is; texts of one word then take a step per word and place."""
+    again, phrase = "again " * 20_000, "one two three " * 3000
+    matcher = D.Matcher([("a", again.encode()), ("b", phrase.encode()), ("c", f"x {again} y".encode()), ("d", (again + "z").encode())])
+    assert max(places_by_key(matcher)) <= 9
+    for text, ids in ((again * 2, {"a", "c", "d"}), ("two three one " * 5, {"b"}), ("again " * 12 + "z", {"d"}), ("x " + "again " * 12, {"c"}), ("again " * 12, set())):
+        words = text.encode().split()
+        ranges, found = matcher.scan(words)
+        assert found == ids and D._merge(ranges) == ([(0, len(words))] if ids else [])
+
+
+def test_equal_stretches_of_many_items_are_one_place():
+    passage = prose(4, 40)
+    matcher = D.Matcher([(str(i), f"{prose(100 + i, 14)} {prose(200 + i, 7)} {passage}".encode()) for i in range(50)])
+    assert matcher.scan(passage.encode().split())[1] == set(map(str, range(50)))
+    assert sorted(places_by_key(matcher))[-3:] == [1, 1, 50]
+
+
+def test_the_benchmark_is_read_by_the_workers(spark, monkeypatch):
+    rows, items, bench = contaminated_case(spark)
+    for name in ("collect", "toLocalIterator", "toPandas", "toArrow"):
+        real = getattr(type(bench), name)
+        monkeypatch.setattr(type(bench), name, lambda self, *a, real=real: real(self, *a) if "text" not in self.columns else pytest.fail("texts came to the driver"))
+    found = D.contamination(documents(spark, rows), bench, "hits")
+    monkeypatch.undo()
+    assert {r.doc_id: r.hits.n_hit for r in found.collect()} == {i: n for i, (_, n, _) in slow_contamination(rows, items, 13).items()}
+
+
 def test_spans_are_places_in_the_original_text(spark):
     rows, _, bench = contaminated_case(spark)
     got = {r.doc_id: r for r in D.contamination(documents(spark, rows), bench).collect()}

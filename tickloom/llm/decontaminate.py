@@ -11,22 +11,24 @@ from __future__ import annotations
 import hashlib
 import uuid
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tickloom.llm.common import as_bytes, broadcast_up_to, cut, held_by_worker, unused_name, with_struct
+from tickloom.llm.common import as_bytes, broadcast_up_to, cut, file_system, held_by_worker, new_folder, unused_name, with_struct
 
 WINDOW = 13
-#: Texts with hits go to the tasks while they are so few; beyond, the join shuffles.
-_FEW_HITS = 10_000
+#: Texts with hits go to the tasks while they are so few, with so many ranges and items in all; beyond, the join shuffles.
+_FEW_HITS, _FEW_ENTRIES = 10_000, 200_000
 # Everything up to 0x7F that is no digit and no letter becomes a space; A-Z become a-z.
 _NORMAL = bytes(
     b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)
@@ -52,11 +54,13 @@ class Matcher:
 
     Its keys are not the windows themselves, which would repeat every item ``window`` times, but
     the item's consecutive stretches of half a window: every window holds a whole one. Where one
-    is found, item and document are compared word by word to both sides, and what is as long as a
-    window at least is a hit. Items shorter than a window are keys as they are.
+    is found, item and document are compared word by word to both sides, as far as a window that
+    holds the stretch can reach, and what is as long as a window at least is a hit. Places of a
+    stretch with the same words within that reach are one place, so an item that repeats a word or
+    a phrase has a few places however long it is. Items shorter than a window are keys as they are.
     """
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: Iterable[tuple[str, bytes]], window: int = WINDOW):
         self.window = window
         known: dict[bytes, bytes] = {}
         owners: dict[tuple[bytes, ...], set[str]] = {}
@@ -64,17 +68,26 @@ class Matcher:
             words = tuple(known.setdefault(w, w) for w in normal_words(text))
             if words:
                 owners.setdefault(words, set()).add(item_id)
-        self.words, self.ids = list(owners), list(owners.values())
-        keys: dict[bytes, tuple[int, list[tuple[int, int]]]] = {}
+        self.words = list(owners)
         step = (window + 1) // 2
-        for n, words in enumerate(self.words):
-            width = len(words) if len(words) < window else step
+        self.reach = window - step
+        keys: dict[bytes, tuple[int, dict[tuple, tuple[int, int, set[str]]]]] = {}
+        for n, (words, ids) in enumerate(owners.items()):
+            short = len(words) < window
+            width = len(words) if short else step
             for at in range(0, len(words) - width + 1, step):
-                keys.setdefault(b" ".join(words[at : at + width]), (width, []))[1].append((n, at))
+                around = () if short else (words[max(0, at - self.reach) : at], words[at + width : at + width + self.reach])
+                places = keys.setdefault(b" ".join(words[at : at + width]), (width, {}))[1]
+                have = places.get(around)
+                if have is None:
+                    places[around] = (n, at, ids)
+                elif not ids <= have[2]:
+                    places[around] = (*have[:2], have[2] | ids)
         self.automaton = ahocorasick.Automaton()
-        for key, places in keys.items():
-            self.automaton.add_word(f" {key.decode('latin-1')} ", places)
-        if keys:
+        for key in list(keys):
+            width, places = keys.pop(key)
+            self.automaton.add_word(f" {key.decode('latin-1')} ", (width, list(places.values())))
+        if len(self.automaton):
             self.automaton.make_automaton()
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
@@ -84,28 +97,28 @@ class Matcher:
         if not self.words or not words:
             return ranges, items
         ends: list[int] | None = None
-        # By item and distance: how far the document is compared already.
-        compared: dict[tuple[int, int], int] = {}
+        # Places that were hit before bring no further items.
+        hit: set[tuple[int, int]] = set()
         for last_byte, (width, places) in self.automaton.iter(f" {b' '.join(words).decode('latin-1')} "):
             if ends is None:
                 ends = list(accumulate((len(w) + 1 for w in words), initial=0))
             hi = bisect_right(ends, last_byte) - 1
             lo = hi - width
-            for n, at in places:
+            for n, at, ids in places:
                 own = self.words[n]
-                if compared.get((n, lo - at), 0) > lo:
-                    continue
                 first, end, shift = lo, hi, at - lo
                 if len(own) >= self.window:
-                    while first and first + shift and words[first - 1] == own[first + shift - 1]:
+                    left, right = max(0, lo - self.reach, -shift), min(len(words), hi + self.reach, len(own) - shift)
+                    while first > left and words[first - 1] == own[first + shift - 1]:
                         first -= 1
-                    while end < len(words) and end + shift < len(own) and words[end] == own[end + shift]:
+                    while end < right and words[end] == own[end + shift]:
                         end += 1
-                    compared[n, lo - at] = end
                     if end - first < self.window:
                         continue
                 ranges.append((first, end))
-                items.update(self.ids[n])
+                if (n, at) not in hit:
+                    hit.add((n, at))
+                    items |= ids
         return ranges, items
 
 
@@ -134,8 +147,9 @@ def contamination(
     Items with null or wordless text have no window. Rows of one ``item_id`` count as one item; a
     null ``item_id`` goes as the empty string. Repeated rows are each judged.
 
-    The test texts are broadcast, at most ``most_bytes`` in one automaton (some 40 bytes of memory
-    each, kept by the worker from task to task). A larger benchmark is cut into several automata
+    The test texts are written to the shared folder and read from there by the workers, at most
+    ``most_bytes`` in one automaton (some 40 bytes of memory each, kept from task to task); none
+    pass through the driver. A larger benchmark is cut into several automata
     of that size; each then scans all texts once, and as hits depend on the text alone, those of
     the texts that have any are brought back to their rows by digest.
     """
@@ -146,8 +160,10 @@ def contamination(
     ).filter(F.length("text") > 0)
     total = items.agg(F.sum(F.octet_length("text") + 8).alias("n")).first()["n"] or 0
     parts = max(1, -(-total // most_bytes))
-    dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
-    scanners = [_scanner(dealt.filter(F.col("part") == i).drop("part"), window) for i in range(parts)]
+    folder = new_folder(spark, "benchmark")
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).cast("int"))
+    dealt.hint("rebalance", "part").write.partitionBy("part").parquet(folder)
+    scanners = [_scanner(folder, i, window) for i in range(parts)]
     if parts == 1:
         return with_struct(docs, "text", FIELDS, lambda texts: _found(texts, *scanners[0](texts)), name, keep)
 
@@ -157,7 +173,9 @@ def contamination(
     known = known.select(F.col("digest").alias(key), F.col("hits").alias(hits))
     same = F.sha2(F.col("text").cast("string"), 256) == F.col(key)
     source = docs if keep is None or "text" in kept else docs.select(*kept, "text")
-    joined = source.join(broadcast_up_to(known, _FEW_HITS), same, "left").drop(key)
+    entries = known.select(F.aggregate(hits, F.lit(0), lambda n, hit: n + F.size(hit["ranges"]) + F.size(hit["items"])).alias("n"))
+    few = (entries.agg(F.sum("n").alias("n")).first()["n"] or 0) <= _FEW_ENTRIES
+    joined = source.join(broadcast_up_to(known, _FEW_HITS) if few else known, same, "left").drop(key)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,19 +194,31 @@ def contamination(
     return joined.mapInArrow(finish, schema)
 
 
-def _scanner(items: DataFrame, window: int) -> Callable[[list[bytes | None]], tuple[list, list]]:
-    """What finds the ranges and items of some test items in texts; its automaton is built once per worker."""
-    shared = items.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"].encode()) for r in items.toLocalIterator()])
+def _scanner(folder: str, part: int, window: int) -> Callable[[list[bytes | None]], tuple[list, list]]:
+    """What finds the ranges and items of one part of the written test items in texts.
+
+    Workers read the part from the shared folder themselves and build its automaton once each.
+    """
     key = f"automaton-{uuid.uuid4()}"
 
     def scan(texts: list[bytes | None]) -> tuple[list, list]:
-        matcher = held_by_worker(key, lambda: Matcher(shared.value, window))
+        matcher = held_by_worker(key, lambda: Matcher(_items_of(folder, part), window))
         found = [matcher.scan(normal_words(t)) for t in texts]
         return [ranges for ranges, _ in found], [ids for _, ids in found]
 
     return scan
 
 
+def _items_of(folder: str, part: int) -> Iterator[tuple[str, bytes]]:
+    """(item_id, text) of one written part; none if it has no folder."""
+    system, place = file_system(f"{folder}/part={part}")
+    for info in system.get_file_info(fs.FileSelector(place, allow_not_found=True)):
+        if info.base_name.endswith(".parquet"):
+            with system.open_input_file(info.path) as file:
+                for batch in pq.ParquetFile(file).iter_batches(1000, columns=["item_id", "text"]):
+                    yield from zip(batch.column("item_id").to_pylist(), as_bytes(batch.column("text")), strict=True)
+
+
 def _text_hits(texts: DataFrame, scanners: list) -> DataFrame:
     """(digest, hits) of the texts with any hit; ``hits`` has an entry per automaton at most."""
     found = None
