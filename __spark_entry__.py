@@ -32,10 +32,14 @@ from tickloom.operators.activity import (  # noqa: E402
 from tickloom.operators.combine import combine, dropped_keys, with_processed_at  # noqa: E402
 from tickloom.operators.dedup import last_n_per_ticker, latest_per_key  # noqa: E402
 from tickloom.operators.quality import (  # noqa: E402
+    NOT_NULL_COLUMNS,
     check_marts,
     check_not_null,
+    check_state,
     check_unique,
+    checks_of_state,
     failing_rows,
+    merge_states,
     validate_raw,
 )
 from tickloom.operators.reads import (  # noqa: E402
@@ -623,13 +627,33 @@ union all select concat(mart, '.unique'), 'ticker,date', count(*) filter (where
 from (select mart, ticker, date, count(*) as copies from marts group by 1, 2, 3) group by mart""")
 def damaged_mart_checks(spark: SparkSession, sf: str) -> DataFrame:
     """Bars once for each of their events, some without a ticker or a price, as both marts."""
+    damaged = damaged_mart(spark, sf)
+    return check_marts({"mart_stock_performance": damaged, "mart_github_correlation": damaged})
+
+
+def damaged_mart(spark: SparkSession, sf: str) -> DataFrame:
     copies = feeds.user_bars(events(spark, sf)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("volume"))))
-    damaged = copies.select(
+    return copies.select(
         F.when(F.col("volume") != 2, F.col("ticker")).alias("ticker"),
         "date",
         F.when(F.col("volume") != 3, F.col("close_price")).alias("close_price"),
     )
-    return check_marts({"mart_stock_performance": damaged, "mart_github_correlation": damaged})
+
+
+@query(f"""with bars as ({USER_BARS}), mart as (
+    select case when volume <> 2 then ticker end as ticker, date, case when volume <> 3 then close_price end as close_price
+    from (select *, unnest(range(volume)) as copy from bars))
+select 'mart_stock_performance.not_null' as "check", c as column_name, count(*) filter (where case c when 'ticker' then ticker is null
+    when 'date' then date is null else close_price is null end) as failures
+from mart, unnest(['ticker', 'date', 'close_price']) as t(c) group by c
+union all select 'mart_stock_performance.unique', 'ticker,date', count(*) filter (where copies > 1)
+from (select ticker, date, count(*) as copies from mart group by 1, 2)""")
+def appended_mart_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Checks by day of a table without its even days, and of these days alone when they come: together those of all."""
+    name, day, damaged = "mart_stock_performance", F.col("date"), damaged_mart(spark, sf)
+    columns, even = NOT_NULL_COLUMNS[name], F.dayofmonth("date") % 2 == 0
+    before = check_state(damaged.where(~even), columns, name, day)
+    return checks_of_state(merge_states(before, check_state(damaged.where(even), columns, name, day)), columns, name)
 
 
 # --- reads -----------------------------------------------------------------------------------

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom import schemas
+from tickloom.operators import quality as Q
 from tickloom.operators.activity import activity_rollup, commits_on, count_per_key, open_prs, repo_facts, repo_rows
 from tickloom.operators.combine import combine, dropped_keys, with_processed_at
 from tickloom.operators.dedup import last_n_per_ticker, latest_per_key
@@ -368,3 +369,30 @@ def test_union_all_matches_columns_by_name(spark):
     left = spark.createDataFrame([(1, "a")], "x int, y string")
     right = spark.createDataFrame([("b", 2)], "y string, x int")
     assert as_set(union_all([left, right, left])) == [(1, "a"), (1, "a"), (2, "b")]
+
+
+# --- checks by part ---------------------------------------------------------------------------
+
+
+def test_checks_of_parts_add_up_to_those_of_the_table(spark):
+    """With a key and a day that hold a third of the rows, NULL keys, and parts checked again or emptied."""
+    def table(rows):
+        return spark.createDataFrame(rows, "ticker string, date string, close_price double, part string")
+
+    def counts(df):
+        return sorted((r["check"], r["column_name"], r["failures"]) for r in df.collect())
+
+    columns, name = ("ticker", "date", "close_price"), "m"
+    old = [("A", "1", 1.0, "x")] * 40 + [(f"T{i}", str(i % 5), None if i % 7 == 0 else 2.0, None) for i in range(60)]
+    old += [("B", None, 1.0, ""), ("B", None, None, ""), (None, "2", 1.0, ""), (None, "2", 1.0, "")]
+    state = Q.check_state(table(old), columns, name, F.col("date"))
+    assert state.columns == ["part", "check", "column_name", "failures"] and state.select("part").distinct().count() == 6
+    assert counts(Q.checks_of_state(state, columns, name)) == counts(Q.check_table(table(old), columns, name))
+    # A day comes, another and the rows without a day are written anew, and one loses all its rows.
+    fresh = [("A", "9", None, ""), ("A", "9", 1.0, ""), ("A", "1", 1.0, ""), (None, None, 2.0, "")]
+    new = [r for r in old if r[1] not in ("1", None, "4")] + fresh
+    parts = spark.createDataFrame([(p,) for p in ("9", "1", None, "4")], "part string")
+    merged = Q.merge_states(state, Q.check_state(table(fresh), columns, name, F.col("date")), parts)
+    assert counts(Q.checks_of_state(merged, columns, name)) == counts(Q.check_table(table(new), columns, name))
+    none = Q.check_state(table(old).limit(0), columns, name, F.col("date"))
+    assert counts(Q.checks_of_state(none, columns, name)) == [("m.not_null", c, 0) for c in sorted(columns)] + [("m.unique", "ticker,date", 0)]

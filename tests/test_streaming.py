@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tests.test_sources import bar, bar_document, write
 from tickloom import schemas
 from tickloom.operators.dedup import latest_per_key
+from tickloom.operators.quality import NOT_NULL_COLUMNS, check_state, check_table
 from tickloom.operators.windows import with_daily_return, with_rolling
 from tickloom.plans.models import marts_of_corrected
 from tickloom.plans.pipeline import MARTS, build_combined, run_models
-from tickloom.streaming import apply_corrections, follow_corrections, land_incremental
-from tickloom.streaming.bars import bucket_of, checkpoint_for, read_corrected_bars, read_landed_bars
+from tickloom.sinks import versions
+from tickloom.streaming import apply_corrections, bars, corrected_checks, follow_corrections, land_incremental
+from tickloom.streaming.bars import CHECKED, bucket_of, checkpoint_for, read_corrected_bars, read_landed_bars
 
 
 def land(tmp_path, name, ticker, closes, ingested):
@@ -143,6 +145,37 @@ def test_corrections_equal_a_full_rebuild(spark, tmp_path):
         assert exact(read_corrected_bars(spark, table)) == exact(full)
 
 
+def counted(checks):
+    return sorted(tuple(r) for r in checks.select("check", "column_name", "failures").collect())
+
+
+def full_checks(spark, table):
+    return counted(check_table(read_corrected_bars(spark, table), NOT_NULL_COLUMNS[CHECKED], CHECKED))
+
+
+def test_a_batch_checks_the_folders_it_rewrites(spark, tmp_path, monkeypatch):
+    table, staging = str(tmp_path / "bars"), str(tmp_path / "staged")
+    with pytest.raises(ValueError, match="no stored checks"):
+        corrected_checks(spark, table)
+    first = batch(spark, history(1, "AB", 120))
+    apply_corrections(first, 0, table, staging, new_buckets=2, new_period="month")
+    assert counted(corrected_checks(spark, table)) == full_checks(spark, table) and not any(n for *_, n in full_checks(spark, table))
+    seen = []
+    monkeypatch.setattr(bars, "check_state", lambda df, *rest: (seen.append(df), check_state(df, *rest))[1])
+    for k, close in ((1, None), (1, None), (2, None), (3, 5.0)):
+        day = "2024-02-0" + str(min(k, 2))
+        apply_corrections(batch(spark, [("A", day, close, str(k + 1))]), k, table, staging)
+        assert counted(corrected_checks(spark, table)) == full_checks(spark, table)
+    failures = {c: n for _, c, n in counted(corrected_checks(spark, table))}
+    assert failures == {"ticker": 0, "date": 0, "close_price": 1, "ticker,date": 0}
+    whole = read_corrected_bars(spark, table).count()
+    assert all(0 < df.count() < whole / 2 for df in seen[-1:]), "only rewritten folders are checked"
+    # A table from before the counts were kept is checked whole with its next batch.
+    versions.drop_folder(spark, bars.checks_path(table))
+    apply_corrections(batch(spark, [("C", "2024-03-01", 1.0, "9")]), 4, table, staging)
+    assert counted(corrected_checks(spark, table)) == full_checks(spark, table)
+
+
 def files_below(folder):
     return {f"{place}/{name}": os.stat(f"{place}/{name}").st_mtime_ns for place, _, names in os.walk(folder) for name in names if name.endswith(".parquet")}
 

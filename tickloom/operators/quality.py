@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.schemas import KEYS
@@ -98,23 +98,62 @@ def assert_quality(checks: DataFrame) -> None:
         raise QualityError("; ".join(str(row.asDict()) for row in failed))
 
 
-def check_table(df: DataFrame, columns, name: str, keys=KEYS) -> DataFrame:
-    """Not-null and grain checks of one table as ``(check, column_name, failures)``, in one pass.
-
-    Rows are reduced per key, NULLs counted along the way, before the grain is looked at.
-    """
+def _per_key(df: DataFrame, columns, keys) -> DataFrame:
+    """Rows reduced to one per key, with its copies and the NULLs counted along the way."""
     nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), *nulls)
-    totals = per_key.agg(
-        F.count_if(F.col("copies") > 1).alias("repeated"),
-        *[F.coalesce(F.sum(f"null_{c}"), F.lit(0)).alias(f"null_{c}") for c in columns],
-    )
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), *nulls)
+
+
+def _totals(columns) -> list[Column]:
+    nulls = [F.coalesce(F.sum(f"null_{c}"), F.lit(0)).alias(f"null_{c}") for c in columns]
+    return [F.count_if(F.col("copies") > 1).alias("repeated"), *nulls]
+
+
+def _check_rows(totals: DataFrame, columns, name: str, keys, *beside: str) -> DataFrame:
+    """``totals`` as ``(*beside, check, column_name, failures)`` rows."""
     found = {("not_null", c): f"null_{c}" for c in columns} | {("unique", ",".join(keys)): "repeated"}
     rows = [
         F.struct(F.lit(f"{name}.{kind}").alias("check"), F.lit(on).alias("column_name"), F.col(c).alias("failures"))
         for (kind, on), c in found.items()
     ]
-    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return totals.select(*beside, F.explode(F.array(*rows)).alias("r")).select(*beside, "r.*")
+
+
+def check_table(df: DataFrame, columns, name: str, keys=KEYS) -> DataFrame:
+    """Not-null and grain checks of one table as ``(check, column_name, failures)``, in one pass.
+
+    Rows are reduced per key, NULLs counted along the way, before the grain is looked at.
+    """
+    return _check_rows(_per_key(df, columns, keys).agg(*_totals(columns)), columns, name, keys)
+
+
+def check_state(df: DataFrame, columns, name: str, part: Column, keys=KEYS) -> DataFrame:
+    """What :func:`check_table` counts, by part: ``(part, check, column_name, failures)``.
+
+    ``part`` is an expression over ``keys`` alone (a day, a month, a bucket), so all rows of a key lie in
+    one part and the counts of parts add up to those of the table. ``df`` may hold some parts
+    only, but those whole. A key that gives NULL is in the part NULL.
+    """
+    totals = _per_key(df, columns, keys).groupBy(part.cast("string").alias("part")).agg(*_totals(columns))
+    return _check_rows(totals, columns, name, keys, "part")
+
+
+def merge_states(kept: DataFrame, fresh: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """The state of a table some of whose parts were checked again: their counts replaced, others as kept.
+
+    ``parts`` (a column ``part``) names the parts checked, by default those that ``fresh`` has rows for; name them
+    where a part may have lost all its rows.
+    """
+    again = (fresh if parts is None else parts).select(F.col("part").alias("_again")).distinct()
+    return kept.join(again, F.col("part").eqNullSafe(F.col("_again")), "left_anti").unionByName(fresh)
+
+
+def checks_of_state(state: DataFrame, columns, name: str, keys=KEYS) -> DataFrame:
+    """The counts of :func:`check_table` from those of all parts, without the table; zeros where there is none."""
+    own = state.where(F.col("check").isin(f"{name}.not_null", f"{name}.unique"))
+    none = state.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("repeated"), *[F.lit(0).cast("bigint").alias(f"null_{c}") for c in columns])
+    counts = own.drop("part").unionByName(_check_rows(none, columns, name, keys))
+    return counts.groupBy("check", "column_name").agg(F.sum("failures").alias("failures"))
 
 
 def check_marts(marts: dict[str, DataFrame]) -> DataFrame:

@@ -1,3 +1,9 @@
-from tickloom.streaming.bars import apply_corrections, follow_corrections, follow_rewritten_files, land_incremental
+from tickloom.streaming.bars import (
+    apply_corrections,
+    corrected_checks,
+    follow_corrections,
+    follow_rewritten_files,
+    land_incremental,
+)
 
-__all__ = ["apply_corrections", "follow_corrections", "follow_rewritten_files", "land_incremental"]
+__all__ = ["apply_corrections", "corrected_checks", "follow_corrections", "follow_rewritten_files", "land_incremental"]

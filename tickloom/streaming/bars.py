@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tickloom import schemas
+from tickloom.operators.quality import NOT_NULL_COLUMNS, check_state, checks_of_state, merge_states
 from tickloom.operators.windows import LONGEST, by_day, last_rows, with_daily_return, with_rolling
 from tickloom.session import path_exists, shared_dir
-from tickloom.sinks.versions import read_facts, write_facts
+from tickloom.sinks.versions import current_version, read_facts, write_facts, write_version
 from tickloom.sources.documents import FILE_PATTERN, accepted, parse_daily_bars, source_path
 from tickloom.sources.packing import pack_files, stream_packed_documents
 
@@ -25,6 +26,8 @@ BUCKETS = 64
 #: What the folders inside a bucket may hold.
 PERIODS = ("year", "month")
 LAYOUT = "_layout.json"
+#: The mart whose promises the corrected rows are checked for.
+CHECKED = "mart_stock_performance"
 
 
 def stream_documents(spark: SparkSession, path: str, multi_line: bool = True, max_files: int = 10_000) -> DataFrame:
@@ -212,10 +215,9 @@ def apply_corrections(
             ).parquet(staged)
         finally:
             bars.unpersist()
+    rewritten_rows = spark.read.schema(schemas.CORRECTED_BARS).parquet(staged)
     (
-        spark.read.schema(schemas.CORRECTED_BARS)
-        .parquet(staged)
-        .withColumns({"bucket": bucket, "period": period})
+        rewritten_rows.withColumns({"bucket": bucket, "period": period})
         .hint("rebalance", "bucket", "period")
         .sortWithinPartitions("bucket", "period", *schemas.KEYS)
         .write.mode("overwrite")
@@ -223,9 +225,42 @@ def apply_corrections(
         .partitionBy("bucket", "period")
         .parquet(table)
     )
+    _keep_checks(rewritten_rows, table, F.concat_ws("/", bucket, period))
     _drop_stale(spark, staging, batch_id)
 
 
+def checks_path(table: str) -> str:
+    """Beside the corrected table: what the checks counted in each of its folders, in committed versions."""
+    return f"{table.rstrip('/')}_checks"
+
+
+def _keep_checks(rewritten: DataFrame, table: str, folder: Column) -> None:
+    """Count the failures in the rewritten folders and keep them with those of the others.
+
+    A table without stored counts is checked whole, once. A batch that is run again counts the
+    same rows again and replaces the same folders' counts.
+    """
+    spark, place = rewritten.sparkSession, checks_path(table)
+    kept = current_version(spark, place)
+    rows = rewritten if kept else read_corrected_bars(spark, table)
+    state = check_state(rows, NOT_NULL_COLUMNS[CHECKED], CHECKED, folder)
+    if kept:
+        state = merge_states(spark.read.schema(state.schema).parquet(kept), state)
+    # Four rows per folder of the table.
+    write_version(state, place, lambda df, to: df.coalesce(1).write.parquet(to))
+
+
+def corrected_checks(spark: SparkSession, table: str) -> DataFrame:
+    """``(check, column_name, failures)`` of the corrected table, whose marts follow it row by row.
+
+    Read from what its batches counted, each in the folders it rewrote; the table itself is not scanned.
+    """
+    kept = current_version(spark, checks_path(table))
+    if kept is None:
+        raise ValueError(f"{table} has no stored checks; its next batch makes them")
+    return checks_of_state(spark.read.parquet(kept), NOT_NULL_COLUMNS[CHECKED], CHECKED)
+
+
 def _drop_stale(spark: SparkSession, staging: str, batch_id: int) -> None:
     """Remove the staging copy of the batch before, which has been committed."""
     old = spark._jvm.org.apache.hadoop.fs.Path(f"{staging.rstrip('/')}/batch_id={batch_id - 1}")
