@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests.llm.helpers import LONG, by_id, documents, prose
 from tickloom.llm import decontaminate as D
 from tickloom.llm import licenses as L
+from tickloom.llm import mixing
 from tickloom.llm import quality_rules as Q
 from tickloom.llm.license_texts import KNOWN_LICENSES
 from tickloom.llm.line_dedup import boilerplate_lines, drop_boilerplate
@@ -342,6 +343,37 @@ def test_targets_are_shared_by_weight_until_none_is_above(spark):
     assert got == pytest.approx({s: caps[s] if s in full else level * weights[s] for s in weights})
 
 
+def test_many_sources_are_ranked_in_slices(spark):
+    draw = random.Random(5)
+    rows = [(f"h{i:04d}", draw.choice([0, 3, draw.randrange(1, 10_000)]), 1) for i in range(700)] + [(None, 50_000, 1)]
+    sizes = spark.createDataFrame(rows, "source string, source_size long, n_docs long").repartition(5)
+    weights, caps = [(5, 2, 1)[i % 3] for i in range(701)], [2 * n for _, n, _ in rows]
+    level, total = 0.0, 1.5 * sum(n for _, n, _ in rows)
+    low, high = 0.0, float(max(caps))
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(map(min, caps, (level * w for w in weights))) < total else (low, level)
+    got = {r.source: r.target for r in source_targets(sizes).collect()}
+    assert got == pytest.approx({r[0]: min(c, level * w) for r, c, w in zip(rows, caps, weights, strict=True)}, rel=1e-9)
+
+
+def test_a_row_that_makes_up_a_third_is_counted_not_sorted(spark, monkeypatch):
+    """Its copies share a rank; as many go in as fit, with any number of them told apart at a time."""
+    rows = [(i, prose(i, 10 + i % 9), "s0") for i in range(200)] + [(7, prose(7, 17), "s0")] * 150 + [(1000 + i, prose(i, 30), "s1") for i in range(60)]
+    found = []
+    for spread in (1, 7, 1 << 16):
+        monkeypatch.setattr(mixing, "_SPREAD", spread)
+        taken = mixed(spark, rows, bins=3, share=1.3).collect()
+        assert len(taken) == len(rows) and sum(r.doc_id == 7 for r in taken) == 151
+        for source in ("s0", "s1"):
+            own = [r for r in taken if r.source == source]
+            assert abs(sum(r.taken for r in own) - own[0].target) <= 15
+        found.append(sorted(map(tuple, taken), key=str))
+    assert found[0] == found[1] == found[2]
+    copies = {r.copies for r in taken if r.doc_id == 7}
+    assert copies and max(copies) - min(copies) <= 1
+
+
 def mixed(spark, rows, **options):
     return mix(documents(spark, rows, extra=True), **options)
 
@@ -361,6 +393,11 @@ def test_sources_come_near_their_targets(spark):
         assert sorted(map(tuple, taken), key=str) == first
 
 
+def test_a_very_long_text_is_one_document(spark):
+    taken = {r.doc_id: r for r in mixed(spark, [(1, LONG, "s0"), (2, "two words", "s0"), (3, "x", "s1")]).collect()}
+    assert taken[1].size == len(LONG.split()) and taken[1].copies in (1, 2) and taken[2].source_size == taken[1].size + 2
+
+
 def test_documents_can_weigh_more(spark):
     rows = [(i, prose(i, 20), f"s{i % 2}") for i in range(600)]
     docs = documents(spark, rows)

@@ -7,7 +7,8 @@ odds, and the first of the ranking go in until the target is filled.
 
 A ranking within a source never meets in one task: documents fall into bins of ranks, bins are
 summed before the shuffle, and only the one bin that the target ends in is sorted, for each
-source.
+source. Equal rows, which share a rank, are counted before that and told apart after it. Sources
+are ranked in slices, so they may be as many as hosts.
 """
 
 from __future__ import annotations
@@ -18,13 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import broadcast_up_to, cut, word_count
+from tickloom.llm.common import broadcast_up_to, cut, shuffle_partitions, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
 #: Bins of ranks per source; the bin that a target ends in is sorted in one task.
 BINS = 1 << 12
+#: Equal rows that one row of a count is spread into at a time.
+_SPREAD = 1 << 16
 
 
 def random_number(*key: Column, seed: str = "mix") -> Column:
@@ -43,27 +46,42 @@ def source_targets(
     until none is above. That is one level L with targets min(most * size, L * weight): sources
     with small size per weight are full first. With ``share`` over ``most`` all are full.
     """
-    everything = W.orderBy(F.col("source").asc_nulls_last())
     listed = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = sizes.withColumn("place", F.row_number().over(everything) - 1)
+    ranked = _with_running(sizes.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], {"place": "one"})
     ranked = ranked.withColumn("weight", F.element_at(listed, (F.col("place") % len(weights) + 1).cast("int")))
     ranked = ranked.withColumn("cap", most * F.col("source_size").cast("double"))
-    by_need = W.orderBy(F.col("cap") / F.col("weight"), "place")
-    upto, whole = by_need.rowsBetween(W.unboundedPreceding, W.currentRow), W.orderBy().rowsBetween(
-        W.unboundedPreceding, W.unboundedFollowing
-    )
-    words = F.sum("source_size").over(whole).cast("double")
-    full, open_ = F.sum("cap").over(upto), F.sum("weight").over(whole) - F.sum("weight").over(upto)
-    placed = ranked.withColumn("words", words * share).withColumn("before", full - F.col("cap"))
-    placed = placed.withColumn("open", open_ + F.col("weight"))
+    # ``before`` and ``lighter`` are the caps and weights of the sources that are full earlier.
+    by_need = [F.col("cap") / F.col("weight"), F.col("place")]
+    placed = cut(_with_running(ranked, by_need, {"before": "cap", "lighter": "weight"}))
+    sums = placed.agg(F.sum("source_size").cast("double").alias("words"), F.sum("weight").alias("weights")).first()
+    words, weighed = F.lit(sums["words"] or 0.0) * share, F.lit(sums["weights"] or 0.0)
     # The level if this source and all after it were not full.
-    placed = placed.withColumn("level", (F.col("words") - F.col("before")) / F.col("open"))
-    reach = placed.withColumn("fits", F.col("level") * F.col("weight") <= F.col("cap"))
-    level = F.min(F.when(F.col("fits"), F.struct(F.col("cap") / F.col("weight"), F.col("place"), F.col("level")))).over(whole)
-    target = F.coalesce(F.least("cap", level["level"] * F.col("weight")), F.col("cap"))
+    level = (words - F.col("before")) / (weighed - F.col("lighter"))
+    reach = placed.withColumn("level", level).withColumn("need", F.col("cap") / F.col("weight"))
+    open_ = reach.filter(F.col("level") * F.col("weight") <= F.col("cap"))
+    first = open_.agg(F.min(F.struct("need", "place", "level"))["level"].alias("level")).first()["level"]
+    target = F.col("cap") if first is None else F.least("cap", F.lit(first) * F.col("weight"))
     return reach.select("source", "source_size", "n_docs", target.alias("target"))
 
 
+def _with_running(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """Add by name the sum of a column over the rows before each one in ``order``, which must be total.
+
+    Rows are dealt into slices by range of the order and summed within them; only the slices' sums,
+    one row each, meet in one task.
+    """
+    sliced = cut(df.repartitionByRange(shuffle_partitions(df.sparkSession), *order).withColumn("slice", F.spark_partition_id()))
+    inside = W.partitionBy("slice").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    totals = sliced.groupBy("slice").agg(*[F.sum(c).alias(f"sum_{n}") for n, c in sums.items()])
+    starts = totals.select(
+        F.col("slice").alias("start_of"), *[F.coalesce(F.sum(f"sum_{n}").over(earlier), F.lit(0)).alias(f"start_{n}") for n in sums]
+    )
+    own = sliced.withColumns({n: F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()})
+    joined = own.join(starts, F.col("slice") == F.col("start_of")).withColumns({n: F.col(n) + F.col(f"start_{n}") for n in sums})
+    return joined.drop("slice", "start_of", *[f"start_{n}" for n in sums])
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -79,8 +97,8 @@ def mix(
     would bring its words no nearer its target, so it misses it by half of its longest document at
     most. ``doc_weight`` makes documents of a source more or less likely (mean 1; default 1 each);
     no document is taken more than ``most`` times. Documents without words are never taken. Ties
-    of random numbers go by id and text hash; repeated rows share a number and are taken in turn. A null source is
-    a source; null ids have their text's hash for a number. Reruns agree.
+    of random numbers go by id and text hash; repeated rows share a number, are counted and are taken in turn. A null
+    source is a source; null ids have their text's hash for a number. Reruns agree.
     """
     marked = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -127,14 +145,36 @@ def mix(
     columns = ["doc_id", "source", "size", "source_size", "target", "certain"]
     rest = placed.filter(~F.coalesce(at_end, F.lit(False)))
     rest = rest.select(*columns, F.coalesce((inside & (F.col("end").isNull() | (F.col("bin") < F.col("end.bin")))), F.lit(False)).cast("int").alias("extra"))
-    order = W.partitionBy("of").orderBy("odds", "u", "doc_id", "mark")
-    last = placed.filter(F.coalesce(at_end, F.lit(False)))
-    so_far = F.col("end.before") + F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
-    nearer = F.abs(so_far - F.col("need")) < F.abs(so_far - F.col("size") - F.col("need"))
-    # The first document that overshoots goes in if that is nearer; none after it.
-    fits = (so_far <= F.col("need")) | ((so_far - F.col("size") < F.col("need")) & nearer)
-    last = last.select(*columns, fits.cast("int").alias("extra"))
+    last = _fill(placed.filter(F.coalesce(at_end, F.lit(False))), columns)
     copies = F.when(F.col("size") > 0, F.col("certain") + F.col("extra")).otherwise(0).cast("long")
     return rest.unionByName(last).select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
+
+
+def _fill(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and ``extra`` (0 or 1) of the rows in the bins that targets end in, taken in order of rank.
+
+    Rows go in while they fit; the first that overshoots goes in if that is nearer, and none after
+    it. Equal rows are one row with a count up to here and are told apart at the end, some
+    thousands at a time, by all tasks.
+    """
+    spark = rows.sparkSession
+    equal = rows.groupBy("of", "odds", "u", "mark", "need", F.col("end.before").alias("before"), *columns).agg(F.count(F.lit(1)).alias("n"))
+    order = W.partitionBy("of").orderBy("odds", "u", "doc_id", "mark", "size", "certain")
+    words = F.col("n") * F.col("size")
+    so_far = F.col("before") + F.coalesce(F.sum(words).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    room = F.col("need") - so_far
+    whole = F.least(F.greatest(F.floor(room / F.col("size")), F.lit(0)), F.col("n"))
+    # What is left of the need when the whole ones are in; half a document or more brings one more in.
+    left = room - whole * F.col("size")
+    nearer = (left > 0) & (F.abs(F.col("size") - left) < left) & (whole < F.col("n"))
+    taken = equal.withColumn("fit", whole + nearer.cast("int"))
+    shares = F.array(
+        F.struct(F.lit(1).alias("extra"), F.col("fit").alias("rows")), F.struct(F.lit(0).alias("extra"), (F.col("n") - F.col("fit")).alias("rows"))
+    )
+    counted = taken.select(*columns, F.explode(shares).alias("share")).filter("share.rows > 0")
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("share.rows") - 1, F.lit(_SPREAD).cast("long"))).alias("start")
+    dealt = counted.select(*columns, "share", chunks).repartition(shuffle_partitions(spark))
+    many = F.least(F.lit(_SPREAD).cast("long"), F.col("share.rows") - F.col("start"))
+    return dealt.select(*columns, F.col("share.extra").alias("extra"), F.explode(F.sequence(F.lit(1).cast("long"), many)).alias("nth")).drop("nth")
