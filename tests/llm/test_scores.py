@@ -4,9 +4,11 @@ import gzip
 import hashlib
 import io
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -285,3 +287,24 @@ def test_bigrams_do_not_cross_documents():
     a, b = M.shape(1, ord("a")), M.shape(2, ord("b"))
     assert list(zip(before[own], after[own], strict=True)) == [(M.END, a), (a, b), (b, M.END), (M.END, M.END), (M.END, a), (a, M.END)]
     assert tokens.n.tolist() == [3, 1, 2] and tokens.starts.tolist() == [0, 3, 4]
+
+
+def test_a_worker_holds_a_few_megabytes_of_a_batch():
+    """However much text a batch has, its texts and their arrays come and go in slices; copies count once in the scores."""
+    texts = [prose(k, 7000) for k in range(500)] + [None, "", prose(1, 7000)]
+    ids = pa.array([*range(len(texts) - 1), 1])
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([k % 2 == 0 for k in range(len(texts))]), ids, ids], names=["text", "is_target", "d1", "d2"])
+    size = sum(len(t or "") for t in texts)
+    assert size > 15 << 20
+    classes, hot = M.Classes([], np.zeros(0, np.int64), 1.0), M.Hot(*(np.zeros(0, t) for t in (np.int64, np.int64, float, float)))
+    tracemalloc.start()
+    try:
+        n_tokens = sum(tokens.n.sum() for tokens, _ in M._tokens(iter([batch])))
+        counted = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        n_scored = sum(part.column("n_tokens").to_numpy().sum() for part in M.score_batch(batch.drop_columns("is_target"), classes, hot))
+        scored = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n_tokens == 501 * 7001 + 2 and n_scored == 500 * 7001 + 2
+    assert max(counted, scored) < 120 << 20

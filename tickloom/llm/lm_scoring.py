@@ -22,11 +22,12 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import as_bytes, broadcast_up_to, held_by_worker, mix, new_folder, slices, text_blob, unused_name, word_ids
+from tickloom.llm.common import as_bytes, broadcast_up_to, held_by_worker, mix, new_folder, text_blob, unused_name, word_ids
 
 #: Share of all words that makes a word a class of its own.
 FREQUENT = 2.0**-14
@@ -40,7 +41,8 @@ MOST_BROADCAST = 1_000_000
 END = 0
 #: First key of a word's entry, where a bigram has the class before. No class: those are END, shapes, or hashes.
 WORD_KEY = 1 << 20
-_SLICE = 1 << 24
+#: Bytes of text that a worker takes out of its batch at a time; its arrays need some twenty times as much.
+_SLICE = 1 << 22
 
 
 def shape(length: int, last: int) -> int:
@@ -88,13 +90,26 @@ class Tokens:
         return values[codes // len(values)], values[codes % len(values)], own
 
 
+def text_slices(column: pa.Array, rows: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """``rows`` of a text column in consecutive parts of about ``_SLICE`` bytes, a longer text alone, with their texts.
+
+    A part's texts are copied when its turn comes, so a worker never holds a batch twice.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)[rows] + 1, dtype=np.int64)
+    lo = 0
+    while lo < len(rows):
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + _SLICE, "right")))
+        yield rows[lo:hi], text_blob(as_bytes(column.take(pa.array(rows[lo:hi]))))
+        lo = hi
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tokens, np.ndarray]]:
     for batch in batches:
-        texts = text_blob(as_bytes(batch.column("text")))
         flags = np.array([bool(f) for f in batch.column("is_target").to_pylist()], np.int64)
-        for lo, hi in slices(texts, _SLICE):
-            tokens = Tokens(texts[lo:hi])
-            yield tokens, np.repeat(flags[lo:hi], tokens.n)
+        for rows, texts in text_slices(batch.column("text"), np.arange(batch.num_rows)):
+            tokens = Tokens(texts)
+            yield tokens, np.repeat(flags[rows], tokens.n)
 
 
 def _counts(places: np.ndarray, flags: np.ndarray, size: int) -> list[np.ndarray]:
@@ -244,6 +259,21 @@ def score_texts(texts: Sequence[bytes], classes: Classes, hot: Hot) -> tuple[Tok
 _PARTS = "d1 long, d2 long, k1 long, k2 long, n long, n_tokens long, target double, background double"
 
 
+def score_batch(batch: pa.RecordBatch, classes: Classes, hot: Hot) -> Iterator[pa.RecordBatch]:
+    """The rows ``_PARTS`` of a batch (text, d1, d2), its copies once: each text's sums, and what is to be looked up for it."""
+    names = [c.split()[0] for c in _PARTS.split(", ")]
+    d = np.stack([batch.column(c).to_numpy() for c in ("d1", "d2")], axis=1)
+    # Copies have the same mean, so one of a batch stands for all.
+    _, first = np.unique(d, axis=0, return_index=True)
+    for rows, texts in text_slices(batch.column("text"), np.sort(first)):
+        tokens, sums, (text, k1, k2, n) = score_texts(texts, classes, hot)
+        zero, none = np.zeros(len(n), np.int64), np.zeros(len(n))
+        own1, own2 = d[rows].T
+        # A text's own row asks for nothing; its hash for a key spreads such rows.
+        for columns in ((own1, own2, own1, own2, np.zeros(len(rows), np.int64), tokens.n, *sums), (own1[text], own2[text], k1, k2, n, zero, none, none)):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=names)
+
+
 def cross_entropy_difference(
     docs: DataFrame, training: DataFrame, name: str = "lm", keep: list[str] | None = None, most_hot: int = MOST_HOT, frequent: float = FREQUENT
 ) -> DataFrame:
@@ -280,20 +310,8 @@ def cross_entropy_difference(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, hot = held_by_worker(key, lambda: model.value)
-        names = [c.split()[0] for c in _PARTS.split(", ")]
         for batch in batches:
-            d = np.stack([batch.column(c).to_numpy() for c in ("d1", "d2")], axis=1)
-            # Copies have the same mean, so one of a batch stands for all.
-            _, first = np.unique(d, axis=0, return_index=True)
-            texts = text_blob(as_bytes(batch.column("text").take(pa.array(first))))
-            d1, d2 = d[first].T
-            for lo, hi in slices(texts, _SLICE):
-                tokens, sums, (text, k1, k2, n) = score_texts(texts[lo:hi], classes, hot)
-                zero, none = np.zeros(len(n), np.int64), np.zeros(len(n))
-                own1, own2 = d1[lo:hi], d2[lo:hi]
-                # A text's own row asks for nothing; its hash for a key spreads such rows.
-                for columns in ((own1, own2, own1, own2, np.zeros(hi - lo, np.int64), tokens.n, *sums), (own1[text], own2[text], k1, k2, n, zero, none, none)):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=names)
+            yield from score_batch(batch, classes, hot)
 
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() != name.lower()]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
