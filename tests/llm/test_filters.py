@@ -234,6 +234,35 @@ def test_lines_above_the_ratio_go(spark):
     assert drop_boilerplate(docs.limit(0), F.col("source")).collect() == []
 
 
+def test_lines_are_compared_without_white_space_at_their_ends(spark):
+    blanks, others = " \t\x0b\x0c\r", "\x1c\x85\xa0\u2003x"
+    forms = [b + "fo ot" + c for b in ["", *blanks, " \r\t"] for c in ["", *blanks, "\x0b \r"]] + [o + "fo ot" for o in others] + ["fo ot" + o for o in others] + [*blanks, *others]
+    rows = [(k, f"{form}\n{k}\r\n{forms[k % 7]}\n\r", "a") for k, form in enumerate(forms)] + [(500 + k, "\xa0same é\r", "b") for k in range(9)]
+
+    def bare(line):
+        return line.strip(blanks)
+
+    pages = {t for _, t, source in rows if source == "a"}
+    n = {key: sum(key in map(bare, t.split("\n")) for t in pages) for t in pages for key in map(bare, t.split("\n")) if key}
+    gone = {key for key, count in n.items() if count >= 2 and count > 0.02 * len(pages)}
+    assert gone == {"fo ot"} | {o for o in others if n.get(o, 0) > 1}
+    got = by_id(drop_boilerplate(documents(spark, rows), F.col("source"), "cleaned", 0.02, 2), "cleaned")
+    for k, text, source in rows:
+        kept = [x for x in text.split("\n") if source == "b" or bare(x) not in gone]
+        assert tuple(got[k]) == (len(text.split("\n")), len(text.split("\n")) - len(kept), "\n".join(kept))
+
+
+def test_each_line_is_split_keyed_and_looked_up_once(spark):
+    """Without regular expressions over lines, which cost more than all else."""
+    docs = documents(spark, [(k, f"head\nbody {k}\nfoot", "a") for k in range(20)])
+    cleaned = drop_boilerplate(docs, F.col("source")).select("doc_id", "lines.n_lines", "lines.n_removed", F.sha2("lines.text", 256))
+    assert {(r.n_lines, r.n_removed) for r in cleaned.collect()} == {(3, 2)}
+    for df in (boilerplate_lines(docs, F.col("source")), cleaned):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == plan.count("md5(") == plan.count(" filter(") + plan.count("(filter(") == 1
+        assert "regexp" not in plan
+
+
 # --- quality rules ----------------------------------------------------------------------------
 
 

@@ -7,6 +7,10 @@ pages of the host is the line's ratio, and lines above a limit go. Only DataFram
 
 from __future__ import annotations
 
+from functools import reduce
+from hashlib import md5
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,16 +20,23 @@ RATIO = 0.1
 MIN_PAGES = 5
 #: The lists go to the tasks while they hold so many lines at most; beyond, the join shuffles.
 MOST_BROADCAST = 100_000
+_BLANKS = " \t\n\x0b\x0c\r"
+_BLANK_KEY = md5(b"").hexdigest()
 
 
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _bare(line: Column) -> Column:
+    """A line without white space at its ends. Trimming walks the whole line, so only one that has some is trimmed."""
+    at_ends = [end for c in _BLANKS for end in (line.startswith(c), line.endswith(c))]
+    return F.when(reduce(or_, at_ends), F.trim(line, F.lit(_BLANKS))).otherwise(line)
+
+
 def _key(line: Column) -> Column:
-    """A line's identity: its MD5 without white space at the ends; null for blank lines."""
-    bare = F.regexp_replace(line, r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+\z", "")
-    return F.when(bare != "", F.md5(bare))
+    """A line's identity: its MD5 without white space at the ends; ``_BLANK_KEY`` for blank lines."""
+    return F.md5(_bare(line))
 
 
 def boilerplate_lines(docs: DataFrame, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -34,16 +45,12 @@ def boilerplate_lines(docs: DataFrame, host: Column, ratio: float = RATIO, min_p
     Copies of a page (equal host and text) count as one page, or a much copied page would make
     boilerplate of all its lines. Pages without text count for the host. A null host is a host.
     """
-    # A leading element that is no line stands for the page itself.
-    keys = F.array_distinct(F.concat(F.array(F.lit("")), F.filter(F.transform(_lines(F.col("text")), _key), lambda k: k.isNotNull())))
-    pages = docs.select(
-        host.cast("string").alias("host"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("page"),
-        F.explode(keys).alias("line_key"),
-    )
+    page = F.xxhash64(F.coalesce("text", F.lit(""))).alias("page")
+    keys = F.array_distinct(F.filter(F.transform(_lines(F.col("text")), _key), lambda k: k != _BLANK_KEY))
+    pages = docs.select(host.cast("string").alias("host"), page, F.explode(keys).alias("line_key"))
     counts = pages.distinct().groupBy("host", "line_key").agg(F.count(F.lit(1)).alias("n_pages"))
-    lines = counts.filter((F.col("line_key") != "") & (F.col("n_pages") >= min_pages))
-    hosts = counts.filter(F.col("line_key") == "").select(F.col("host").alias("of"), F.col("n_pages").alias("n_host_pages"))
+    lines = counts.filter(F.col("n_pages") >= min_pages)
+    hosts = docs.select(host.cast("string").alias("of"), page).distinct().groupBy("of").agg(F.count(F.lit(1)).alias("n_host_pages"))
     joined = lines.join(hosts, F.col("host").eqNullSafe(F.col("of")))
     return joined.filter(F.col("n_pages") > ratio * F.col("n_host_pages")).select(
         "host", "line_key", "n_pages", "n_host_pages"
@@ -71,14 +78,15 @@ def drop_boilerplate(
     found = cut(boilerplate_lines(docs, host, ratio, min_pages))
     few = found.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     lists = found.groupBy(F.col("host").alias("of")).agg(F.sort_array(F.collect_list("line_key")).alias("gone"))
-    of, gone = unused_name(docs, "of"), unused_name(docs, "gone")
+    of, gone, all_lines, rest = (unused_name(docs, c) for c in ("of", "gone", "all_lines", "rest"))
     lists = lists.select(F.col("of").alias(of), F.col("gone").alias(gone))
     joined = docs.join(F.broadcast(lists) if few else lists, host.cast("string").eqNullSafe(F.col(of)), "left")
-    lines = _lines(F.col("text"))
-    stays = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col(gone), _key(x)), F.lit(False)))
-    rest = F.when(F.col(gone).isNull(), lines).otherwise(stays)
+    # Columns of their own, so that lines are split and looked up once, however often they are used.
+    split = joined.withColumn(all_lines, _lines(F.col("text")))
+    stays = F.filter(all_lines, lambda x: ~F.array_contains(F.col(gone), _key(x)))
+    kept = split.withColumn(rest, F.when(F.col(gone).isNull(), F.col(all_lines)).otherwise(stays))
     left = F.when(F.col("text").isNotNull(), F.array_join(rest, "\n"))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines)).cast("long")
     n_left = F.when(F.col("text").isNull(), 0).otherwise(F.size(rest)).cast("long")
     made = F.struct(n_lines.alias("n_lines"), (n_lines - n_left).alias("n_removed"), left.alias("text"))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], made.alias(name))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], made.alias(name))
